@@ -7,6 +7,7 @@ import zlib
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # The box a thumbnail fits in and the prefix of an inline image.
 THUMBNAIL_BOX = (200, 200)
@@ -22,13 +23,13 @@ def decode_base64(text: Column) -> Column:
     return F.unbase64(text)
 
 
-@F.pandas_udf("binary")
+@F.pandas_udf(T.BinaryType())
 def compress(payload: pd.Series) -> pd.Series:
     """zlib; Spark has no native expression for it, so whole Arrow batches go through Python."""
     return payload.map(zlib.compress, na_action="ignore")
 
 
-@F.pandas_udf("binary")
+@F.pandas_udf(T.BinaryType())
 def decompress(payload: pd.Series) -> pd.Series:
     return payload.map(zlib.decompress, na_action="ignore")
 
