@@ -52,10 +52,10 @@ def dictionary(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(list(ATTRIBUTES.items()), schema)
 
 
-def attribute_of(title: Column, attributes: dict[str, str] = ATTRIBUTES) -> Column:
+def attribute_of(title: Column) -> Column:
     """Item column of a raw label, null when the label is unknown. No join, no shuffle."""
-    entries = [F.lit(word) for pair in attributes.items() for word in pair]
-    return F.try_element_at(F.create_map(*entries), normalise_label(title))
+    entries = ", ".join(f"'{label}', '{name}'" for label, name in ATTRIBUTES.items())
+    return F.try_element_at(F.expr(f"map({entries})"), normalise_label(title))
 
 
 def detail_value(title: Column, value: Column, links: Column) -> Column:

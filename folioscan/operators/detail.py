@@ -38,86 +38,70 @@ def to_wide(rows: DataFrame, keys: Sequence[str] = ("page_id",)) -> DataFrame:
 
     For rows that are already spread over the cluster. The value list is explicit, so no job runs to
     find it; partial aggregation folds a hot key before the one shuffle. Of a repeated label the
-    first by position wins. Parsed pages go through ``wide_columns`` instead, without a shuffle.
+    first by position wins. Parsed pages go through ``widen`` instead, without a shuffle.
     """
     wide = [
-        F.min_by(F.when(F.col("attribute") == c, F.col("value")), F.when(F.col("attribute") == c, F.col("pos"))).alias(c)
-        for c in COLUMNS
+        F.expr(f"min_by(value, pos) FILTER (WHERE attribute = '{c}') AS {c}") for c in COLUMNS
     ]
-    return rows.groupBy(*keys).agg(*wide, col_size(F.col("attribute")).alias("col_size"))
+    filled = " + ".join(f"max(int(attribute <=> '{c}'))" for c in COLUMNS)
+    return rows.groupBy(*keys).agg(*wide, F.expr(f"{filled} AS col_size"))
 
 
-def col_size(attribute: Column) -> Column:
-    """Aggregate: how many different item columns the rows fill.
+def with_names(parsed: DataFrame) -> DataFrame:
+    """Adds ``names`` and ``values``: item column (null: unknown) and cleaned value of each row.
 
-    A sum of 26 maxima rather than a distinct count: plain partial aggregation, no expansion.
+    Two arrays beside ``detail``, computed once per page; everything below looks places up in them.
     """
-    present = [F.max(F.when(attribute == c, F.lit(1)).otherwise(F.lit(0))) for c in COLUMNS]
-    total = present[0]
-    for term in present[1:]:
-        total = total + term
-    return total.cast("int")
-
-
-def mapped_detail(detail: Column) -> Column:
-    """The detail array with ``attribute`` and cleaned ``value``, still one array per page."""
-    return F.transform(
-        detail,
-        lambda row: F.struct(
-            row["pos"].alias("pos"),
-            row["title"].alias("title"),
-            attribute_of(row["title"]).alias("attribute"),
-            detail_value(row["title"], row["value"], row["links"]).alias("value"),
-        ),
-    )
-
-
-def first_of_each(mapped: Column) -> Column:
-    """Known rows of a mapped detail array, the first of every attribute."""
-    known = F.filter(mapped, lambda row: row["attribute"].isNotNull())
-    names = F.transform(known, lambda row: row["attribute"])
-    return F.filter(known, lambda row, i: F.array_position(names, row["attribute"]) == i + 1)
+    names = F.transform("detail", lambda row: attribute_of(row["title"]))
+    values = F.transform("detail", lambda row: detail_value(row["title"], row["value"], row["links"]))
+    return parsed.withColumns({"names": names, "values": values})
 
 
-def repeated(mapped: Column) -> Column:
-    """Known rows of a mapped detail array whose attribute an earlier row has filled already."""
-    known = F.filter(mapped, lambda row: row["attribute"].isNotNull())
-    names = F.transform(known, lambda row: row["attribute"])
-    return F.filter(known, lambda row, i: F.array_position(names, row["attribute"]) != i + 1)
+def wide_columns() -> list[Column]:
+    """26 attribute columns and ``col_size`` from ``names`` and ``values``, without a shuffle.
 
+    ``array_position`` finds the first row of an attribute, so a repeated label changes nothing.
+    """
+    wide = [F.expr(f"get(values, int(array_position(names, '{c}')) - 1) AS {c}") for c in COLUMNS]
+    filled = " + ".join(f"int(array_position(names, '{c}') > 0)" for c in COLUMNS)
+    return [*wide, F.expr(f"{filled} AS col_size")]
 
-def unknown(mapped: Column, broken: Column) -> Column:
-    """Rows with an unknown label, up to the first broken row, where reading a page ends."""
-    return F.filter(
-        mapped,
-        lambda row: row["attribute"].isNull() & row["title"].isNotNull() & (broken.isNull() | (row["pos"] < broken)),
-    )
 
+def repeated_attributes() -> Column:
+    """Attributes of rows that fill a column an earlier row has filled already."""
+    names = F.col("names")
+    return F.filter(names, lambda name, i: name.isNotNull() & (F.array_position(names, name) != i + 1))
 
-def wide_columns(first: Column) -> list[Column]:
-    """26 attribute columns and ``col_size`` from ``first_of_each`` rows, without a shuffle."""
-    by_name = F.map_from_entries(F.transform(first, lambda row: F.struct(row["attribute"], row["value"])))
-    wide = [F.try_element_at(by_name, F.lit(c)).alias(c) for c in COLUMNS]
-    return [*wide, F.size(first).alias("col_size")]
 
+def broken_at() -> Column:
+    """Place of the first row without a label cell, or with a known label and no value cell.
 
-def widen(parsed: DataFrame, keys: Sequence[str] = ("page_id",)) -> DataFrame:
-    """One wide row per parsed page with a whole detail table. No shuffle: a page is one row."""
-    whole = whole_tables(parsed)
-    mapped = whole.select(*keys, mapped_detail(F.col("detail")).alias("mapped"))
-    first = mapped.select(*keys, first_of_each(F.col("mapped")).alias("first"))
-    return first.select(*keys, *wide_columns(F.col("first")))
+    Labels are looked up for rows without a value only, which are rare.
+    """
+    broken = F.transform(
+        "detail",
+        lambda row, i: F.when(
+            row["title"].isNull() | (row["value"].isNull() & attribute_of(row["title"]).isNotNull()), i
+        ),
+    )
+    return F.array_min(broken)
 
 
-def broken_at(detail: Column) -> Column:
-    """Position of the first row without a label cell, or with a known label and no value cell."""
-    broken = F.filter(
-        detail,
-        lambda row: row["title"].isNull() | (attribute_of(row["title"]).isNotNull() & row["value"].isNull()),
+def unknown_titles(broken: Column) -> Column:
+    """Labels outside the dictionary, up to the first broken row, where reading a page ends."""
+    names = F.col("names")
+    known_end = F.coalesce(broken, F.size("detail"))
+    rows = F.filter(
+        "detail", lambda row, i: F.get(names, i).isNull() & row["title"].isNotNull() & (i < known_end)
     )
-    return F.array_min(F.transform(broken, lambda row: row["pos"]))
+    return F.transform(rows, lambda row: row["title"])
 
 
 def whole_tables(parsed: DataFrame) -> DataFrame:
     """Pages that have a detail table without a broken row."""
-    return parsed.filter(F.col("detail").isNotNull() & broken_at(F.col("detail")).isNull())
+    return parsed.filter(F.col("detail").isNotNull() & broken_at().isNull())
+
+
+def widen(parsed: DataFrame, keys: Sequence[str] = ("page_id",)) -> DataFrame:
+    """One wide row per parsed page with a whole detail table. No shuffle: a page is one row."""
+    return with_names(whole_tables(parsed)).select(*keys, *wide_columns())

@@ -1,19 +1,20 @@
 """One pass over raw HTML that yields every field of a page.
 
 Spark's ``xpath`` functions need well-formed XML, and crawled pages are not, so this is the one
-place where rows go through Python: ``mapInArrow`` hands whole Arrow batches to the standard
-library's tolerant parser. Only the key columns and the HTML travel to Python and only the small
-fields come back. The outline of a page is dropped as soon as every wanted element has been closed,
-so links at the top of a long page cost little.
+place where rows go through Python: ``mapInArrow`` hands whole Arrow batches to a small tolerant
+scanner. Only the key columns and the HTML travel to Python and only the small fields come back. A
+page is left as soon as every wanted element has been closed, so links at the top of a long page
+cost little; attributes and entities are decoded only where a field needs them.
 
 Everything after the parse (cleaning, label mapping, widening, routing) is native expressions.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
-from html.parser import HTMLParser
+from html import unescape
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -25,9 +26,25 @@ VOID_TAGS = frozenset(
     "area base br col embed hr img input link meta param source track wbr "
     "basefont bgsound command frame image isindex keygen menuitem nextid spacer".split()
 )
-# Elements whose content is code or markup, not page text.
+# Elements whose content holds no tags, and those whose content is not page text.
+RAW_TAGS = frozenset(["script", "style"])
 NON_TEXT_TAGS = frozenset(["script", "style", "template"])
 
+# One piece of markup: a tag, a comment (which may run to the end), marked text, or a declaration.
+# Quantifiers are possessive, so a broken page costs no more than a good one.
+_MARKUP = re.compile(
+    r"""<(?:
+        (/?)([a-zA-Z][^\s/>]*+)((?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+')?+)*+)>
+      | !--(?:>|->|.*?(?:--!?>|\Z))
+      | !\[CDATA\[(.*?)\]\]>
+      | [!?/][^>]*+>
+    )""",
+    re.S | re.X,
+)
+_ATTRIBUTE = re.compile(r"""([^\s/=>][^\s/=>]*)(?:\s*=+\s*("[^"]*"|'[^']*'|[^\s>]*))?""")
+_BARE_VALUE_END = re.compile(r"""=\s*[^\s"'>][^\s>]*/$""")
+_RAW_END = {tag: re.compile(rf"</{tag}(?=[\s/>])", re.I) for tag in RAW_TAGS}
+
 
 @dataclass(frozen=True)
 class Selectors:
@@ -71,95 +88,125 @@ PARTS = {
 ITEM_PARTS = ("hero", "title", "license", "detail")
 
 
-class _Complete(Exception):
-    """Raised inside the parser once nothing further on the page can change the result."""
+def _attributes(raw: str) -> dict[str, str]:
+    """Decoded attributes of a tag; of a repeated name the last value counts."""
+    found = {}
+    for name, value in _ATTRIBUTE.findall(raw):
+        if value[:1] in ("'", '"') and len(value) > 1 and value[0] == value[-1]:
+            value = value[1:-1]
+        found[name.lower()] = unescape(value)
+    return found
 
 
-class _Outline(HTMLParser):
-    """Elements of a page in document order, as parallel lists.
+class _Outline:
+    """The wanted elements of a page and all elements below them, in document order.
 
-    Descendants of element ``i`` are the elements ``i + 1 .. end[i]``. An end tag closes everything
-    opened since its start tag and is ignored when there is none; nothing else is implied.
+    ``found`` maps a selector to the first element it fits. Descendants of element ``i`` are the
+    elements ``i + 1 .. end[i] - 1``. An end tag closes everything opened since its start tag and is
+    ignored when there is none; nothing else is implied.
     """
 
-    def __init__(self, wanted: Iterable[str]):
-        super().__init__(convert_charrefs=True)
+    def __init__(self, html: str, wanted: Iterable[str]):
         self.tags: list[str] = []
-        self.attrs: list[dict] = []
+        self.attrs: list[str] = []
         self.end: list[int] = []
         self.text: list[str] = []
         self.text_from: list[int] = []
         self.text_to: list[int] = []
         self.found: dict[str, int] = {}
         self._missing = set(wanted)
-        self._watched: set[int] = set()
-        self._open: list[int] = []
-        self._open_count: dict[str, int] = {}
+        self._unclosed: set[int] = set()  # wanted elements that are open
+        self._scan(html)
+
+    def _scan(self, html: str) -> None:
+        open_tags: list[tuple[str, int]] = []
+        open_count: dict[str, int] = {}
+        missing, unclosed = self._missing, self._unclosed
+        search, limit, pos = _MARKUP.search, html.rfind(">") + 1, 0
+        while missing or unclosed:
+            markup = search(html, pos, limit)
+            if markup is None:
+                self._add_text(html[pos:], open_tags)
+                break
+            start, end = markup.span()
+            if unclosed and start > pos:
+                self._add_text(html[pos:start], open_tags)
+            pos = end
+            slash, name, raw, marked = markup.groups()
+            if name is None:
+                if marked:
+                    self._add_text(marked, open_tags, decode=False)
+                elif html.startswith("<!--", start) and not html.endswith("-->", 0, end):
+                    pos = self._comment_end(html, start, end)
+                continue
+            name = name.lower()
+            if slash:
+                if open_count.get(name):
+                    self._pop(name, open_tags, open_count)
+                continue
+            index = -1
+            if unclosed or (missing and (raw or name in missing)):
+                index = self._add_element(name, raw)
+            if name in VOID_TAGS or (raw and raw[-1] == "/" and not _BARE_VALUE_END.search(raw)):
+                self._close(index)
+                continue
+            open_tags.append((name, index))
+            open_count[name] = open_count.get(name, 0) + 1
+            if name in RAW_TAGS:
+                stop = _RAW_END[name].search(html, pos)
+                pos = stop.start() if stop else len(html)
+        for _, index in reversed(open_tags):
+            self._close(index)
+
+    @staticmethod
+    def _comment_end(html: str, start: int, pos: int) -> int:
+        """An unclosed comment runs to the end of the page, also past its last tag."""
+        return pos if html[start:pos].endswith(("--!>", "<!-->", "<!--->")) else len(html)
+
+    def _add_text(self, text: str, open_tags: list[tuple[str, int]], decode: bool = True) -> None:
+        if self._unclosed and text and not (open_tags and open_tags[-1][0] in NON_TEXT_TAGS):
+            self.text.append(unescape(text) if decode and "&" in text else text)
 
-    def handle_starttag(self, tag, attrs):
+    def _add_element(self, name: str, raw: str) -> int:
+        """Index of the element, or -1 outside every wanted element."""
+        fits = self._first_fits(name, raw) if self._missing else ()
+        if not fits and not self._unclosed:
+            return -1
         index = len(self.tags)
-        attributes = {name: value or "" for name, value in attrs} if attrs else {}
-        self.tags.append(tag)
-        self.attrs.append(attributes)
+        self.tags.append(name)
+        self.attrs.append(raw)
         self.end.append(index + 1)
         self.text_from.append(len(self.text))
         self.text_to.append(len(self.text))
-        if self._missing:
-            self._note_first(index, tag, attributes)
-        if tag not in VOID_TAGS:
-            self._open.append(index)
-            self._open_count[tag] = self._open_count.get(tag, 0) + 1
-        elif index in self._watched:
-            self._close(index)
-
-    def handle_startendtag(self, tag, attrs):
-        self.handle_starttag(tag, attrs)
-        if tag not in VOID_TAGS:
-            self.handle_endtag(tag)
-
-    def handle_endtag(self, tag):
-        if not self._open_count.get(tag):
-            return
+        if fits:
+            self._missing.difference_update(fits)
+            self.found.update(dict.fromkeys(fits, index))
+            self._unclosed.add(index)
+        return index
+
+    def _first_fits(self, name: str, raw: str) -> list[str]:
+        names = [name]
+        if raw:
+            attributes = _attributes(raw)
+            if "id" in attributes:
+                names.append("#" + attributes["id"])
+            names.extend(["." + token for token in attributes.get("class", "").split()])
+        return [n for n in names if n in self._missing]
+
+    def _pop(self, name: str, open_tags: list[tuple[str, int]], open_count: dict[str, int]) -> None:
         while True:
-            index = self._open.pop()
-            name = self.tags[index]
-            self._open_count[name] -= 1
-            self._close(index)
-            if name == tag:
+            last, index = open_tags.pop()
+            open_count[last] -= 1
+            if index >= 0:
+                self._close(index)
+            if last == name:
                 return
 
-    def handle_data(self, data):
-        if not (self._open and self.tags[self._open[-1]] in NON_TEXT_TAGS):
-            self.text.append(data)
-
-    def _note_first(self, index, tag, attributes):
-        names = [tag]
-        if "id" in attributes:
-            names.append("#" + attributes["id"])
-        if "class" in attributes:
-            names.extend("." + token for token in attributes["class"].split())
-        for name in self._missing.intersection(names):
-            self._missing.discard(name)
-            self.found[name] = index
-            self._watched.add(index)
-
-    def _close(self, index):
-        self.end[index] = len(self.tags)
-        self.text_to[index] = len(self.text)
-        if index in self._watched:
-            self._watched.discard(index)
-            if not self._watched and not self._missing:
-                raise _Complete
-
-    def read(self, html: str) -> _Outline:
-        try:
-            self.feed(html)
-            self.close()
-            while self._open:
-                self._close(self._open.pop())
-        except _Complete:
-            pass
-        return self
+    def _close(self, index: int) -> None:
+        if index >= 0:
+            self.end[index] = len(self.tags)
+            self.text_to[index] = len(self.text)
+            self._unclosed.discard(index)
 
     def first(self, below: int | None, tag: str) -> int | None:
         if below is None:
@@ -178,7 +225,7 @@ class _Outline(HTMLParser):
         return "".join(self.text[self.text_from[index] : self.text_to[index]])
 
     def attribute(self, index: int | None, name: str) -> str | None:
-        return None if index is None else self.attrs[index].get(name)
+        return None if index is None else _attributes(self.attrs[index]).get(name)
 
 
 def _links_of(page: _Outline, sel: Selectors) -> list | None:
@@ -207,7 +254,7 @@ def _fields(html: str | None, sel: Selectors, parts: tuple[str, ...]) -> dict:
         "links": sel.list_container, "pager": sel.pager, "hero": sel.hero,
         "title": sel.title, "license": sel.license, "detail": sel.detail,
     }
-    page = _Outline(where[part] for part in parts).read(html or "")
+    page = _Outline(html or "", [where[part] for part in parts])
     out: dict = {}
     for part in parts:
         at = page.found.get(where[part])

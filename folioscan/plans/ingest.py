@@ -20,7 +20,7 @@ from folioscan.functions.attributes import UNKNOWN_LABEL
 from folioscan.functions.text import clean_license_text
 from folioscan.functions.urls import ORIGIN_DIR, absolute_url, asset_name, asset_path, basename, item_code
 from folioscan.operators.assets import thumbnail_errors, thumbnail_job, thumbnail_rows
-from folioscan.operators.detail import broken_at, first_of_each, mapped_detail, repeated, unknown, wide_columns
+from folioscan.operators.detail import broken_at, repeated_attributes, unknown_titles, wide_columns, with_names
 from folioscan.operators.errors import (
     DUPLICATE,
     IMAGE_MESSAGE,
@@ -57,39 +57,24 @@ def item_rows(parsed: DataFrame, options: ItemOptions = ItemOptions()) -> DataFr
     ``has_parts``: image, title and licence block are there. ``has_rows``: so is a detail table
     without a broken row. Native expressions only, and no shuffle.
     """
-    detail = F.col("detail")
     has_parts = (
         F.col("has_hero") & F.col("title").isNotNull() & F.col("has_license") & F.col("license_src").isNotNull()
     )
-    mapped = parsed.withColumns({"mapped": mapped_detail(detail), "broken": broken_at(detail)})
-    marked = mapped.select(
+    named = with_names(parsed).withColumn("broken", broken_at())
+    return named.select(
         "page_id",
         options.item_id().alias("_id"),
         F.col("title").alias("filename"),
+        asset_path(options.item_id(), options.origin_dir).alias("path"),
         basename(F.col("license_src")).alias("license"),
         clean_license_text(F.col("license_text")).alias("license_name"),
+        *wide_columns(),
         absolute_url(options.base_url, F.col("license_src")).alias("license_url"),
         absolute_url(options.base_url, F.col("hero_src")).alias("hero_url"),
         F.coalesce(has_parts, F.lit(False)).alias("has_parts"),
-        (detail.isNotNull() & F.col("broken").isNull()).alias("has_rows"),
-        first_of_each(F.col("mapped")).alias("first"),
-        unknown(F.col("mapped"), F.col("broken")).alias("unknown"),
-        repeated(F.col("mapped")).alias("repeated"),
-    )
-    return marked.select(
-        "page_id",
-        "_id",
-        "filename",
-        asset_path(F.col("_id"), options.origin_dir).alias("path"),
-        "license",
-        "license_name",
-        *wide_columns(F.col("first")),
-        "license_url",
-        "hero_url",
-        "has_parts",
-        "has_rows",
-        F.transform("unknown", lambda row: row["title"]).alias("unknown_titles"),
-        F.transform("repeated", lambda row: row["attribute"]).alias("repeated_attributes"),
+        (F.col("detail").isNotNull() & F.col("broken").isNull()).alias("has_rows"),
+        unknown_titles(F.col("broken")).alias("unknown_titles"),
+        repeated_attributes().alias("repeated_attributes"),
     )
 
 

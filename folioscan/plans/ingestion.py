@@ -11,12 +11,13 @@ from folioscan.plans.registry import query
 from folioscan.plans.rendering import PART_ITEMS, part_pages
 from folioscan.sources.pages import spread, stream_pages
 from folioscan.sources.tables import ITEMS, LICENSES, read_table
-from folioscan.sources.workspace import new_folder
+from folioscan.sources.workspace import new_folder, written
 from folioscan.streaming.ingest import ingest_stream as stream_items
 
 
 def _staged(spark, sf_dir):
-    return item_rows(parse_pages(spread(part_pages(spark, sf_dir))))
+    """Parsed once and stored, as ``ingest_batch`` does: flags and errors read it several times."""
+    return written(item_rows(parse_pages(spread(part_pages(spark, sf_dir)))), "stage")
 
 
 @query(f"WITH {PART_ITEMS} SELECT page_id, _id, status FROM part_outcomes")

@@ -17,6 +17,9 @@ PAGE_SCHEMA = T.StructType(
     ]
 )
 
+# Inputs estimated above this many bytes per core have splits enough of their own.
+SPREAD_BYTES_PER_CORE = 64 << 20
+
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
     """Archive of raw pages. The schema is given, so no inference job runs."""
@@ -36,12 +39,12 @@ def stream_pages(spark: SparkSession, path: str, files_per_batch: int = 1000, na
 def spread(pages: DataFrame, key: str = "page_id") -> DataFrame:
     """Use idle cores for a small input before the parse; leave a large one as its scan splits it.
 
-    A scan split holds at most ``spark.sql.files.maxPartitionBytes``, so few splits mean little
-    data. Only when most cores would idle are the rows spread, by hash of ``key`` so that a
-    recomputed task sees the same rows. HTML at scale is never shuffled for this.
+    Spark's size estimate decides, so nothing runs for the check. A small input is spread by hash of
+    ``key``: a recomputed task sees the same rows. HTML at scale is never shuffled for this.
     """
     cores = pages.sparkSession.sparkContext.defaultParallelism
-    if pages.rdd.getNumPartitions() * 2 > cores:
+    estimate = int(pages._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    if estimate > cores * SPREAD_BYTES_PER_CORE:
         return pages
     return pages.repartition(cores, key)
 
