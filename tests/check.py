@@ -52,15 +52,15 @@ def compare(spark, con, name, query, sql, sf_dir):
     return None
 
 
-def session():
+def session(cores=8):
     from pyspark.sql import SparkSession
 
     spark = (
-        SparkSession.builder.master("local[8]")
+        SparkSession.builder.master(f"local[{cores}]")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "6g")
-        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.shuffle.partitions", str(cores))
         .config("spark.sql.session.timeZone", "UTC")
         .getOrCreate()
     )

@@ -14,7 +14,7 @@ SMALL = "/root/testdata/sf0.001"
 def spark():
     from check import session
 
-    spark = session()
+    spark = session(cores=4)
     yield spark
     spark.stop()
 
