@@ -34,7 +34,7 @@ from folioscan.operators.first_writer import absent, first_by_key
 from folioscan.operators.joins import BROADCAST_ROWS, dimension_join, hot_key_join
 from folioscan.operators.page_parse import ITEM_PARTS, Selectors, parse_pages
 from folioscan.sources.pages import spread
-from folioscan.sources.tables import BATCH, read_table, write_batch
+from folioscan.sources.tables import BATCH, read_table, write_batch, write_together
 from folioscan.sources.workspace import written
 
 
@@ -227,25 +227,25 @@ def ingest_batch(
     writers = first_writers(ready, stored("items"), "_id", small).select("page_id", F.lit(True).alias("first"))
     status = classify_outcome(F.col("complete"), failed, F.col("first").isNotNull())
     outcomes = flags.join(writers, "page_id", "left").select("page_id", "_id", status.alias("status"))
-    write_batch(outcomes, root, "outcomes", batch_id)
-
-    outcomes = read_table(spark, root, "outcomes").filter(F.col(BATCH) == batch_id)
-    inserted = outcomes.filter(F.col("status") == INSERTED).select("page_id")
-    write_batch(staged.join(inserted, "page_id", "left_semi"), root, "items", batch_id)
 
     # A licence is stored as soon as its block is read, also when the item itself fails later.
     icons = first_writers(flags.filter("stores_license"), stored("licenses"), "license", small).select("page_id")
     icon_rows = staged.select("page_id", "license", "license_name", "license_url").join(icons, "page_id", "left_semi")
-    write_batch(with_payload(icon_rows, assets, "license_url"), root, "licenses", batch_id)
+    licenses = with_payload(icon_rows, assets, "license_url")
+    write_together({"outcomes": outcomes, "licenses": licenses}, root, batch_id)
 
+    outcomes = read_table(spark, root, "outcomes").filter(F.col(BATCH) == batch_id)
+    inserted = outcomes.filter(F.col("status") == INSERTED).select("page_id")
+    tables = {"items": staged.join(inserted, "page_id", "left_semi")}
     duplicates = outcomes.filter(F.col("status") == DUPLICATE).select("page_id", "_id")
     if assets is None:
         duplicates = duplicates.limit(0)
     else:
         image_rows = staged.select("page_id", "_id", "hero_url").join(inserted, "page_id", "left_semi")
         named = image_rows.withColumn("filename", asset_name(F.col("_id")))
-        write_batch(with_payload(named, assets, "hero_url"), root, "images", batch_id)
-    write_batch(error_rows(staged, flags, duplicates), root, "errors", batch_id)
+        tables["images"] = with_payload(named, assets, "hero_url")
+    tables["errors"] = error_rows(staged, flags, duplicates)
+    write_together(tables, root, batch_id)
 
 
 def thumbnail_batch(images: DataFrame, batch_id: int, root: str) -> None:

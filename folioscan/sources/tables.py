@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark import inheritable_thread_target
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -71,6 +74,20 @@ def write_batch(rows: DataFrame, root: str, name: str, batch_id: int) -> None:
     rows.select(*columns).write.mode("overwrite").parquet(f"{root}/{name}/{BATCH}={batch_id}")
 
 
+def write_together(tables: dict[str, DataFrame], root: str, batch_id: int) -> None:
+    """Write one batch's part of several tables as concurrent jobs.
+
+    The tables share their inputs and no order, and the last tasks of one job leave cores for the
+    next. The first failure is raised after all jobs have ended.
+    """
+    spark = next(iter(tables.values())).sparkSession
+    write = inheritable_thread_target(spark)(write_batch)
+    with ThreadPoolExecutor(len(tables)) as pool:
+        jobs = [pool.submit(write, rows, root, name, batch_id) for name, rows in tables.items()]
+    for job in jobs:
+        job.result()
+
+
 def reset_tables(spark: SparkSession, root: str, names=tuple(TABLES)) -> None:
     """Empty the tables; they stay readable."""
     for name in names:
