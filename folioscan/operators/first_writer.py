@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -23,24 +25,28 @@ def first_by_key(rows: DataFrame, key: Sequence[str], order: Sequence[str]) -> D
     return rows.groupBy(*key).agg(first).select(*key, "first.*").select(*rows.columns)
 
 
-def absent(rows: DataFrame, existing: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Rows whose key is not stored yet. Nulls compare equal."""
+def absent(rows: DataFrame, existing: DataFrame, key: Sequence[str], small: bool = False) -> DataFrame:
+    """Rows whose key is not stored yet. Nulls compare equal.
+
+    Say ``small`` when the caller has counted ``rows`` and they fit a broadcast: the store is then
+    scanned against them in place, and only its few matching keys take part in the anti join. A
+    store that keeps growing is never shuffled for a small batch.
+    """
     stored = existing.select(*[F.col(c).alias(f"stored_{c}") for c in key])
-    same = [F.col(c).eqNullSafe(F.col(f"stored_{c}")) for c in key]
-    condition = same[0]
-    for term in same[1:]:
-        condition = condition & term
-    return rows.join(stored, condition, "left_anti")
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"stored_{c}")) for c in key])
+    if small:
+        stored = stored.join(F.broadcast(rows.select(*key)), same, "left_semi").distinct()
+    return rows.join(stored, same, "left_anti")
 
 
 def insert_if_absent(
-    new: DataFrame, existing: DataFrame, key: Sequence[str], order: Sequence[str]
+    new: DataFrame, existing: DataFrame, key: Sequence[str], order: Sequence[str], small: bool = False
 ) -> DataFrame:
     """Rows of ``new`` to append: the first of each key, unless the key is stored already.
 
     The fold comes before the anti join, so that join never meets a hot key.
     """
-    return absent(first_by_key(new, key, order), existing, key)
+    return absent(first_by_key(new, key, order), existing, key, small)
 
 
 def license_dimension(rows: DataFrame, license: str = "license", order: Sequence[str] = ("page_id",)) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Dimension rows a task can hold comfortably; above it the join shuffles, hot keys split.
@@ -61,6 +61,26 @@ def dimension_join(
     return hot_key_join(facts, dimension, key, spread_by, how, rows_per_split)
 
 
+# Long keys that fit a broadcast: about 100 MB as a hash table.
+BROADCAST_KEYS = 4_000_000
+
+
+def keep_marked(rows: DataFrame, marks: DataFrame, key: str, kept: Column, limit: int = BROADCAST_KEYS) -> DataFrame:
+    """Wide ``rows`` whose key ``marks`` keeps. ``key`` is a long that is unique on both sides.
+
+    ``marks`` has one narrow row per row. The kept and the other keys are counted; whichever set is
+    small is broadcast, as a semi or an anti join, and the wide rows stay where they are. Only when
+    both are large do the rows shuffle.
+    """
+    counted = marks.agg(F.count_if(kept).alias("kept"), F.count_if(~kept).alias("other")).first()
+    inside, outside = marks.filter(kept).select(key), marks.filter(~kept).select(key)
+    if counted["kept"] <= limit:
+        return rows.join(F.broadcast(inside), key, "left_semi")
+    if counted["other"] <= limit:
+        return rows.join(F.broadcast(outside), key, "left_anti")
+    return rows.join(inside, key, "left_semi")
+
+
 def license_for_item(items: DataFrame, licenses: DataFrame, item_id: str = "_id", **options) -> DataFrame:
     """Every item with the stored licence it names (items whose licence is not stored drop out)."""
     stored = licenses.select(

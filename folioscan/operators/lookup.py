@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from folioscan.functions.payload import encode_base64
 from folioscan.functions.text import json_object, key_label
 
 # Fixed value: the answer for an id that is not stored.
@@ -18,13 +19,30 @@ def lookup(table: DataFrame, key: str, value) -> DataFrame:
     return table.filter(F.col(key) == F.lit(value)).limit(1)
 
 
-def lookup_json(wanted: DataFrame, table: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
+def lookup_json(wanted: DataFrame, table: DataFrame, key: str, columns: Sequence[Column | str]) -> DataFrame:
     """``(key, answer)`` for every wanted key: the row as JSON, ``{}`` when it is not stored."""
     answers = table.select(key, json_object(*columns).alias("answer"))
     joined = wanted.select(key).distinct().join(answers, key, "left")
     return joined.select(key, F.coalesce("answer", F.lit(EMPTY_OBJECT)).alias("answer"))
 
 
+def renamed(names: dict[str, str]) -> list[Column]:
+    """Answer columns of an asset or licence table; the payload ``hash_`` as base64."""
+    return [(encode_base64(F.col(old)) if old == "hash_" else F.col(old)).alias(new) for old, new in names.items()]
+
+
+def page_answer(rows: DataFrame, order: str) -> DataFrame:
+    """One ``answer`` for a page of rows: ``{"list": [..]}`` in ``order``.
+
+    For slices only: a page has as many rows as the caller asked for.
+    """
+    listed = F.transform(
+        F.array_sort(F.collect_list(F.struct(F.col(order).alias("at"), F.struct(*rows.columns).alias("row")))),
+        lambda entry: entry["row"],
+    )
+    return rows.agg(json_object(listed.alias("list")).alias("answer"))
+
+
 def select_rename(table: DataFrame, names: dict[str, str]) -> DataFrame:
     """Column subset under new names, stored name -> answer name."""
     return table.select(*[F.col(old).alias(new) for old, new in names.items()])

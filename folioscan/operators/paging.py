@@ -60,7 +60,7 @@ def with_rank(rows: DataFrame, order: Sequence[str], partitions: int | None = No
 def assign_pages(rows: DataFrame, order: Sequence[str], size: int = PAGE_SIZE) -> DataFrame:
     """``(order.., page, slot)`` for every row: its 1-based page and its 0-based place there."""
     ranked = with_rank(rows, order)
-    page = F.floor(F.col("rank") / size) + 1
+    page = F.expr(f"rank div {int(size)} + 1")
     return ranked.select(*order, page.alias("page"), F.pmod("rank", F.lit(size)).alias("slot"))
 
 
@@ -78,22 +78,36 @@ def first_row(rows: DataFrame, order: Sequence[str]) -> DataFrame:
     return rows.orderBy(*order).limit(1)
 
 
-def page_slice(payloads: DataFrame, key: str, start: int | None, count: int | None) -> DataFrame:
-    """A slice of a table with wide payloads: keys first, payloads after.
+def _slice_keys(payloads: DataFrame, key: str, start: int, count: int) -> tuple[DataFrame, Column]:
+    """The keys of a slice, and a condition that bounds any scan that looks for them.
 
-    The keys of a slice are neighbours in key order, so their smallest and largest bound the payload
-    scan: both bounds are scalar subqueries that reach the parquet filters and skip row groups. The
-    join then picks the exact rows; the key side is at most ``count`` rows and is broadcast when
-    that is small.
+    The keys of a slice are neighbours in key order. Their smallest and largest are scalar
+    subqueries, which reach the parquet filters and skip row groups.
     """
     keys = slice_rows(payloads.select(key), [key], start, count)
+    low, high = keys.agg(F.min(key)).scalar(), keys.agg(F.max(key)).scalar()
+    return F.broadcast(keys) if count <= SHALLOW_ROWS else keys, (F.col(key) >= low) & (F.col(key) <= high)
+
+
+def page_slice(payloads: DataFrame, key: str, start: int | None, count: int | None) -> DataFrame:
+    """A slice of a table with wide payloads: keys first, payloads after. ``key`` names a row.
+
+    The key side is at most ``count`` rows and is broadcast when that is small.
+    """
     if start is None or count is None:
         return payloads.limit(0)
-    low, high = keys.agg(F.min(key)).scalar(), keys.agg(F.max(key)).scalar()
-    near = payloads.filter((F.col(key) >= low) & (F.col(key) <= high))
-    return near.join(F.broadcast(keys) if count <= SHALLOW_ROWS else keys, key)
+    keys, near = _slice_keys(payloads, key, start, count)
+    return payloads.filter(near).join(keys, key)
 
 
 def data_range(payloads: DataFrame, items: DataFrame, key: str, start: int | None, count: int | None) -> DataFrame:
-    """A page slice with the item row of each asset as a struct, null when there is none."""
-    return enrich_with_info(page_slice(payloads, key, start, count), items, key)
+    """A page slice with the item row of each asset as a struct, null when there is none.
+
+    The item rows of the slice are picked first, under the same bounds, so the left join meets a
+    slice on both sides and not the item table.
+    """
+    if start is None or count is None:
+        return enrich_with_info(payloads.limit(0), items, key)
+    keys, near = _slice_keys(payloads, key, start, count)
+    wanted = items.filter(near).join(keys, key, "left_semi")
+    return enrich_with_info(payloads.filter(near).join(keys, key), wanted, key)

@@ -9,17 +9,26 @@ from folioscan.functions.text import json_object, run_label
 from folioscan.functions.urls import item_code
 from folioscan.operators import paging, summary
 from folioscan.operators.assets import materialise_missing as missing_assets
-from folioscan.operators.errors import item_error_line, log_item_lines, retry_candidates, retry_pass as pages_to_retry
+from folioscan.operators.errors import log_item_lines, retry_candidates, retry_pass as pages_to_retry
 from folioscan.operators.first_writer import insert_if_absent as inserts
 from folioscan.operators.joins import catalogue_audit, license_for_item
-from folioscan.operators.lookup import IMAGE_NAMES, lookup, lookup_json, non_empty_attributes, select_rename
+from folioscan.operators.lookup import (
+    IMAGE_NAMES,
+    LICENSE_NAMES,
+    lookup,
+    lookup_json,
+    non_empty_attributes,
+    page_answer as answer_of_page,
+    renamed,
+    select_rename,
+)
 from folioscan.operators.page_parse import parse_pages
-from folioscan.plans.ingest import item_rows
+from folioscan.plans.ingest import error_rows, item_rows, routed
 from folioscan.plans.registry import query
 from folioscan.plans.rendering import EVENT_LOG, PART_ITEMS, event_log, part_pages, table
 from folioscan.sources.logs import read_error_log, run_metadata as header_rows, write_error_log
 from folioscan.sources.pages import spread
-from folioscan.sources.workspace import new_folder
+from folioscan.sources.workspace import new_folder, written
 
 
 @query("""
@@ -74,17 +83,19 @@ def retry_urls(spark, sf_dir):
 
 
 @query(f"""
-WITH {PART_ITEMS}
+WITH {PART_ITEMS},
+logged AS (SELECT _id FROM part_items WHERE complete AND (failed OR has_unknown OR has_repeated)
+           UNION SELECT _id FROM part_items WHERE has_table AND has_unknown)
 SELECT page_id, _id, CASE WHEN complete THEN summary_info END AS summary_info FROM part_items
-WHERE _id IN (SELECT _id FROM part_items WHERE failed AND _id <> 'error')
+WHERE _id <> 'error' AND _id IN (SELECT _id FROM logged)
 """)
 def retry_pass(spark, sf_dir):
-    """Pages of the items that failed, parsed once more; pages still broken have no detail."""
+    """One pass over all items, then another over the ones its log names."""
     pages = part_pages(spark, sf_dir)
-    failed = table(spark, sf_dir, "part").filter("p_size % 10 = 9").select("p_partkey")
-    urls = pages.join(failed, F.col("page_id") == F.col("p_partkey"), "left_semi")
-    lines = urls.select(item_error_line(item_code(F.col("url")), F.lit("timed out")).alias("value"))
-    again = pages_to_retry(lines, pages, item_code(F.col("url")))
+    staged = written(item_rows(parse_pages(spread(pages))), "stage")
+    flags = routed(staged, None, small=False)
+    errors = error_rows(staged, flags, flags.select("page_id", "_id").limit(0))
+    again = pages_to_retry(errors, pages, item_code(F.col("url")), "line")
     rows = item_rows(parse_pages(spread(again)))
     shown = F.when(F.col("has_parts") & F.col("has_rows"), F.col("summary_info"))
     return rows.select("page_id", "_id", shown.alias("summary_info"))
@@ -190,6 +201,46 @@ def item_lookup(spark, sf_dir):
     return lookup_json(ids, table(spark, sf_dir, "documents"), "doc_id", ["doc_id", "lang", "source", "n_chars"])
 
 
+@query("""
+WITH wanted AS (SELECT DISTINCT doc_id FROM labels UNION SELECT -1 - doc_id FROM labels)
+SELECT w.doc_id, CASE WHEN d.doc_id IS NULL THEN '{}' ELSE CAST(to_json(
+  {'id': d.doc_id, 'filename': d.doc_id || '.png', 'hashimg': base64(encode(d.text))}) AS VARCHAR) END AS answer
+FROM wanted w LEFT JOIN documents d ON w.doc_id = d.doc_id
+""")
+def image_lookup(spark, sf_dir):
+    """Image answers for every labelled id and as many ids without an image."""
+    ids = table(spark, sf_dir, "labels").select(F.explode(F.array("doc_id", -1 - F.col("doc_id"))).alias("doc_id"))
+    images = table(spark, sf_dir, "documents").select(
+        "doc_id",
+        F.col("doc_id").alias("_id"),
+        F.concat(F.col("doc_id").cast("string"), F.lit(".png")).alias("filename"),
+        F.col("text").cast("binary").alias("hash_"),
+    )
+    return lookup_json(ids, images, "doc_id", renamed(IMAGE_NAMES))
+
+
+@query("""
+WITH t AS (SELECT doc_id, source, n_chars FROM documents ORDER BY doc_id LIMIT 9 OFFSET 27)
+SELECT CAST(to_json({'list': list({'doc_id': doc_id, 'source': source, 'n_chars': n_chars} ORDER BY doc_id)})
+            AS VARCHAR) AS answer FROM t
+""")
+def page_answer(spark, sf_dir):
+    documents = table(spark, sf_dir, "documents").select("doc_id", "source", "n_chars")
+    return answer_of_page(paging.page(documents, ["doc_id"], 4), "doc_id")
+
+
+@query("""
+SELECT c_custkey, c_mktsegment AS licensename, c_nationkey || '.png' AS filename FROM customer
+""")
+def license_answers(spark, sf_dir):
+    items = table(spark, sf_dir, "customer").select(
+        "c_custkey",
+        F.col("c_mktsegment").alias("license_name"),
+        F.concat(F.col("c_nationkey").cast("string"), F.lit(".png")).alias("license"),
+    )
+    return select_rename(items, {"c_custkey": "c_custkey", **LICENSE_NAMES})
+
+
 @query("SELECT p_partkey, p_name, p_brand FROM part WHERE p_partkey = 42 LIMIT 1")
 def point_lookup(spark, sf_dir):
     return lookup(table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand"), "p_partkey", 42)
@@ -229,11 +280,11 @@ def nested_json(spark, sf_dir):
 
 
 def _licensed(spark, sf_dir):
-    """Orders as items and customers as the licences they name."""
+    """Orders as items and customers as the licences they name; one segment's are not stored."""
     items = table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").cast("string").alias("_id"), F.col("o_custkey").cast("string").alias("license")
     )
-    licenses = table(spark, sf_dir, "customer").filter("c_nationkey <> 3").select(
+    licenses = table(spark, sf_dir, "customer").filter("c_mktsegment <> 'BUILDING'").select(
         F.col("c_custkey").cast("string").alias("license"),
         F.col("c_mktsegment").alias("license_name"),
         F.col("c_name").cast("binary").alias("hash_"),
@@ -244,7 +295,7 @@ def _licensed(spark, sf_dir):
 _LICENSED = """
 SELECT CAST(o_orderkey AS VARCHAR) AS _id, CAST(c_custkey AS VARCHAR) AS id, c_mktsegment AS license_name,
        base64(encode(c_name)) AS hashlicense
-FROM orders, customer WHERE o_custkey = c_custkey AND c_nationkey <> 3
+FROM orders, customer WHERE o_custkey = c_custkey AND c_mktsegment <> 'BUILDING'
 """
 
 
@@ -277,7 +328,7 @@ WITH planned AS (
   SELECT o_orderkey AS page_id, o_custkey || '.png' AS filename,
          CASE o_orderstatus WHEN 'F' THEN 'origin' WHEN 'O' THEN 'thumbnail' ELSE 'license' END AS kind FROM orders
 ),
-existing AS (SELECT 'origin' AS kind, c_custkey || '.png' AS filename FROM customer WHERE c_nationkey < 5)
+existing AS (SELECT 'origin' AS kind, c_custkey || '.png' AS filename FROM customer WHERE c_mktsegment = 'BUILDING')
 SELECT kind, filename, min(page_id) AS page_id FROM planned p
 WHERE kind IN ('origin', 'thumbnail')
   AND NOT EXISTS (SELECT 1 FROM existing e WHERE e.kind = p.kind AND e.filename = p.filename)
@@ -291,7 +342,7 @@ def materialise_missing(spark, sf_dir):
         F.concat(F.col("o_custkey").cast("string"), F.lit(".png")).alias("filename"),
         kind.alias("kind"),
     )
-    existing = table(spark, sf_dir, "customer").filter("c_nationkey < 5").select(
+    existing = table(spark, sf_dir, "customer").filter("c_mktsegment = 'BUILDING'").select(
         F.lit("origin").alias("kind"), F.concat(F.col("c_custkey").cast("string"), F.lit(".png")).alias("filename")
     )
     return missing_assets(planned, existing, {"origin": True, "thumbnail": True, "license": False})

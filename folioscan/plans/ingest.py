@@ -30,8 +30,8 @@ from folioscan.operators.errors import (
     license_error_line,
     retry_pass,
 )
-from folioscan.operators.first_writer import absent, first_by_key
-from folioscan.operators.joins import BROADCAST_ROWS, dimension_join, hot_key_join
+from folioscan.operators.first_writer import insert_if_absent
+from folioscan.operators.joins import BROADCAST_ROWS, dimension_join, hot_key_join, keep_marked
 from folioscan.operators.page_parse import ITEM_PARTS, Selectors, parse_pages
 from folioscan.sources.pages import spread
 from folioscan.sources.tables import BATCH, read_table, write_batch, write_together
@@ -78,25 +78,33 @@ def item_rows(parsed: DataFrame, options: ItemOptions = ItemOptions()) -> DataFr
     )
 
 
-def lost_assets(staged: DataFrame, assets: DataFrame) -> DataFrame:
+def _archived(assets: DataFrame, urls: DataFrame, small: bool) -> DataFrame:
+    """The assets some of the distinct ``urls`` name; a small list goes to the archive, not the archive to it."""
+    return assets.join(F.broadcast(urls) if small else urls, "url", "left_semi")
+
+
+def lost_assets(staged: DataFrame, assets: DataFrame, small: bool) -> DataFrame:
     """``(page_id, lost_hero, lost_icon)``: pages whose image or licence icon is not archived.
 
     Only urls are read from ``assets`` (``url``, ``payload``). They fold to distinct urls before the
-    anti joins, so an icon that very many items share is looked up once.
+    anti join, so an icon that very many items share is looked up once.
     """
-    known = assets.select("url").distinct()
-    heroes = staged.select("hero_url").filter("hero_url is not null").distinct()
-    icons = staged.select("license_url").filter("license_url is not null").distinct()
-    lost_heroes = heroes.join(known, F.col("hero_url") == F.col("url"), "left_anti").withColumn("lost_hero", F.lit(True))
-    lost_icons = icons.join(known, F.col("license_url") == F.col("url"), "left_anti").withColumn("lost_icon", F.lit(True))
     urls = staged.select("page_id", "hero_url", "license_url")
-    by_hero = dimension_join(urls, lost_heroes, "hero_url", ["page_id"], "left")
-    by_icon = dimension_join(by_hero, lost_icons, "license_url", ["page_id"], "left")
-    lost = F.coalesce("lost_hero", F.lit(False)), F.coalesce("lost_icon", F.lit(False))
-    return by_icon.select("page_id", lost[0].alias("lost_hero"), lost[1].alias("lost_icon"))
+    wanted = urls.select(F.explode(F.array("hero_url", "license_url")).alias("url")).filter("url is not null").distinct()
+    known = _archived(assets.select("url"), wanted, small).distinct()
+    lost = wanted.join(known, "url", "left_anti")
+    heroes = lost.select(F.col("url").alias("hero_url"), F.lit(True).alias("lost_hero"))
+    icons = lost.select(F.col("url").alias("license_url"), F.lit(True).alias("lost_icon"))
+    by_hero = dimension_join(urls, heroes, "hero_url", ["page_id"], "left")
+    by_icon = dimension_join(by_hero, icons, "license_url", ["page_id"], "left")
+    return by_icon.select(
+        "page_id",
+        F.coalesce("lost_hero", F.lit(False)).alias("lost_hero"),
+        F.coalesce("lost_icon", F.lit(False)).alias("lost_icon"),
+    )
 
 
-def routed(staged: DataFrame, assets: DataFrame | None) -> DataFrame:
+def routed(staged: DataFrame, assets: DataFrame | None, small: bool) -> DataFrame:
     """Narrow flags per page: ``complete``, ``failure``, ``stores_license`` and ``logs_labels``.
 
     The events on a page come in this order: parts, licence icon, detail rows, image.
@@ -105,7 +113,7 @@ def routed(staged: DataFrame, assets: DataFrame | None) -> DataFrame:
     if assets is None:
         flags = narrow.withColumns({"lost_hero": F.lit(False), "lost_icon": F.lit(False)})
     else:
-        flags = narrow.join(lost_assets(staged, assets), "page_id")
+        flags = narrow.join(lost_assets(staged, assets, small), "page_id")
     lost_icon = F.col("has_parts") & F.col("lost_icon")
     failure = (
         F.when(lost_icon, F.lit("licence icon not found"))
@@ -124,15 +132,8 @@ def routed(staged: DataFrame, assets: DataFrame | None) -> DataFrame:
 
 
 def first_writers(candidates: DataFrame, stored: DataFrame, key: str, small: bool) -> DataFrame:
-    """``(key, page_id)`` of the pages that write ``key``: the first of each, if it is not stored.
-
-    For a small batch the stored keys are scanned against the broadcast batch, so a growing table is
-    never shuffled for a micro-batch.
-    """
-    firsts = first_by_key(candidates.select(key, "page_id"), [key], ["page_id"])
-    if small:
-        stored = stored.select(key).join(F.broadcast(firsts.select(key)), key, "left_semi").distinct()
-    return absent(firsts, stored, [key])
+    """``(key, page_id)`` of the pages that write ``key``: the first of each, if it is not stored."""
+    return insert_if_absent(candidates.select(key, "page_id"), stored, [key], ["page_id"], small)
 
 
 def error_rows(staged: DataFrame, flags: DataFrame, conflicts: DataFrame) -> DataFrame:
@@ -183,7 +184,7 @@ def error_rows(staged: DataFrame, flags: DataFrame, conflicts: DataFrame) -> Dat
     return logged.unionByName(images)
 
 
-def with_payload(rows: DataFrame, assets: DataFrame | None, url: str) -> DataFrame:
+def with_payload(rows: DataFrame, assets: DataFrame | None, url: str, small: bool) -> DataFrame:
     """Adds ``hash_``, the archived bytes of ``url``; null without an asset archive.
 
     Called for rows that will be stored only, and joined with hot urls split: a placeholder image
@@ -192,8 +193,8 @@ def with_payload(rows: DataFrame, assets: DataFrame | None, url: str) -> DataFra
     """
     if assets is None:
         return rows.withColumn("hash_", F.lit(None).cast("binary"))
-    wanted = rows.select(F.col(url).alias("url")).distinct()
-    payloads = assets.join(wanted, "url", "left_semi").groupBy("url").agg(F.min("payload").alias("hash_"))
+    wanted = rows.select(F.col(url).alias("url")).filter("url is not null").distinct()
+    payloads = _archived(assets, wanted, small).groupBy("url").agg(F.min("payload").alias("hash_"))
     return hot_key_join(
         rows, payloads.withColumnRenamed("url", url), url, ["page_id"], "left", rows_per_split=PAYLOADS_PER_SPLIT
     )
@@ -213,11 +214,11 @@ def ingest_batch(
     """Add one batch of item pages to the catalogue below ``root``."""
     spark = pages.sparkSession
     parsed = parse_pages(spread(pages), ITEM_PARTS, selectors=options.selectors)
-    staged = written(item_rows(parsed, options), "stage")
-    flags = routed(staged, assets)
-    if assets is not None:
-        flags = written(flags, "flags")
+    staged = written(item_rows(parsed, options), "stage", root)
     small = staged.count() <= BROADCAST_ROWS
+    flags = routed(staged, assets, small)
+    if assets is not None:
+        flags = written(flags, "flags", root)
 
     def stored(name: str) -> DataFrame:
         return read_table(spark, root, name).filter(F.col(BATCH) < batch_id)
@@ -231,29 +232,29 @@ def ingest_batch(
     # A licence is stored as soon as its block is read, also when the item itself fails later.
     icons = first_writers(flags.filter("stores_license"), stored("licenses"), "license", small).select("page_id")
     icon_rows = staged.select("page_id", "license", "license_name", "license_url").join(icons, "page_id", "left_semi")
-    licenses = with_payload(icon_rows, assets, "license_url")
+    licenses = with_payload(icon_rows, assets, "license_url", small)
     write_together({"outcomes": outcomes, "licenses": licenses}, root, batch_id)
 
     outcomes = read_table(spark, root, "outcomes").filter(F.col(BATCH) == batch_id)
-    inserted = outcomes.filter(F.col("status") == INSERTED).select("page_id")
-    tables = {"items": staged.join(inserted, "page_id", "left_semi")}
+    inserted = F.col("status") == INSERTED
+    tables = {"items": keep_marked(staged, outcomes, "page_id", inserted)}
     duplicates = outcomes.filter(F.col("status") == DUPLICATE).select("page_id", "_id")
     if assets is None:
         duplicates = duplicates.limit(0)
     else:
-        image_rows = staged.select("page_id", "_id", "hero_url").join(inserted, "page_id", "left_semi")
+        image_rows = keep_marked(staged.select("page_id", "_id", "hero_url"), outcomes, "page_id", inserted)
         named = image_rows.withColumn("filename", asset_name(F.col("_id")))
-        tables["images"] = with_payload(named, assets, "hero_url")
+        tables["images"] = with_payload(named, assets, "hero_url", small)
     tables["errors"] = error_rows(staged, flags, duplicates)
     write_together(tables, root, batch_id)
 
 
 def thumbnail_batch(images: DataFrame, batch_id: int, root: str) -> None:
     """Add the thumbnails of decoded images (``read_images``); failures go to their own table."""
-    made = written(thumbnail_job(images), "thumbnails")
-    rows = first_by_key(thumbnail_rows(made), ["_id"], ["filename"])
+    made = written(thumbnail_job(images), "thumbnails", root)
     stored = read_table(images.sparkSession, root, "thumbnails").filter(F.col(BATCH) < batch_id)
-    write_batch(absent(rows, stored, ["_id"]), root, "thumbnails", batch_id)
+    rows = insert_if_absent(thumbnail_rows(made), stored, ["_id"], ["filename"], made.count() <= BROADCAST_ROWS)
+    write_batch(rows, root, "thumbnails", batch_id)
     write_batch(thumbnail_errors(made), root, "thumbnail_errors", batch_id)
 
 

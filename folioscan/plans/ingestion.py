@@ -22,10 +22,10 @@ def _staged(spark, sf_dir):
 
 @query(f"WITH {PART_ITEMS} SELECT page_id, _id, status FROM part_outcomes")
 def item_outcomes(spark, sf_dir):
-    flags = routed(_staged(spark, sf_dir), None)
+    flags = routed(_staged(spark, sf_dir), None, small=False)
     failed = F.col("failure").isNotNull()
     nothing = read_table(spark, new_folder(spark, "empty"), "items")
-    writers = first_writers(flags.filter(F.col("complete") & ~failed), nothing, "_id", small=True)
+    writers = first_writers(flags.filter(F.col("complete") & ~failed), nothing, "_id", small=False)
     marked = flags.join(writers.select("page_id", F.lit(True).alias("first")), "page_id", "left")
     status = classify_outcome(F.col("complete"), failed, F.col("first").isNotNull())
     return marked.select("page_id", "_id", status.alias("status"))
@@ -50,7 +50,7 @@ SELECT page_id, _id AS item_id, stage, message, _id || ' : ' || tail AS line FRO
 """)
 def catalogue_errors(spark, sf_dir):
     staged = _staged(spark, sf_dir)
-    flags = routed(staged, None)
+    flags = routed(staged, None, small=False)
     return error_rows(staged, flags, flags.select("page_id", "_id").limit(0))
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import tempfile
 import uuid
 
@@ -32,8 +33,17 @@ def checkpointed(rows: DataFrame) -> DataFrame:
     return rows.checkpoint(eager=True)
 
 
-def written(rows: DataFrame, label: str) -> DataFrame:
-    """The rows as a parquet table in the shared folder, so that later reads prune its columns."""
-    path = new_folder(rows.sparkSession, label)
-    rows.write.parquet(path)
-    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+def written(rows: DataFrame, label: str, owner: str | None = None) -> DataFrame:
+    """The rows as a parquet table in the shared folder, so that later reads prune its columns.
+
+    With an ``owner`` (the root of a catalogue, which has one writer) the table replaces the one its
+    last batch left, so a long-running stream keeps no more than one batch of intermediate rows.
+    """
+    spark = rows.sparkSession
+    if owner is None:
+        path = new_folder(spark, label)
+    else:
+        name = hashlib.sha256(owner.encode()).hexdigest()[:24]
+        path = f"{workspace(spark).rstrip('/')}/folioscan/{label}-{name}"
+    rows.write.mode("overwrite").parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)

@@ -4,6 +4,7 @@ import pytest
 from conftest import SMALL
 from pyspark.sql import functions as F
 
+from folioscan.operators.joins import keep_marked
 from folioscan.plans.ingest import ItemOptions, ingest_batch, reingest
 from folioscan.plans.rendering import part_pages
 from folioscan.sources.pages import stream_pages
@@ -122,6 +123,7 @@ def test_large_and_small_batches_agree(spark, pages, assets, monkeypatch):
             ingest_batch(part, batch_id, root, OPTIONS, assets)
         monkeypatch.setattr(plan, "BROADCAST_ROWS", -1)
         monkeypatch.setattr(plan, "PAYLOADS_PER_SPLIT", 1)
+        monkeypatch.setattr(plan, "keep_marked", lambda *a: keep_marked(*a, limit=-1))
     assert snapshot(spark, one) == snapshot(spark, two)
 
 

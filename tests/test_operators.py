@@ -7,7 +7,7 @@ from folioscan.operators.assets import materialise_missing
 from folioscan.operators.detail import detail_rows, map_attributes, to_wide, whole_tables, widen
 from folioscan.operators.errors import log_item_lines, retry_candidates, retry_pass
 from folioscan.operators.first_writer import first_by_key, insert_if_absent, license_dimension
-from folioscan.operators.joins import catalogue_audit, dimension_join, enrich_with_info, hot_key_join
+from folioscan.operators.joins import catalogue_audit, dimension_join, enrich_with_info, hot_key_join, keep_marked
 from folioscan.operators.lookup import lookup, lookup_json, non_empty_attributes
 from folioscan.operators.page_parse import parse_pages
 from folioscan.sources.logs import header_line, read_error_log, run_metadata, write_error_log
@@ -56,7 +56,8 @@ def test_first_by_key(spark):
     df = spark.createDataFrame([("a", 3, "x"), ("a", 1, "y"), ("b", 2, None), (None, 5, "z"), (None, 4, "w")], "k string, o int, v string")
     assert rows(first_by_key(df, ["k"], ["o"]), F.col("k").asc_nulls_first()) == [(None, 4, "w"), ("a", 1, "y"), ("b", 2, None)]
     stored = spark.createDataFrame([("b",), (None,)], "k string")
-    assert rows(insert_if_absent(df, stored, ["k"], ["o"])) == [("a", 1, "y")]
+    for small in (False, True):
+        assert rows(insert_if_absent(df, stored, ["k"], ["o"], small)) == [("a", 1, "y")]
 
 
 def test_insert_is_idempotent_and_complete(spark):
@@ -102,6 +103,14 @@ def test_hot_key_is_spread(spark):
     assert len(used) > 3 and max(r["count"] for r in used) < 2000
 
 
+@pytest.mark.parametrize("limit", [100, 30, 0])
+def test_keep_marked(spark, limit):
+    """Few kept, few dropped, or many of both: the same rows."""
+    wide = spark.range(100).withColumn("v", F.col("id") * 2)
+    for kept in (F.col("id") % 10 == 0, F.col("id") % 10 != 0, F.col("id") % 2 == 0):
+        assert rows(keep_marked(wide, spark.range(100), "id", kept, limit)) == rows(wide.filter(kept))
+
+
 def test_enrich_and_audit(spark):
     assets = spark.createDataFrame([("1", b"a"), ("2", b"b")], "_id string, hash_ binary")
     items = spark.createDataFrame([("2", "t"), ("3", "u")], "_id string, filename string")
@@ -179,6 +188,10 @@ def test_slices(spark, monkeypatch):
         assert rows(paging.slice_rows(df, ["k"], start, count)) == want[start : start + count]
         assert rows(paging.page_slice(df, "k", start, count)) == want[start : start + count]
     assert rows(paging.page(df, ["k"], 3)) == want[18:27]
+    items = spark.range(0, 500, 2).select(F.col("id").alias("k"), F.lit("i").alias("t"))
+    got = paging.data_range(df, items, "k", 18, 3).orderBy("k").collect()
+    assert [tuple(r) for r in got] == [(18, 481, (18, "i")), (19, 480, None), (20, 479, (20, "i"))]
+    assert paging.data_range(df, items, "k", 18, None).count() == 0
     assert paging.slice_rows(df, ["k"], None, 9).count() == 0
     assert paging.page_slice(df, "k", 0, None).count() == 0
     monkeypatch.setattr(paging, "SHALLOW_ROWS", 10)
