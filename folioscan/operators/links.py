@@ -36,3 +36,9 @@ def last_page(parsed: DataFrame, keys: tuple[str, ...] = ("page_id",)) -> DataFr
 def max_page(last_pages: DataFrame) -> DataFrame:
     """The bound of the frontier over a whole corpus."""
     return last_pages.agg(F.max("last_page").alias("max_page"))
+
+
+def frontier_errors(resolved: DataFrame, url: str = "url") -> DataFrame:
+    """The frontier rows no archived page serves, with their error ``line``."""
+    line = page_error_line(F.lit("not archived"), F.col(url)).alias("line")
+    return resolved.filter(F.col("status") == "miss").select("*", line)

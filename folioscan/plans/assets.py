@@ -18,6 +18,7 @@ from folioscan.plans.registry import query
 from folioscan.plans.rendering import document_images, table
 from folioscan.sources.assets import read_assets
 from folioscan.sources.pages import spread
+from folioscan.sources.tables import ENCODED_IMAGES, write_assets
 from folioscan.sources.workspace import new_folder
 
 
@@ -31,6 +32,20 @@ def base64_payload(spark, sf_dir):
     return _payloads(spark, sf_dir).select("doc_id", encode_base64(F.col("payload")).alias("hash"))
 
 
+@query("""
+SELECT CAST(doc_id AS VARCHAR) AS _id, doc_id || '.png' AS filename, base64(encode(text)) AS hash_ FROM documents
+""")
+def asset_table(spark, sf_dir):
+    """The image table in its base64 form, written and read back."""
+    path = new_folder(spark, "assets")
+    name = F.col("doc_id").cast("string")
+    rows = _payloads(spark, sf_dir).select(
+        name.alias("_id"), F.concat(name, F.lit(".png")).alias("filename"), F.col("payload").alias("hash_")
+    )
+    write_assets(rows, path, "base64")
+    return spark.read.schema(ENCODED_IMAGES).parquet(path)
+
+
 @query("SELECT doc_id, text FROM documents")
 def base64_decoded(spark, sf_dir):
     back = decode_base64(encode_base64(F.col("payload"))).cast("string")

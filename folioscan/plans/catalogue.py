@@ -93,8 +93,8 @@ def retry_pass(spark, sf_dir):
     """One pass over all items, then another over the ones its log names."""
     pages = part_pages(spark, sf_dir)
     staged = written(item_rows(parse_pages(spread(pages))), "stage")
-    flags = routed(staged, None, small=False)
-    errors = error_rows(staged, flags, flags.select("page_id", "_id").limit(0))
+    flags = routed(staged)
+    errors = error_rows(staged, flags)
     again = pages_to_retry(errors, pages, item_code(F.col("url")), "line")
     rows = item_rows(parse_pages(spread(again)))
     shown = F.when(F.col("has_parts") & F.col("has_rows"), F.col("summary_info"))

@@ -9,13 +9,20 @@ from folioscan.functions.urls import basename, item_code, trailing_number
 from folioscan.operators.detail import detail_rows, map_attributes, to_wide, whole_tables, widen
 from folioscan.operators.errors import unknown_attribute_rows
 from folioscan.operators.first_writer import license_dimension as first_licenses
-from folioscan.operators.links import extract_links, last_page as last_pages, link_errors, max_page as corpus_bound
+from folioscan.operators.links import (
+    extract_links,
+    frontier_errors,
+    last_page as last_pages,
+    link_errors,
+    max_page as corpus_bound,
+)
 from folioscan.operators.page_parse import Selectors, parse_pages
 from folioscan.plans.registry import query
 from folioscan.plans.rendering import (
     CUSTOMER_PAGERS,
     PART_ITEMS,
     customer_author_pages,
+    customer_list_pages,
     customer_pagers,
     part_pages,
     table,
@@ -50,12 +57,26 @@ def page_links(spark, sf_dir):
 
 
 @query("""
-SELECT page_id, 'PAGE_URL_ERROR : no usable link list/' || url AS line
-FROM pages WHERE NOT regexp_matches(html, 'id="wrtList"')
+WITH items AS (SELECT c_custkey, c_nationkey, unnest(range(1, c_custkey % 3 + 2)) AS n FROM customer)
+SELECT c_custkey AS page_id, CAST(n - 1 AS INTEGER) AS pos,
+       'https://catalogue.example/view.do?menuNo=200023&wrtSn=' || c_custkey || n AS link
+FROM items WHERE c_nationkey <> 7
+UNION ALL SELECT c_custkey, CAST(c_custkey % 3 + 1 AS INTEGER), NULL FROM customer WHERE c_nationkey = 8
+""")
+def list_links(spark, sf_dir):
+    """The catalogue's own list pages, with the default selectors."""
+    parsed = parse_pages(spread(customer_list_pages(spark, sf_dir)), ["links"])
+    return extract_links(parsed, "https://catalogue.example").drop("href")
+
+
+@query("""
+SELECT c_custkey AS page_id, 'PAGE_URL_ERROR : '
+  || CASE c_nationkey WHEN 7 THEN 'no usable link list' ELSE 'link without address' END
+  || '/list.do?p=' || c_custkey AS line
+FROM customer WHERE c_nationkey IN (7, 8)
 """)
 def page_errors(spark, sf_dir):
-    """No article has the catalogue's own list element, so with its selectors each page is an error."""
-    return link_errors(parse_pages(_archive(spark, sf_dir), ["links"]))
+    return link_errors(parse_pages(spread(customer_list_pages(spark, sf_dir)), ["links"]))
 
 
 @query("""
@@ -138,6 +159,13 @@ def frontier_resolution(spark, sf_dir):
     return resolve_frontier(wanted, archive)
 
 
+@query("""
+SELECT url || '&gone=1' AS url, 'PAGE_URL_ERROR : not archived/' || url || '&gone=1' AS line FROM pages
+""")
+def frontier_misses(spark, sf_dir):
+    return frontier_errors(frontier_resolution(spark, sf_dir)).select("url", "line")
+
+
 @query("""
 SELECT page_id, coalesce(nullif(regexp_extract(url, '/[a-z]{2}/([0-9]{1,16})', 1), ''), 'error') AS code FROM pages
 """)

@@ -83,7 +83,7 @@ def _archived(assets: DataFrame, urls: DataFrame, small: bool) -> DataFrame:
     return assets.join(F.broadcast(urls) if small else urls, "url", "left_semi")
 
 
-def lost_assets(staged: DataFrame, assets: DataFrame, small: bool) -> DataFrame:
+def lost_assets(staged: DataFrame, assets: DataFrame, small: bool, root: str | None = None) -> DataFrame:
     """``(page_id, lost_hero, lost_icon)``: pages whose image or licence icon is not archived.
 
     Only urls are read from ``assets`` (``url``, ``payload``). They fold to distinct urls before the
@@ -92,7 +92,7 @@ def lost_assets(staged: DataFrame, assets: DataFrame, small: bool) -> DataFrame:
     urls = staged.select("page_id", "hero_url", "license_url")
     wanted = urls.select(F.explode(F.array("hero_url", "license_url")).alias("url")).filter("url is not null").distinct()
     known = _archived(assets.select("url"), wanted, small).distinct()
-    lost = wanted.join(known, "url", "left_anti")
+    lost = written(wanted.join(known, "url", "left_anti"), "lost", root)
     heroes = lost.select(F.col("url").alias("hero_url"), F.lit(True).alias("lost_hero"))
     icons = lost.select(F.col("url").alias("license_url"), F.lit(True).alias("lost_icon"))
     by_hero = dimension_join(urls, heroes, "hero_url", ["page_id"], "left")
@@ -104,7 +104,9 @@ def lost_assets(staged: DataFrame, assets: DataFrame, small: bool) -> DataFrame:
     )
 
 
-def routed(staged: DataFrame, assets: DataFrame | None, small: bool) -> DataFrame:
+def routed(
+    staged: DataFrame, assets: DataFrame | None = None, small: bool = False, root: str | None = None
+) -> DataFrame:
     """Narrow flags per page: ``complete``, ``failure``, ``stores_license`` and ``logs_labels``.
 
     The events on a page come in this order: parts, licence icon, detail rows, image.
@@ -113,7 +115,7 @@ def routed(staged: DataFrame, assets: DataFrame | None, small: bool) -> DataFram
     if assets is None:
         flags = narrow.withColumns({"lost_hero": F.lit(False), "lost_icon": F.lit(False)})
     else:
-        flags = narrow.join(lost_assets(staged, assets, small), "page_id")
+        flags = narrow.join(lost_assets(staged, assets, small, root), "page_id")
     lost_icon = F.col("has_parts") & F.col("lost_icon")
     failure = (
         F.when(lost_icon, F.lit("licence icon not found"))
@@ -136,8 +138,11 @@ def first_writers(candidates: DataFrame, stored: DataFrame, key: str, small: boo
     return insert_if_absent(candidates.select(key, "page_id"), stored, [key], ["page_id"], small)
 
 
-def error_rows(staged: DataFrame, flags: DataFrame, conflicts: DataFrame) -> DataFrame:
-    """All error rows of a batch: one pass over the side errors, then the image conflicts."""
+def error_rows(staged: DataFrame, flags: DataFrame, conflicts: DataFrame | None = None) -> DataFrame:
+    """All error rows of a batch: one pass over the side errors, then the image conflicts.
+
+    ``conflicts`` is ``(page_id, _id)`` of pages whose image is stored under their id already.
+    """
     item = F.col("_id")
     entries = "array<struct<stage:string,message:string,line:string>>"
 
@@ -173,6 +178,8 @@ def error_rows(staged: DataFrame, flags: DataFrame, conflicts: DataFrame) -> Dat
             )
         ),
     )
+    if conflicts is None:
+        return logged
     message = F.lit(IMAGE_MESSAGE)
     images = conflicts.select(
         "page_id",
@@ -216,7 +223,7 @@ def ingest_batch(
     parsed = parse_pages(spread(pages), ITEM_PARTS, selectors=options.selectors)
     staged = written(item_rows(parsed, options), "stage", root)
     small = staged.count() <= BROADCAST_ROWS
-    flags = routed(staged, assets, small)
+    flags = routed(staged, assets, small, root)
     if assets is not None:
         flags = written(flags, "flags", root)
 
@@ -238,14 +245,13 @@ def ingest_batch(
     outcomes = read_table(spark, root, "outcomes").filter(F.col(BATCH) == batch_id)
     inserted = F.col("status") == INSERTED
     tables = {"items": keep_marked(staged, outcomes, "page_id", inserted)}
-    duplicates = outcomes.filter(F.col("status") == DUPLICATE).select("page_id", "_id")
-    if assets is None:
-        duplicates = duplicates.limit(0)
-    else:
+    conflicts = None
+    if assets is not None:
+        conflicts = outcomes.filter(F.col("status") == DUPLICATE).select("page_id", "_id")
         image_rows = keep_marked(staged.select("page_id", "_id", "hero_url"), outcomes, "page_id", inserted)
         named = image_rows.withColumn("filename", asset_name(F.col("_id")))
         tables["images"] = with_payload(named, assets, "hero_url", small)
-    tables["errors"] = error_rows(staged, flags, duplicates)
+    tables["errors"] = error_rows(staged, flags, conflicts)
     write_together(tables, root, batch_id)
 
 

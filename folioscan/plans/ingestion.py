@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from folioscan.operators.errors import classify_outcome, status_summary as summarise
@@ -10,7 +13,7 @@ from folioscan.plans.ingest import error_rows, first_writers, ingest_batch, item
 from folioscan.plans.registry import query
 from folioscan.plans.rendering import PART_ITEMS, part_pages
 from folioscan.sources.pages import spread, stream_pages
-from folioscan.sources.tables import ITEMS, LICENSES, read_table
+from folioscan.sources.tables import ITEMS, LICENSES, read_table, reset_tables
 from folioscan.sources.workspace import new_folder, written
 from folioscan.streaming.ingest import ingest_stream as stream_items
 
@@ -22,7 +25,7 @@ def _staged(spark, sf_dir):
 
 @query(f"WITH {PART_ITEMS} SELECT page_id, _id, status FROM part_outcomes")
 def item_outcomes(spark, sf_dir):
-    flags = routed(_staged(spark, sf_dir), None, small=False)
+    flags = routed(_staged(spark, sf_dir))
     failed = F.col("failure").isNotNull()
     nothing = read_table(spark, new_folder(spark, "empty"), "items")
     writers = first_writers(flags.filter(F.col("complete") & ~failed), nothing, "_id", small=False)
@@ -50,8 +53,8 @@ SELECT page_id, _id AS item_id, stage, message, _id || ' : ' || tail AS line FRO
 """)
 def catalogue_errors(spark, sf_dir):
     staged = _staged(spark, sf_dir)
-    flags = routed(staged, None, small=False)
-    return error_rows(staged, flags, flags.select("page_id", "_id").limit(0))
+    flags = routed(staged)
+    return error_rows(staged, flags)
 
 
 _ITEMS_SQL = f"""
@@ -84,6 +87,27 @@ def ingest_licenses(spark, sf_dir):
     return read_table(spark, root, "licenses").select(*LICENSES.names[:2])
 
 
+@query(f"""
+WITH {PART_ITEMS}
+SELECT 'items' AS name, count_if(status = 'inserted')::BIGINT AS rows_before, 0::BIGINT AS rows_after FROM part_outcomes
+UNION ALL SELECT 'outcomes', count(*), 0 FROM part_outcomes
+UNION ALL SELECT 'licenses', count(DISTINCT license), 0 FROM part_items
+""")
+def reset_catalogue(spark, sf_dir):
+    """A loaded catalogue is emptied; its tables stay readable."""
+    root = new_folder(spark, "catalogue")
+    ingest_batch(part_pages(spark, sf_dir), 0, root)
+    names = ["items", "outcomes", "licenses"]
+    before = [read_table(spark, root, name).count() for name in names]
+    reset_tables(spark, root)
+    after = [read_table(spark, root, name).agg(F.count("*").alias("rows_after")) for name in names]
+    counted = [
+        rows.select(F.lit(name).alias("name"), F.lit(n).cast("bigint").alias("rows_before"), "rows_after")
+        for name, n, rows in zip(names, before, after)
+    ]
+    return reduce(DataFrame.unionByName, counted)
+
+
 @query(_ITEMS_SQL)
 def ingest_stream(spark, sf_dir):
     """The pages arrive as two sets of files, the earlier page ids first, in several micro-batches."""

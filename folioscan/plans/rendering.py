@@ -158,6 +158,25 @@ def customer_author_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return customer.select(F.col("c_custkey").alias("page_id"), F.lit("").alias("url"), html.alias("html"))
 
 
+def customer_list_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A list page per customer with 1 to 3 links; some have an item or a link that cannot be used."""
+    customer = table(spark, sf_dir, "customer")
+    key = F.col("c_custkey").cast("string")
+    count = (F.col("c_custkey") % 3 + 1).cast("int")
+    items = F.transform(
+        F.sequence(F.lit(1), count),
+        lambda n: F.concat(
+            F.lit('<li><p><a href="/view.do?menuNo=200023&amp;wrtSn='), key, n.cast("string"), F.lit('"><img></a><a href="x">')
+        ),
+    )
+    nation = F.col("c_nationkey")
+    odd = F.when(nation == 7, F.lit("<li>no link</li>")).when(nation == 8, F.lit("<li><a>no address</a>")).otherwise("")
+    html = F.concat(F.lit('<li><a href="menu"></a></li><ul id="wrtList">'), F.concat_ws("</li>", items), odd, F.lit("</ul>"))
+    return customer.select(
+        F.col("c_custkey").alias("page_id"), F.concat(F.lit("list.do?p="), key).alias("url"), html.alias("html")
+    )
+
+
 def event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A run log with one line per event: headers, item errors, page errors and sentinel lines."""
     events = table(spark, sf_dir, "events")
