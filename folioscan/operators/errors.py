@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from folioscan.functions.attributes import UNKNOWN_LABEL
 from folioscan.functions.text import first_match
 from folioscan.functions.urls import CODE_WIDTH, ITEM_PATH, NO_CODE, item_url
+from folioscan.operators.joins import dimension_join
 
 # Outcomes of an item.
 INSERTED, MISSING, DUPLICATE, ERROR = "inserted", "missing_structure", "duplicate", "error"
@@ -92,10 +93,10 @@ def retry_pass(
     """Archive pages of the items a log names, ready for one more item pass.
 
     ``code`` computes the item id of an archive row. Ids are matched on narrow rows first, where
-    pages without an id leave at once; the HTML is then picked by the unique ``order`` column, so an
-    id with very many copies never gathers pages in one task.
+    pages without an id leave at once and an id with very many copies is split; the HTML is then picked
+    by the unique ``order`` column.
     """
     wanted = retry_candidates(lines, column, path).select("item_id")
     coded = archive.select(order, code.alias("item_id")).filter(F.col("item_id") != NO_CODE)
-    hits = coded.join(wanted, "item_id", "left_semi").select(order)
+    hits = dimension_join(coded, wanted, "item_id", [order]).select(order)
     return archive.join(hits, order, "left_semi")

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from folioscan.functions.urls import list_url
 from folioscan.operators.first_writer import first_by_key
+from folioscan.operators.joins import hot_key_join
 
 PAGE_SCHEMA = T.StructType(
     [
@@ -59,10 +60,11 @@ def resolve_frontier(frontier: DataFrame, archive: DataFrame, key: str = "url",
     """Frontier rows with the archived page (``order`` column) that serves them and a ``status``.
 
     The earliest copy of a page wins. Only the two narrow archive columns are joined; read the HTML
-    of the hits afterwards with ``pages_of``. Copies of one URL fold before the shuffle.
+    of the hits afterwards with ``pages_of``. Archived copies of one URL fold before the shuffle, and
+    a URL that a large part of the frontier names is split.
     """
     known = first_by_key(archive.select(key, order), [key], [order])
-    joined = frontier.join(known, key, "left")
+    joined = hot_key_join(frontier, known, key, frontier.columns, "left")
     return joined.withColumn("status", F.when(F.col(order).isNull(), F.lit("miss")).otherwise(F.lit("hit")))
 
 
