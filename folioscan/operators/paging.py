@@ -79,14 +79,15 @@ def first_row(rows: DataFrame, order: Sequence[str]) -> DataFrame:
 
 
 def _slice_keys(payloads: DataFrame, key: str, start: int, count: int) -> tuple[DataFrame, Column]:
-    """The keys of a slice, and a condition that bounds any scan that looks for them.
+    """The keys of a slice, computed once, and a condition that bounds any scan that looks for them.
 
-    The keys of a slice are neighbours in key order. Their smallest and largest are scalar
-    subqueries, which reach the parquet filters and skip row groups.
+    The keys of a slice are neighbours in key order, so two values, the smallest and the largest,
+    are enough for parquet filters that skip row groups.
     """
-    keys = slice_rows(payloads.select(key), [key], start, count)
-    low, high = keys.agg(F.min(key)).scalar(), keys.agg(F.max(key)).scalar()
-    return F.broadcast(keys) if count <= SHALLOW_ROWS else keys, (F.col(key) >= low) & (F.col(key) <= high)
+    keys = checkpointed(slice_rows(payloads.select(key), [key], start, count))
+    low, high = keys.agg(F.min(key), F.max(key)).first()
+    near = F.col(key).between(F.lit(low), F.lit(high))
+    return F.broadcast(keys) if count <= SHALLOW_ROWS else keys, near
 
 
 def page_slice(payloads: DataFrame, key: str, start: int | None, count: int | None) -> DataFrame:

@@ -85,7 +85,7 @@ def test_slices(spark):
     documents = spark.read.parquet(f"{SMALL}/documents.parquet")
     assert "TakeOrderedAndProject(limit=27, offset=18" in plan(slice_rows(documents, ["doc_id"], 18, 9))
     text = plan(page_slice(documents.select("doc_id", "text"), "doc_id", 18, 9))
-    assert "GreaterThanOrEqual(doc_id" in text and "LessThanOrEqual(doc_id" in text
+    assert "GreaterThanOrEqual(doc_id,18)" in text and "LessThanOrEqual(doc_id,26)" in text
     assert "BroadcastHashJoin" in text
 
 
