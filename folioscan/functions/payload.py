@@ -15,8 +15,11 @@ DATA_URI_PREFIX = "data:image/png;base64,"
 
 
 def encode_base64(payload: Column) -> Column:
-    """Base64 on one line (Spark's own output breaks lines every 76 characters)."""
-    return F.translate(F.base64(payload), "\r\n", "")
+    """Base64 on one line. Spark's own output has CRLF after every 76 characters.
+
+    A byte-wise replace: ``translate`` would look every character up, which costs more than encoding.
+    """
+    return F.replace(F.base64(payload), F.lit("\r\n"), F.lit(""))
 
 
 def decode_base64(text: Column) -> Column:

@@ -42,6 +42,7 @@ _MARKUP = re.compile(
     re.S | re.X,
 )
 _ATTRIBUTE = re.compile(r"""([^\s/=>][^\s/=>]*)(?:\s*=+\s*("[^"]*"|'[^']*'|[^\s>]*))?""")
+_NAMED = re.compile(r"(?:id|class)\s*=", re.I)
 _BARE_VALUE_END = re.compile(r"""=\s*[^\s"'>][^\s>]*/$""")
 _RAW_END = {tag: re.compile(rf"</{tag}(?=[\s/>])", re.I) for tag in RAW_TAGS}
 
@@ -186,7 +187,7 @@ class _Outline:
 
     def _first_fits(self, name: str, raw: str) -> list[str]:
         names = [name]
-        if raw:
+        if raw and _NAMED.search(raw):
             attributes = _attributes(raw)
             if "id" in attributes:
                 names.append("#" + attributes["id"])

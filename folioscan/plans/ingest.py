@@ -78,9 +78,13 @@ def item_rows(parsed: DataFrame, options: ItemOptions = ItemOptions()) -> DataFr
     )
 
 
-def _archived(assets: DataFrame, urls: DataFrame, small: bool) -> DataFrame:
-    """The assets some of the distinct ``urls`` name; a small list goes to the archive, not the archive to it."""
-    return assets.join(F.broadcast(urls) if small else urls, "url", "left_semi")
+def _archived(assets: DataFrame, wanted: DataFrame, small: bool) -> DataFrame:
+    """Assets worth folding: for a small batch only the ``wanted`` urls, picked where they are stored.
+
+    A large batch wants most of the archive, so it is folded whole. Either way copies of one asset
+    shrink to one per task before they are shuffled.
+    """
+    return assets.join(F.broadcast(wanted), "url", "left_semi") if small else assets
 
 
 def lost_assets(staged: DataFrame, assets: DataFrame, small: bool, root: str | None = None) -> DataFrame:
@@ -107,7 +111,7 @@ def lost_assets(staged: DataFrame, assets: DataFrame, small: bool, root: str | N
 def routed(
     staged: DataFrame, assets: DataFrame | None = None, small: bool = False, root: str | None = None
 ) -> DataFrame:
-    """Narrow flags per page: ``complete``, ``failure``, ``stores_license`` and ``logs_labels``.
+    """Narrow flags per page: ``complete``, ``failure``, ``stores_license`` and ``lost_icon``.
 
     The events on a page come in this order: parts, licence icon, detail rows, image.
     """
