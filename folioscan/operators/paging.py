@@ -9,12 +9,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from folioscan.operators.joins import enrich_with_info
-from folioscan.sources.workspace import checkpointed
+from folioscan.sources.workspace import UNKNOWN_BYTES, checkpointed, estimated_bytes
 
 # Fixed value: items on one page.
 PAGE_SIZE = 9
 # Offsets up to here use a plain top-k; deeper slices rank the keys over range partitions.
 SHALLOW_ROWS = 10_000
+# Keys that one task ranks, and the most tasks a whole table is cut into.
+RANK_BYTES_PER_TASK = 64 << 20
+MAX_RANK_TASKS = 20_000
 # monotonically_increasing_id keeps the row's place in its partition in the low 33 bits.
 _PLACE_BITS = 33
 
@@ -44,8 +47,13 @@ def with_rank(rows: DataFrame, order: Sequence[str], partitions: int | None = No
     """
     order = list(order)
     spark = rows.sparkSession
-    partitions = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = rows.select(*order).repartitionByRange(partitions, *order).sortWithinPartitions(*order)
+    keys = rows.select(*order)
+    if partitions is None:
+        configured = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        size = estimated_bytes(keys)
+        needed = 0 if size >= UNKNOWN_BYTES else min(size // RANK_BYTES_PER_TASK, MAX_RANK_TASKS)
+        partitions = max(configured, needed)
+    ranged = keys.repartitionByRange(partitions, *order).sortWithinPartitions(*order)
     placed = checkpointed(ranged.withColumn("mark", F.monotonically_increasing_id()))
     part = F.shiftright("mark", _PLACE_BITS)
     place = F.col("mark").bitwiseAND(F.lit((1 << _PLACE_BITS) - 1))

@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from folioscan.functions.urls import list_url
 from folioscan.operators.first_writer import first_by_key
 from folioscan.operators.joins import hot_key_join
+from folioscan.sources.workspace import estimated_bytes
 
 PAGE_SCHEMA = T.StructType(
     [
@@ -44,8 +45,7 @@ def spread(pages: DataFrame, key: str = "page_id") -> DataFrame:
     ``key``: a recomputed task sees the same rows. HTML at scale is never shuffled for this.
     """
     cores = pages.sparkSession.sparkContext.defaultParallelism
-    estimate = int(pages._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    if estimate > cores * SPREAD_BYTES_PER_CORE:
+    if estimated_bytes(pages) > cores * SPREAD_BYTES_PER_CORE:
         return pages
     return pages.repartition(cores, key)
 

@@ -21,6 +21,15 @@ def workspace(spark: SparkSession) -> str:
     return folder
 
 
+# Spark answers with about this much when it cannot tell.
+UNKNOWN_BYTES = 1 << 62
+
+
+def estimated_bytes(rows: DataFrame) -> int:
+    """Spark's own size estimate of the plan; nothing runs for it."""
+    return int(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+
+
 def new_folder(spark: SparkSession, label: str) -> str:
     """A path nobody has written to yet, below the shared folder."""
     return f"{workspace(spark).rstrip('/')}/folioscan/{label}-{uuid.uuid4().hex}"

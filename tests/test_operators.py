@@ -208,6 +208,17 @@ def test_rank_with_hot_first_column(spark):
     assert [(r[2], r[3]) for r in placed] == [(i // 9 + 1, i % 9) for i in range(3000)]
 
 
+def test_rank_tasks_follow_the_size(spark, monkeypatch):
+    """More tasks for more bytes; the configured number when Spark cannot tell the size."""
+    seen = []
+    monkeypatch.setattr(paging, "checkpointed", lambda df: seen.append(df.rdd.getNumPartitions()) or df)
+    configured = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    monkeypatch.setattr(paging, "RANK_BYTES_PER_TASK", 800)
+    paging.with_rank(spark.range(2000), ["id"])
+    paging.with_rank(spark.createDataFrame([(i,) for i in range(9)], "id long").rdd.toDF(), ["id"])
+    assert seen == [20, configured]
+
+
 def test_materialise_missing(spark):
     planned = spark.createDataFrame(
         [(1, "origin", "a"), (2, "origin", "a"), (3, "origin", "b"), (4, "license", "a"), (5, "thumbnail", "b")],
