@@ -47,7 +47,8 @@ def spread(pages: DataFrame, key: str = "page_id") -> DataFrame:
     cores = pages.sparkSession.sparkContext.defaultParallelism
     if estimated_bytes(pages) > cores * SPREAD_BYTES_PER_CORE:
         return pages
-    return pages.repartition(cores, key)
+    # Not by the bare key: after a join on it Spark would drop the step and merge the small partitions.
+    return pages.repartition(cores, F.xxhash64(key))
 
 
 def list_frontier(spark: SparkSession, start: int, stop: int, template: str) -> DataFrame:

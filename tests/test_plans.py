@@ -47,7 +47,9 @@ def test_only_needed_page_columns_are_read(pages):
 
 
 def test_only_small_inputs_are_spread(pages, monkeypatch):
-    assert "Exchange hashpartitioning(page_id" in plan(spread(pages))
+    assert "REPARTITION_BY_NUM" in plan(spread(pages))
+    by_key = pages.repartition(pages.sparkSession.sparkContext.defaultParallelism, "page_id")
+    assert "hashpartitioning(xxhash64(page_id" in plan(spread(by_key))
     monkeypatch.setattr(page_source, "SPREAD_BYTES_PER_CORE", 1)
     assert "Exchange" not in plan(spread(pages))
 
