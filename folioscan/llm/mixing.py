@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from folioscan.llm.names import free_names
 from folioscan.operators.joins import dimension_join
 from folioscan.operators.paging import with_rank
 from folioscan.sources.workspace import checkpointed, written
@@ -147,7 +148,7 @@ def mixed_documents(
     """
     sized = written(_sized(documents, doc_id, text, source), "mix")
     plan = _planned(sized, weights, most).select("source_key", "repeats", "threshold")
-    names = _free_names(documents, ["source_key", "place", "repeats", "threshold"])
+    names = free_names(documents, ["source_key", "place", "repeats", "threshold"])
     keyed = documents.withColumns(
         {names["source_key"]: source_key(F.col(source)), names["place"]: place(F.col(doc_id))}
     )
@@ -157,16 +158,3 @@ def mixed_documents(
     times = (F.col(names["repeats"]) + below.cast("bigint")).cast("int")
     taken = joined.filter(times > 0).withColumn(names["place"], F.explode(F.array_repeat(F.lit(1), times)))
     return taken.select(*documents.columns)
-
-
-def _free_names(rows: DataFrame, names: list[str]) -> dict[str, str]:
-    """Names for added columns that clash with none of the table's."""
-    used = {c.lower() for c in rows.columns}
-    out = {}
-    for name in names:
-        candidate = name
-        while candidate in used:
-            candidate = f"_{candidate}"
-        out[name] = candidate
-        used.add(candidate)
-    return out

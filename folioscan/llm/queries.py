@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioscan.llm import decontaminate, mixing, quality, secrets, simhash
+from folioscan.llm import decontaminate, jaccard, mixing, quality, secrets, simhash, substrings
 from folioscan.sources.workspace import written
 
 
@@ -144,11 +144,40 @@ FROM sized d JOIN budgets b ON d.source IS NOT DISTINCT FROM b.source
 JOIN taken t ON t.source IS NOT DISTINCT FROM d.source AND t.place = d.place
 """
 
+
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.remove_repeats(_table(spark, sf_dir, "documents"))
+
+
+OP6_SQL = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+starts AS (SELECT r, unnest(range(1, len(words) - 33)) AS i FROM docs WHERE len(words) >= 35),
+windows AS (SELECT s.r, s.i, array_to_string(d.words[s.i:s.i + 34], ' ') AS w FROM starts s JOIN docs d USING (r)),
+often AS (SELECT w FROM windows GROUP BY w HAVING count(*) > 1),
+covered AS (
+  SELECT DISTINCT r, i + k AS at FROM (SELECT r, i FROM windows SEMI JOIN often USING (w)), range(35) t(k)),
+each AS (SELECT r, unnest(words) AS word, generate_subscripts(words, 1) AS at FROM docs),
+kept AS (
+  SELECT e.r, string_agg(word, ' ' ORDER BY e.at) FILTER (c.at IS NULL) AS txt, count(c.at) AS gone
+  FROM each e LEFT JOIN covered c ON e.r = c.r AND e.at = c.at GROUP BY e.r)
+SELECT d.doc_id, len(words)::BIGINT AS n_words, coalesce(gone, 0)::BIGINT AS n_removed,
+  sha256(coalesce(txt, '')) AS kept_sha256
+FROM docs d LEFT JOIN kept k ON d.r = k.r
+"""
+
+
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_join(_table(spark, sf_dir, "documents"))
+
+
 LLM_QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op2_simhash": op2_simhash,
     "op3_decontamination": op3_decontamination,
     "op4_quality": op4_quality,
     "op5_mixing": op5_mixing,
+    "op6_substring_dedup": op6_substring_dedup,
+    "op9_jaccard_join": op9_jaccard_join,
 }
-LLM_ORACLES = {"op1_secret_scan": OP1_SQL, "op5_mixing": OP5_SQL}
+LLM_ORACLES = {"op1_secret_scan": OP1_SQL, "op5_mixing": OP5_SQL, "op6_substring_dedup": OP6_SQL}
