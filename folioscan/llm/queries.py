@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioscan.llm import decontaminate, jaccard, mixing, quality, secrets, simhash, substrings
+import corpus_pipeline
+from folioscan.llm import decontaminate, jaccard, mixing, page_text, quality, secrets, simhash, substrings, token_counts
 from folioscan.sources.workspace import written
 
 
@@ -167,10 +169,24 @@ FROM docs d LEFT JOIN kept k ON d.r = k.r
 """
 
 
+def op7_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.token_shards(spark, _table(spark, sf_dir, "documents"), sf_dir)
+
+
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(
+        _table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), ["doc_id"]
+    )
+
+
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_join(_table(spark, sf_dir, "documents"))
 
 
+def op10_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return page_text.extract_text(_table(spark, sf_dir, "pages"), ["page_id", "url"])
+
+
 LLM_QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op2_simhash": op2_simhash,
@@ -178,6 +194,12 @@ LLM_QUERIES = {
     "op4_quality": op4_quality,
     "op5_mixing": op5_mixing,
     "op6_substring_dedup": op6_substring_dedup,
+    "op7_token_shards": op7_token_shards,
+    "op8_token_counts": op8_token_counts,
     "op9_jaccard_join": op9_jaccard_join,
+    "op10_page_text": op10_page_text,
+    "pipeline": corpus_pipeline.run,
 }
 LLM_ORACLES = {"op1_secret_scan": OP1_SQL, "op5_mixing": OP5_SQL, "op6_substring_dedup": OP6_SQL}
+if corpus_pipeline.ORACLE_SQL:
+    LLM_ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
