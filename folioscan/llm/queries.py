@@ -65,33 +65,38 @@ FROM docs d LEFT JOIN marks m ON d.doc_id = m.doc_id GROUP BY d.doc_id
 
 
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = _table(spark, sf_dir, "documents")
     slots = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = simhash.with_next_text(documents, slots)
+    return simhash.digest(simhash_rows(_table(spark, sf_dir, "documents"), slots))
+
+
+def simhash_rows(documents: DataFrame, slots: int) -> DataFrame:
+    """A stored row per document with the fingerprints of its text and of its edited text.
+
+    The edited text takes its last half from the beginning of the next document's.
+    """
+    rows = simhash.with_next_text(documents.select("doc_id", "text"), slots)
     text, following = F.coalesce("text", F.lit("")), F.coalesce("next_text", F.lit(""))
     rows = rows.select("slot", "place", "doc_id", text.alias("text"), following.alias("next_text"))
-    rows = rows.withColumn("n_chars", F.length("text").cast("bigint"))
+    rows = rows.withColumn("n_chars", F.length("text"))
     half = F.floor(F.col("n_chars") / 2).cast("int")
-    edited = F.concat(F.substring(F.col("text"), F.lit(1), F.col("n_chars").cast("int") - half), F.substring(F.col("next_text"), F.lit(1), half))
-    both = rows.withColumn("edited", edited).select(
-        "slot", "place", "doc_id", "n_chars",
-        F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
-        F.explode(F.array(
-            F.struct(F.lit(0).alias("which"), F.col("text").alias("body")),
-            F.struct(F.lit(1).alias("which"), F.col("edited").alias("body")),
-        )).alias("version"),
-    )
-    keys = ["slot", "place", "doc_id", "n_chars", "edited_sha256", "which"]
-    prints = simhash.fingerprints(
-        both.select(*keys[:-1], "version.which", "version.body"), keys, "body"
+    own, taken = F.substring("text", F.lit(1), F.col("n_chars") - half), F.substring("next_text", F.lit(1), half)
+    versions = F.array(
+        F.struct(F.lit(0).alias("which"), F.col("text").alias("body")),
+        F.struct(F.lit(1).alias("which"), F.col("edited").alias("body")),
     )
-    own, other = F.col("which") == 0, F.col("which") == 1
-    wide = prints.groupBy(*keys[:-1]).agg(
-        *[F.max(F.when(own, F.col(c))).alias(c) for c in ("high", "low")],
-        *[F.max(F.when(other, F.col(c))).alias(f"edited_{c}") for c in ("high", "low")],
+    both = rows.withColumn("edited", F.concat(own, taken)).select(
+        "slot",
+        "place",
+        "doc_id",
+        F.col("n_chars").cast("bigint").alias("n_chars"),
+        F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        F.explode(versions).alias("version"),
     )
-    stored = written(wide, "simhash")
-    return simhash.digest(stored)
+    row = ["slot", "place", "doc_id", "n_chars", "edited_sha256"]
+    prints = simhash.fingerprints(both.select(*row, "version.which", "version.body"), [*row, "which"], "body")
+    of = lambda which, c: F.max(F.when(F.col("which") == which, F.col(c)))
+    halves = [of(0, c).alias(c) for c in ("high", "low")] + [of(1, c).alias(f"edited_{c}") for c in ("high", "low")]
+    return written(prints.groupBy(*row).agg(*halves), "simhash")
 
 
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
