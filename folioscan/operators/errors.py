@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from folioscan.functions.attributes import UNKNOWN_LABEL
 from folioscan.functions.text import first_match
 from folioscan.functions.urls import CODE_WIDTH, ITEM_PATH, NO_CODE, item_url
-from folioscan.operators.joins import dimension_join
+from folioscan.operators.joins import dimension_join, having_key
 
 # Outcomes of an item.
 INSERTED, MISSING, DUPLICATE, ERROR = "inserted", "missing_structure", "duplicate", "error"
@@ -20,6 +20,7 @@ ITEM_LINE = "%s : %s"
 PAGE_LINE = "PAGE_URL_ERROR : %s/%s"
 LICENSE_LINE = "LICENSE IMAGE ERROR: %s"
 THUMBNAIL_LINE = "THUMBNAIL ERROR: %s"
+THUMBNAIL_MESSAGE = "thumbnail not made"
 IMAGE_MESSAGE = "Origin image hash data save error"
 HEADER_MARK = ">"
 
@@ -94,9 +95,9 @@ def retry_pass(
 
     ``code`` computes the item id of an archive row. Ids are matched on narrow rows first, where
     pages without an id leave at once and an id with very many copies is split; the HTML is then picked
-    by the unique ``order`` column.
+    by the unique ``order`` column, whose hits are counted, so that the pages stay where they are.
     """
     wanted = retry_candidates(lines, column, path).select("item_id")
     coded = archive.select(order, code.alias("item_id")).filter(F.col("item_id") != NO_CODE)
-    hits = dimension_join(coded, wanted, "item_id", [order]).select(order)
-    return archive.join(hits, order, "left_semi")
+    hits = dimension_join(coded, wanted, "item_id", [order]).select(order).distinct()
+    return having_key(archive, hits, order)

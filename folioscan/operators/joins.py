@@ -7,12 +7,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from folioscan.sources.workspace import checkpointed
+
 # Dimension rows a task can hold comfortably; above it the join shuffles, hot keys split.
 BROADCAST_ROWS = 200_000
 # Fact rows of one key that one task may get in a shuffled join.
 ROWS_PER_SPLIT = 1_000_000
-# Null keys match nothing, so they may go anywhere: this many places.
-_NULL_SPLITS = 64
+# Payload bytes that a broadcast dimension may hold.
+BROADCAST_BYTES = 64 << 20
 
 
 def hot_key_join(
@@ -25,20 +27,20 @@ def hot_key_join(
 ) -> DataFrame:
     """Shuffled join to a table with one row per key, where a key may hold a third of the facts.
 
-    Keys with more than ``rows_per_split`` facts are cut into that many splits by the hash of
-    ``spread_by``, and only their rows in ``other`` are repeated, once per split. There are at most
+    Keys with more than ``rows_per_split`` facts, null among them, are cut into that many splits by the
+    hash of ``spread_by``, and only their rows in ``other`` are repeated, once per split. There are at most
     ``facts / rows_per_split`` such keys, so their list is small enough to broadcast. ``facts`` is
     read twice; pass a stored table when computing it is expensive.
     """
-    counts = facts.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n"))
+    counts = facts.groupBy(F.col(key).alias("hot_key")).agg(F.count("*").alias("n"))
     splits = F.ceil(F.col("n") / F.lit(rows_per_split))
-    hot = counts.filter(F.col("n") > rows_per_split).select(key, splits.cast("bigint").alias("splits"))
-    places = F.when(F.col(key).isNull(), F.lit(_NULL_SPLITS)).otherwise(F.coalesce("splits", F.lit(1)))
-    cut = facts.join(F.broadcast(hot), key, "left").withColumn(
-        "split", F.pmod(F.xxhash64(*spread_by), places.cast("bigint"))
-    )
-    every = F.sequence(F.lit(0).cast("bigint"), F.coalesce("splits", F.lit(1)).cast("bigint") - 1)
-    copies = other.join(F.broadcast(hot), key, "left").withColumn("split", F.explode(every))
+    hot = counts.filter(F.col("n") > rows_per_split).select("hot_key", splits.cast("bigint").alias("splits"))
+    places = F.coalesce("splits", F.lit(1)).cast("bigint")
+    cut = facts.join(F.broadcast(hot), F.col(key).eqNullSafe(F.col("hot_key")), "left").drop("hot_key")
+    cut = cut.withColumn("split", F.pmod(F.xxhash64(*spread_by), places))
+    every = F.sequence(F.lit(0).cast("bigint"), places - 1)
+    copies = other.join(F.broadcast(hot), F.col(key) == F.col("hot_key"), "left").drop("hot_key")
+    copies = copies.withColumn("split", F.explode(every))
     return cut.drop("splits").join(copies.drop("splits"), [key, "split"], how).drop("split")
 
 
@@ -50,13 +52,17 @@ def dimension_join(
     how: str = "inner",
     broadcast_rows: int = BROADCAST_ROWS,
     rows_per_split: int = ROWS_PER_SPLIT,
+    payload: str | None = None,
 ) -> DataFrame:
     """Facts to a narrow dimension with one row per key.
 
-    The dimension is counted first (only its key is read). Up to ``broadcast_rows`` it is broadcast
-    and the facts stay where they are; beyond that both sides shuffle, hot keys split.
+    The dimension is counted first (only its key is read), and so are the bytes of its ``payload``
+    column, if it has one. Up to ``broadcast_rows`` and ``BROADCAST_BYTES`` it is broadcast and the
+    facts stay where they are; beyond either both sides shuffle, hot keys split.
     """
-    if dimension.select(key).count() <= broadcast_rows:
+    size = F.lit(0) if payload is None else F.coalesce(F.sum(F.octet_length(payload)), F.lit(0))
+    rows, held = dimension.agg(F.count("*"), size).first()
+    if rows <= broadcast_rows and held <= BROADCAST_BYTES:
         return facts.join(F.broadcast(dimension), key, how)
     return hot_key_join(facts, dimension, key, spread_by, how, rows_per_split)
 
@@ -81,12 +87,21 @@ def keep_marked(rows: DataFrame, marks: DataFrame, key: str, kept: Column, limit
     return rows.join(inside, key, "left_semi")
 
 
+def having_key(rows: DataFrame, keys: DataFrame, key: str, limit: int = BROADCAST_KEYS) -> DataFrame:
+    """Wide ``rows`` whose key is among ``keys`` (narrow, distinct). Keys are counted: up to ``limit`` they
+    are broadcast and the wide rows stay where they are, beyond that both sides shuffle.
+    """
+    keys = checkpointed(keys.select(key))
+    return rows.join(F.broadcast(keys) if keys.count() <= limit else keys, key, "left_semi")
+
+
 def license_for_item(items: DataFrame, licenses: DataFrame, item_id: str = "_id", **options) -> DataFrame:
     """Every item with the stored licence it names (items whose licence is not stored drop out)."""
     stored = licenses.select(
         "license", F.col("license_name").alias("stored_name"), F.col("hash_").alias("hashlicense")
     )
-    joined = dimension_join(items.select(item_id, "license"), stored, "license", [item_id], **options)
+    narrow = items.select(item_id, "license")
+    joined = dimension_join(narrow, stored, "license", [item_id], payload="hashlicense", **options)
     return joined.select(
         item_id, F.col("license").alias("id"), F.col("stored_name").alias("license_name"), "hashlicense"
     )

@@ -9,6 +9,10 @@ from pyspark.sql import functions as F
 
 from folioscan.functions.payload import encode_base64
 from folioscan.functions.text import json_object, key_label
+from folioscan.operators.first_writer import first_by_key
+from folioscan.operators.joins import having_key
+from folioscan.operators.paging import data_range, page_slice
+from folioscan.sources.workspace import checkpointed
 
 # Fixed value: the answer for an id that is not stored.
 EMPTY_OBJECT = "{}"
@@ -20,9 +24,16 @@ def lookup(table: DataFrame, key: str, value) -> DataFrame:
 
 
 def lookup_json(wanted: DataFrame, table: DataFrame, key: str, columns: Sequence[Column | str]) -> DataFrame:
-    """``(key, answer)`` for every wanted key: the row as JSON, ``{}`` when it is not stored."""
-    answers = table.select(key, json_object(*columns).alias("answer"))
-    joined = wanted.select(key).distinct().join(answers, key, "left")
+    """``(key, answer)`` for every wanted key: the row as JSON, ``{}`` when it is not stored.
+
+    One answer per key: of rows stored under one key the smallest counts. The stored rows are picked
+    where they lie when the wanted keys are few (they are counted); JSON is made of the picked rows only.
+    """
+    keys = checkpointed(wanted.select(key).distinct())
+    found = having_key(table, keys, key)
+    found = first_by_key(found, [key], []) if len(table.columns) > 1 else found.distinct()
+    answers = found.select(key, json_object(*columns).alias("answer"))
+    joined = keys.join(answers, key, "left")
     return joined.select(key, F.coalesce("answer", F.lit(EMPTY_OBJECT)).alias("answer"))
 
 
@@ -31,11 +42,13 @@ def renamed(names: dict[str, str]) -> list[Column]:
     return [(encode_base64(F.col(old)) if old == "hash_" else F.col(old)).alias(new) for old, new in names.items()]
 
 
-def page_answer(rows: DataFrame, order: str) -> DataFrame:
-    """One ``answer`` for a page of rows: ``{"list": [..]}`` in ``order``.
+def page_answer(rows: DataFrame, order: str, start: int | None, count: int | None, info: DataFrame | None = None) -> DataFrame:
+    """One ``answer`` for a page of a table: ``{"list": [..]}`` with ``count`` rows from ``start``, by ``order``.
 
-    For slices only: a page has as many rows as the caller asked for.
+    ``order`` names a row. With ``info`` every row carries that table's row of its key as ``info``. A
+    missing bound gives an empty list.
     """
+    rows = page_slice(rows, order, start, count) if info is None else data_range(rows, info, order, start, count)
     listed = F.transform(
         F.array_sort(F.collect_list(F.struct(F.col(order).alias("at"), F.struct(*rows.columns).alias("row")))),
         lambda entry: entry["row"],

@@ -12,6 +12,7 @@ Everything after the parse (cleaning, label mapping, widening, routing) is nativ
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from html import unescape
@@ -21,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-# Fixed values (HTML standard): elements without content.
+# Elements that are read as having no content, obsolete ones among them.
 VOID_TAGS = frozenset(
     "area base br col embed hr img input link meta param source track wbr "
     "basefont bgsound command frame image isindex keygen menuitem nextid spacer".split()
@@ -115,6 +116,7 @@ class _Outline:
         self.text_from: list[int] = []
         self.text_to: list[int] = []
         self.found: dict[str, int] = {}
+        self._by_tag: dict[str, list[int]] | None = None
         self._missing = set(wanted)
         self._unclosed: set[int] = set()  # wanted elements that are open
         self._scan(html)
@@ -212,19 +214,38 @@ class _Outline:
     def first(self, below: int | None, tag: str) -> int | None:
         if below is None:
             return None
-        try:
-            return self.tags.index(tag, below + 1, self.end[below])
-        except ValueError:
-            return None
+        places = self._places().get(tag, ())
+        at = bisect_right(places, below)
+        return places[at] if at < len(places) and places[at] < self.end[below] else None
 
     def every(self, below: int, tag: str) -> list[int]:
-        return [i for i in range(below + 1, self.end[below]) if self.tags[i] == tag]
+        places = self._places().get(tag, [])
+        return places[bisect_right(places, below) : bisect_left(places, self.end[below])]
+
+    def _places(self) -> dict[str, list[int]]:
+        """Elements by tag, in document order; listed once, after the scan."""
+        if self._by_tag is None:
+            self._by_tag = {}
+            for index, tag in enumerate(self.tags):
+                self._by_tag.setdefault(tag, []).append(index)
+        return self._by_tag
 
     def text_of(self, index: int | None) -> str | None:
         if index is None:
             return None
         return "".join(self.text[self.text_from[index] : self.text_to[index]])
 
+    def text_within(self, index: int, length: int) -> str:
+        """The beginning of an element's text, up to ``length`` characters that are not blanks."""
+        pieces = []
+        for at in range(self.text_from[index], self.text_to[index]):
+            for char in self.text[at]:
+                pieces.append(char)
+                length -= char != " "
+                if not length:
+                    return "".join(pieces)
+        return "".join(pieces)
+
     def attribute(self, index: int | None, name: str) -> str | None:
         return None if index is None else _attributes(self.attrs[index]).get(name)
 
@@ -238,19 +259,43 @@ def _links_of(page: _Outline, sel: Selectors) -> list | None:
     return None if None in anchors else [page.attribute(a, "href") for a in anchors]
 
 
-def _detail_of(page: _Outline, sel: Selectors) -> list | None:
+def _known_rows(page: _Outline, sel: Selectors, rows: list[int], labels: dict[str, str]) -> list[tuple]:
+    """Rows as the item pass needs them: cell text for the first row of each known label only.
+
+    Unclosed rows nest, so the text of every row would grow with the square of the page. A label that
+    runs on into the next row is read until it is longer than any known one.
+    """
+    longest, seen, out = max(map(len, labels)), set(), []
+    for pos, row in enumerate(rows):
+        label, cell = page.first(row, sel.label), page.first(row, sel.value)
+        title = None
+        if label is not None:
+            runs_on = pos + 1 < len(rows) and page.text_to[label] > page.text_from[rows[pos + 1]]
+            title = page.text_within(label, longest + 1) if runs_on else page.text_of(label)
+        name = None if title is None else labels.get(title.replace(" ", ""))
+        value, links = None if cell is None else "", []
+        if name is not None and name not in seen and cell is not None:
+            seen.add(name)
+            value, links = page.text_of(cell), [page.text_of(a) for a in page.every(cell, sel.link)]
+        out.append((pos, title, value, links))
+    return out
+
+
+def _detail_of(page: _Outline, sel: Selectors, labels: dict[str, str] | None = None) -> list | None:
     table = page.found.get(sel.detail)
     if table is None:
         return None
-    rows = []
-    for pos, row in enumerate(page.every(table, sel.row)):
+    rows, found = [], page.every(table, sel.row)
+    if labels is not None:
+        return [dict(zip(DETAIL_ROW.names, row)) for row in _known_rows(page, sel, found, labels)]
+    for pos, row in enumerate(found):
         cell = page.first(row, sel.value)
         links = [] if cell is None else [page.text_of(a) for a in page.every(cell, sel.link)]
         rows.append((pos, page.text_of(page.first(row, sel.label)), page.text_of(cell), links))
     return [dict(zip(DETAIL_ROW.names, row)) for row in rows]
 
 
-def _fields(html: str | None, sel: Selectors, parts: tuple[str, ...]) -> dict:
+def _fields(html: str | None, sel: Selectors, parts: tuple[str, ...], labels: dict[str, str] | None = None) -> dict:
     where = {
         "links": sel.list_container, "pager": sel.pager, "hero": sel.hero,
         "title": sel.title, "license": sel.license, "detail": sel.detail,
@@ -272,7 +317,7 @@ def _fields(html: str | None, sel: Selectors, parts: tuple[str, ...]) -> dict:
             out["has_license"], out["license_src"] = image is not None, page.attribute(image, "src")
             out["license_text"] = page.text_of(at)
         elif part == "detail":
-            out["detail"] = _detail_of(page, sel)
+            out["detail"] = _detail_of(page, sel, labels)
     return out
 
 
@@ -282,10 +327,12 @@ def parse_pages(
     keys: Iterable[str] = ("page_id", "url"),
     html: str = "html",
     selectors: Selectors = Selectors(),
+    labels: dict[str, str] | None = None,
 ) -> DataFrame:
     """Key columns plus the columns of the asked ``parts`` (see ``PARTS``), one row per page.
 
-    Narrow: the partitioning of ``pages`` is kept and nothing is shuffled. Null HTML reads as an
+    With ``labels`` (known label -> item column) detail rows carry cell text only where an item takes
+    it: in the first row of each column. Narrow: the partitioning of ``pages`` is kept and nothing is shuffled. Null HTML reads as an
     empty page.
     """
     parts, keys = tuple(parts), list(keys)
@@ -296,7 +343,7 @@ def parse_pages(
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [_fields(text, selectors, parts) for text in batch.column(len(keys)).to_pylist()]
+            rows = [_fields(text, selectors, parts, labels) for text in batch.column(len(keys)).to_pylist()]
             columns = [batch.column(i).cast(arrow_schema.field(i).type) for i in range(len(keys))]
             for field in list(arrow_schema)[len(keys) :]:
                 columns.append(pa.array([row[field.name] for row in rows], type=field.type))

@@ -22,32 +22,45 @@ MAX_RANK_TASKS = 20_000
 _PLACE_BITS = 33
 
 
-def slice_rows(rows: DataFrame, order: Sequence[str], start: int | None, count: int | None) -> DataFrame:
-    """``count`` rows from offset ``start`` in a fixed order; a missing bound gives no rows.
+def _sortable(rows: DataFrame) -> list[str]:
+    """Columns that Spark can order by: all but maps and what holds them."""
+    return [f.name for f in rows.schema if "map<" not in f.dataType.simpleString()]
 
-    Shallow slices compile to one top-k, where each task keeps ``start + count`` rows. That grows
-    with the offset, so deep slices rank the keys instead (``with_rank``) and fetch the rows that
-    carry a wanted rank.
+
+def slice_rows(
+    rows: DataFrame, order: Sequence[str], start: int | None, count: int | None, shallow: int | None = None
+) -> DataFrame:
+    """``count`` rows from offset ``start``, in order; a missing bound gives no rows.
+
+    One order holds for every offset: by ``order``, ties by the other columns, nulls first. Shallow
+    slices (up to ``shallow`` rows deep) compile to one top-k, where each task keeps
+    ``start + count`` rows. That grows with the offset, so deeper ones rank the rows over range
+    partitions (``with_rank``) and keep the wanted ranks. Ranked rows are stored once: for wide rows
+    slice the keys and join the rest, as ``page_slice`` does.
     """
     if start is None or count is None:
         return rows.limit(0)
-    if start + count <= SHALLOW_ROWS:
+    order = [*order, *[c for c in _sortable(rows) if c not in order]]
+    if start + count <= (SHALLOW_ROWS if shallow is None else shallow):
         return rows.orderBy(*order).offset(start).limit(count)
-    ranked = with_rank(rows, order).filter((F.col("rank") >= start) & (F.col("rank") < start + count))
-    return rows.join(ranked.drop("rank"), list(order), "left_semi")
+    ranked = with_rank(rows, order, carry=[c for c in rows.columns if c not in order])
+    wanted = ranked.filter((F.col("rank") >= start) & (F.col("rank") < start + count))
+    return wanted.orderBy("rank").select(*rows.columns)
 
 
-def with_rank(rows: DataFrame, order: Sequence[str], partitions: int | None = None) -> DataFrame:
-    """``(order.., rank)``: the 0-based place of every key in the whole table's order.
+def with_rank(
+    rows: DataFrame, order: Sequence[str], partitions: int | None = None, carry: Sequence[str] = ()
+) -> DataFrame:
+    """``(order.., carry.., rank)``: the 0-based place of every row in the whole table's order.
 
-    ``order`` must identify a row. Keys only are sorted, in range partitions; a global window would
-    put every row in one task. The sorted keys are checkpointed, so the counts per partition and the
-    places within them come from the same partitioning even when executors are lost in between. The
-    running total spans one row per partition.
+    Rows that agree in all of ``order`` are numbered one after the other. Only these columns are
+    sorted, in range partitions; a global window would put every row in one task. The sorted rows are
+    checkpointed, so the counts per partition and the places within them come from the same
+    partitioning even when executors are lost in between. The running total spans one row per partition.
     """
-    order = list(order)
+    order, kept = list(order), [*order, *carry]
     spark = rows.sparkSession
-    keys = rows.select(*order)
+    keys = rows.select(*kept)
     if partitions is None:
         configured = int(spark.conf.get("spark.sql.shuffle.partitions"))
         size = estimated_bytes(keys)
@@ -60,9 +73,9 @@ def with_rank(rows: DataFrame, order: Sequence[str], partitions: int | None = No
     counts = placed.groupBy(part.alias("part")).agg(F.count("*").alias("size"))
     before = F.sum("size").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
     offsets = counts.select("part", F.coalesce(before, F.lit(0)).alias("before"))
-    numbered = placed.select(*order, part.alias("part"), place.alias("place"))
+    numbered = placed.select(*kept, part.alias("part"), place.alias("place"))
     joined = numbered.join(F.broadcast(offsets), "part")
-    return joined.select(*order, (F.col("before") + F.col("place")).alias("rank"))
+    return joined.select(*kept, (F.col("before") + F.col("place")).alias("rank"))
 
 
 def assign_pages(rows: DataFrame, order: Sequence[str], size: int = PAGE_SIZE) -> DataFrame:
@@ -87,26 +100,34 @@ def first_row(rows: DataFrame, order: Sequence[str]) -> DataFrame:
 
 
 def _slice_keys(payloads: DataFrame, key: str, start: int, count: int) -> tuple[DataFrame, Column]:
-    """The keys of a slice, computed once, and a condition that bounds any scan that looks for them.
+    """The keys of a slice as ``_key``, computed once, and a condition that bounds any scan for them.
 
     The keys of a slice are neighbours in key order, so two values, the smallest and the largest,
-    are enough for parquet filters that skip row groups.
+    are enough for parquet filters that skip row groups. A null key counts as one.
     """
-    keys = checkpointed(slice_rows(payloads.select(key), [key], start, count))
-    low, high = keys.agg(F.min(key), F.max(key)).first()
+    keys = checkpointed(slice_rows(payloads.select(key), [key], start, count).select(F.col(key).alias("_key")))
+    low, high, nulls = keys.agg(F.min("_key"), F.max("_key"), F.count_if(F.col("_key").isNull())).first()
     near = F.col(key).between(F.lit(low), F.lit(high))
-    return F.broadcast(keys) if count <= SHALLOW_ROWS else keys, near
+    return F.broadcast(keys) if count <= SHALLOW_ROWS else keys, near | F.col(key).isNull() if nulls else near
+
+
+def _having(rows: DataFrame, keys: DataFrame, key: str, near: Column) -> DataFrame:
+    return rows.filter(near).join(keys, F.col(key).eqNullSafe(F.col("_key")), "left_semi")
 
 
 def page_slice(payloads: DataFrame, key: str, start: int | None, count: int | None) -> DataFrame:
-    """A slice of a table with wide payloads: keys first, payloads after. ``key`` names a row.
+    """A slice of a table with wide payloads, in key order: keys first, payloads after. ``key`` names a row.
 
     The key side is at most ``count`` rows and is broadcast when that is small.
     """
     if start is None or count is None:
         return payloads.limit(0)
+    return _having(payloads, *_bounded(payloads, key, start, count)).orderBy(key)
+
+
+def _bounded(payloads: DataFrame, key: str, start: int, count: int) -> tuple[DataFrame, str, Column]:
     keys, near = _slice_keys(payloads, key, start, count)
-    return payloads.filter(near).join(keys, key)
+    return keys, key, near
 
 
 def data_range(payloads: DataFrame, items: DataFrame, key: str, start: int | None, count: int | None) -> DataFrame:
@@ -117,6 +138,5 @@ def data_range(payloads: DataFrame, items: DataFrame, key: str, start: int | Non
     """
     if start is None or count is None:
         return enrich_with_info(payloads.limit(0), items, key)
-    keys, near = _slice_keys(payloads, key, start, count)
-    wanted = items.filter(near).join(keys, key, "left_semi")
-    return enrich_with_info(payloads.filter(near).join(keys, key), wanted, key)
+    bounds = _bounded(payloads, key, start, count)
+    return enrich_with_info(_having(payloads, *bounds), _having(items, *bounds), key)

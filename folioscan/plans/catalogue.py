@@ -14,7 +14,9 @@ from folioscan.operators.first_writer import insert_if_absent as inserts
 from folioscan.operators.joins import catalogue_audit, license_for_item
 from folioscan.operators.lookup import (
     IMAGE_NAMES,
+    LICENSE_IMAGE_NAMES,
     LICENSE_NAMES,
+    THUMBNAIL_NAMES,
     lookup,
     lookup_json,
     non_empty_attributes,
@@ -39,11 +41,15 @@ SELECT doc_id, lang, source, n_chars FROM firsts f
 WHERE n = 1 AND NOT EXISTS (SELECT 1 FROM stored s WHERE s.text = f.text)
 """)
 def insert_if_absent(spark, sf_dir):
-    """Documents without a label arrive at a store of the labelled ones; the text is the key."""
+    """Documents without a label arrive at a store of the labelled ones; the text is the key.
+
+    Texts are keyed by digest, where they are read; the other columns come back by id.
+    """
     documents, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels").select("doc_id")
-    stored = documents.join(labels, "doc_id", "left_semi").select("text")
-    fresh = documents.join(labels, "doc_id", "left_anti")
-    return inserts(fresh, stored, ["text"], ["doc_id"]).drop("text")
+    keyed = documents.select("doc_id", F.sha2(F.col("text").cast("binary"), 256).alias("digest"))
+    stored = keyed.join(labels, "doc_id", "left_semi").select("digest")
+    fresh = inserts(keyed.join(labels, "doc_id", "left_anti"), stored, ["digest"], ["doc_id"])
+    return documents.select("doc_id", "lang", "source", "n_chars").join(fresh.select("doc_id"), "doc_id", "left_semi")
 
 
 @query(f"""
@@ -138,6 +144,28 @@ def deep_slice(spark, sf_dir):
     return paging.slice_rows(orders, ["o_orderkey"], 12_000, 50)
 
 
+@query("""
+SELECT strftime(l_shipdate, '%Y-%m-%d') AS day, l_orderkey, l_linenumber FROM lineitem
+ORDER BY l_shipdate, l_orderkey, l_linenumber LIMIT 200 OFFSET 12345
+""")
+def deep_slice_ties(spark, sf_dir):
+    """Many lines share a date; the other columns break the ties."""
+    lines = table(spark, sf_dir, "lineitem").select("l_shipdate", "l_orderkey", "l_linenumber")
+    found = paging.slice_rows(lines, ["l_shipdate"], 12_345, 200)
+    return found.select(F.date_format("l_shipdate", "yyyy-MM-dd").alias("day"), "l_orderkey", "l_linenumber")
+
+
+@query("""
+SELECT quality, d.doc_id, source FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id
+ORDER BY quality NULLS FIRST, d.doc_id NULLS FIRST LIMIT 60 OFFSET 100
+""")
+def deep_slice_nulls(spark, sf_dir):
+    """Most documents have no label, so the key is null; ranked as a deep slice at any offset."""
+    documents, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels").select("doc_id", "quality")
+    rows = documents.select("doc_id", "source").join(labels, "doc_id", "left").select("quality", "doc_id", "source")
+    return paging.slice_rows(rows, ["quality"], 100, 60, shallow=0)
+
+
 @query("SELECT c_custkey, c_name FROM customer ORDER BY c_custkey LIMIT 9 OFFSET 27")
 def catalogue_page(spark, sf_dir):
     return paging.page(table(spark, sf_dir, "customer").select("c_custkey", "c_name"), ["c_custkey"], 4)
@@ -226,7 +254,61 @@ SELECT CAST(to_json({'list': list({'doc_id': doc_id, 'source': source, 'n_chars'
 """)
 def page_answer(spark, sf_dir):
     documents = table(spark, sf_dir, "documents").select("doc_id", "source", "n_chars")
-    return answer_of_page(paging.page(documents, ["doc_id"], 4), "doc_id")
+    return answer_of_page(documents, "doc_id", 27, 9)
+
+
+@query("""SELECT '{"list":[]}' AS answer FROM (SELECT count(*) FROM documents)""")
+def empty_page_answer(spark, sf_dir):
+    """A request without a bound."""
+    return answer_of_page(table(spark, sf_dir, "documents").select("doc_id", "source"), "doc_id", None, 9)
+
+
+@query("""
+WITH t AS (SELECT doc_id, source FROM documents ORDER BY doc_id LIMIT 30 OFFSET 45)
+SELECT CAST(to_json({'list': list({'doc_id': t.doc_id, 'source': source, 'info':
+  CASE WHEN l.doc_id IS NOT NULL THEN {'doc_id': l.doc_id, 'quality': l.quality, 'toxic': l.toxic} END}
+  ORDER BY t.doc_id)}) AS VARCHAR) AS answer
+FROM t LEFT JOIN labels l ON l.doc_id = t.doc_id
+""")
+def page_answer_info(spark, sf_dir):
+    """A page whose rows carry the row of another table."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "source")
+    return answer_of_page(documents, "doc_id", 45, 30, table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic"))
+
+
+def _asset_answers(spark, sf_dir, names):
+    """Answers for every labelled id and as many ids that are not stored; texts are the payloads."""
+    ids = table(spark, sf_dir, "labels").select(F.explode(F.array("doc_id", -1 - F.col("doc_id"))).alias("doc_id"))
+    stored = table(spark, sf_dir, "documents").select(
+        "doc_id",
+        F.col("doc_id").cast("string").alias("_id"),
+        F.concat(F.col("doc_id").cast("string"), F.lit(".png")).alias("filename"),
+        F.col("source").alias("license"),
+        F.col("lang").alias("license_name"),
+        F.col("text").cast("binary").alias("hash_"),
+    )
+    return lookup_json(ids, stored, "doc_id", renamed(names))
+
+
+@query("""
+WITH wanted AS (SELECT DISTINCT doc_id FROM labels UNION SELECT -1 - doc_id FROM labels)
+SELECT w.doc_id, CASE WHEN d.doc_id IS NULL THEN '{}' ELSE CAST(to_json(
+  {'id': CAST(d.doc_id AS VARCHAR), 'filename': d.doc_id || '.png', 'hashthumbnail': base64(encode(d.text))})
+  AS VARCHAR) END AS answer
+FROM wanted w LEFT JOIN documents d ON w.doc_id = d.doc_id
+""")
+def thumbnail_lookup(spark, sf_dir):
+    return _asset_answers(spark, sf_dir, THUMBNAIL_NAMES)
+
+
+@query("""
+WITH wanted AS (SELECT DISTINCT doc_id FROM labels UNION SELECT -1 - doc_id FROM labels)
+SELECT w.doc_id, CASE WHEN d.doc_id IS NULL THEN '{}' ELSE CAST(to_json(
+  {'id': d.source, 'license_name': d.lang, 'hashlicense': base64(encode(d.text))}) AS VARCHAR) END AS answer
+FROM wanted w LEFT JOIN documents d ON w.doc_id = d.doc_id
+""")
+def license_lookup(spark, sf_dir):
+    return _asset_answers(spark, sf_dir, LICENSE_IMAGE_NAMES)
 
 
 @query("""

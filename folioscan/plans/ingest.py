@@ -5,8 +5,8 @@ the few staged columns it needs. All decisions (who is the first writer, what is
 made on narrow rows; a join on the unique ``page_id`` brings the wide row back, so an id that very
 many pages share never gathers rows in one task.
 
-Each table is written to a folder of its own per batch, and only earlier batches count as stored.
-Running a batch again therefore rewrites the same rows.
+Each table is written to a folder of its own per run and batch, and what all other batches of all runs
+wrote counts as stored. Running a batch again therefore rewrites the same rows and no others.
 """
 
 from __future__ import annotations
@@ -16,26 +16,29 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from folioscan.functions.attributes import UNKNOWN_LABEL
+from folioscan.functions.attributes import ATTRIBUTES, UNKNOWN_LABEL
 from folioscan.functions.text import clean_license_text
 from folioscan.functions.urls import ORIGIN_DIR, absolute_url, asset_name, asset_path, basename, item_code
 from folioscan.operators.assets import thumbnail_errors, thumbnail_job, thumbnail_rows
 from folioscan.operators.detail import broken_at, repeated_attributes, unknown_titles, wide_columns, with_names
 from folioscan.operators.errors import (
-    DUPLICATE,
     IMAGE_MESSAGE,
     INSERTED,
+    THUMBNAIL_MESSAGE,
     classify_outcome,
     item_error_line,
     license_error_line,
     retry_pass,
 )
 from folioscan.operators.first_writer import insert_if_absent
-from folioscan.operators.joins import BROADCAST_ROWS, dimension_join, hot_key_join, keep_marked
+from folioscan.operators.joins import BROADCAST_ROWS, dimension_join, having_key, hot_key_join, keep_marked
 from folioscan.operators.page_parse import ITEM_PARTS, Selectors, parse_pages
 from folioscan.sources.pages import spread
-from folioscan.sources.tables import BATCH, read_table, write_batch, write_together
-from folioscan.sources.workspace import written
+from folioscan.sources.tables import read_table, write_batch, write_together, written_by
+from folioscan.sources.workspace import checkpointed, written
+
+# Runs of batch loads and of thumbnail passes, unless the caller names one.
+BATCH_RUN, THUMBNAIL_RUN = "batch", "thumbnails"
 
 
 @dataclass(frozen=True)
@@ -78,24 +81,23 @@ def item_rows(parsed: DataFrame, options: ItemOptions = ItemOptions()) -> DataFr
     )
 
 
-def _archived(assets: DataFrame, wanted: DataFrame, small: bool) -> DataFrame:
-    """Assets worth folding: for a small batch only the ``wanted`` urls, picked where they are stored.
+def _archived(assets: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Assets of the ``wanted`` urls that have a payload, picked where they are stored.
 
-    A large batch wants most of the archive, so it is folded whole. Either way copies of one asset
-    shrink to one per task before they are shuffled.
+    ``wanted`` has distinct urls; up to a counted bound they are broadcast, so payloads do not move.
     """
-    return assets.join(F.broadcast(wanted), "url", "left_semi") if small else assets
+    return having_key(assets, wanted, "url", BROADCAST_ROWS).filter(F.col("payload").isNotNull())
 
 
-def lost_assets(staged: DataFrame, assets: DataFrame, small: bool, root: str | None = None) -> DataFrame:
+def lost_assets(staged: DataFrame, assets: DataFrame, root: str | None = None) -> DataFrame:
     """``(page_id, lost_hero, lost_icon)``: pages whose image or licence icon is not archived.
 
-    Only urls are read from ``assets`` (``url``, ``payload``). They fold to distinct urls before the
-    anti join, so an icon that very many items share is looked up once.
+    An asset without a payload is not there. Urls fold to distinct ones before the anti join, so an
+    icon that very many items share is looked up once.
     """
     urls = staged.select("page_id", "hero_url", "license_url")
     wanted = urls.select(F.explode(F.array("hero_url", "license_url")).alias("url")).filter("url is not null").distinct()
-    known = _archived(assets.select("url"), wanted, small).distinct()
+    known = _archived(assets.select("url", "payload"), wanted).select("url").distinct()
     lost = written(wanted.join(known, "url", "left_anti"), "lost", root)
     heroes = lost.select(F.col("url").alias("hero_url"), F.lit(True).alias("lost_hero"))
     icons = lost.select(F.col("url").alias("license_url"), F.lit(True).alias("lost_icon"))
@@ -108,9 +110,7 @@ def lost_assets(staged: DataFrame, assets: DataFrame, small: bool, root: str | N
     )
 
 
-def routed(
-    staged: DataFrame, assets: DataFrame | None = None, small: bool = False, root: str | None = None
-) -> DataFrame:
+def routed(staged: DataFrame, assets: DataFrame | None = None, root: str | None = None) -> DataFrame:
     """Narrow flags per page: ``complete``, ``failure``, ``stores_license`` and ``lost_icon``.
 
     The events on a page come in this order: parts, licence icon, detail rows, image.
@@ -119,7 +119,7 @@ def routed(
     if assets is None:
         flags = narrow.withColumns({"lost_hero": F.lit(False), "lost_icon": F.lit(False)})
     else:
-        flags = narrow.join(lost_assets(staged, assets, small, root), "page_id")
+        flags = narrow.join(lost_assets(staged, assets, root), "page_id")
     lost_icon = F.col("has_parts") & F.col("lost_icon")
     failure = (
         F.when(lost_icon, F.lit("licence icon not found"))
@@ -195,20 +195,32 @@ def error_rows(staged: DataFrame, flags: DataFrame, conflicts: DataFrame | None
     return logged.unionByName(images)
 
 
-def with_payload(rows: DataFrame, assets: DataFrame | None, url: str, small: bool) -> DataFrame:
+def with_payload(rows: DataFrame, assets: DataFrame | None, url: str) -> DataFrame:
     """Adds ``hash_``, the archived bytes of ``url``; null without an asset archive.
 
-    Called for rows that will be stored only, and joined with hot urls split: a placeholder image
-    may belong to a third of all items. Of several copies of an asset the smallest by content is
-    taken, so every run stores the same bytes.
+    Called for rows that will be stored only. Of several copies of an asset the smallest is taken (by its
+    first bytes, then by digest), so every run stores the same: those and the places of the wanted copies
+    are compared, bytes are fetched last. ``assets`` must be a stored table, whose rows keep their places. Rows
+    are counted: up to a bound they are broadcast to the payloads, beyond it payloads shuffle once,
+    and one that very many rows share is split.
     """
     if assets is None:
         return rows.withColumn("hash_", F.lit(None).cast("binary"))
+    placed = assets.select("url", "payload", F.monotonically_increasing_id().alias("place"))
     wanted = rows.select(F.col(url).alias("url")).filter("url is not null").distinct()
-    payloads = _archived(assets, wanted, small).groupBy("url").agg(F.min("payload").alias("hash_"))
-    return hot_key_join(
-        rows, payloads.withColumnRenamed("url", url), url, ["page_id"], "left", rows_per_split=PAYLOADS_PER_SPLIT
-    )
+    copies = _archived(placed, wanted).select("url", F.struct(F.substring("payload", 1, 64), F.sha2("payload", 256), "place").alias("copy"))
+    chosen = copies.groupBy("url").agg(F.min("copy").alias("copy"))
+    places = chosen.select(F.col("url").alias(url), F.col("copy.place").alias("place"))
+    located = hot_key_join(rows, places, url, ["page_id"], "left")
+    found = checkpointed(located.filter("place is not null"))
+    if found.count() <= BROADCAST_ROWS:
+        fetched = placed.select("place", F.col("payload").alias("hash_")).join(F.broadcast(found), "place")
+    else:
+        payloads = placed.select("place", F.col("payload").alias("hash_"))
+        fetched = hot_key_join(found, payloads, "place", ["page_id"], rows_per_split=PAYLOADS_PER_SPLIT)
+    columns = [*rows.columns, "hash_"]
+    without = located.filter("place is null").withColumn("hash_", F.lit(None).cast("binary"))
+    return fetched.select(*columns).unionByName(without.select(*columns))
 
 
 # Rows of one shared payload that one task may write.
@@ -221,18 +233,25 @@ def ingest_batch(
     root: str,
     options: ItemOptions = ItemOptions(),
     assets: DataFrame | None = None,
+    run: str = BATCH_RUN,
+    page_errors: DataFrame | None = None,
 ) -> None:
-    """Add one batch of item pages to the catalogue below ``root``."""
+    """Add one batch of item pages to the catalogue below ``root``.
+
+    ``run`` and ``batch_id`` name the batch; the same pair again replaces what it wrote. ``page_errors``
+    (``page_id, message, line``) of the steps before go to the catalogue's error table.
+    """
     spark = pages.sparkSession
-    parsed = parse_pages(spread(pages), ITEM_PARTS, selectors=options.selectors)
-    staged = written(item_rows(parsed, options), "stage", root)
+    owner = f"{root}#{run}"
+    parsed = parse_pages(spread(pages), ITEM_PARTS, selectors=options.selectors, labels=ATTRIBUTES)
+    staged = written(item_rows(parsed, options), "stage", owner)
     small = staged.count() <= BROADCAST_ROWS
-    flags = routed(staged, assets, small, root)
+    flags = routed(staged, assets, owner)
     if assets is not None:
-        flags = written(flags, "flags", root)
+        flags = written(flags, "flags", owner)
 
     def stored(name: str) -> DataFrame:
-        return read_table(spark, root, name).filter(F.col(BATCH) < batch_id)
+        return read_table(spark, root, name).filter(~written_by(run, batch_id))
 
     failed = F.col("failure").isNotNull()
     ready = flags.filter(F.col("complete") & ~failed)
@@ -243,29 +262,42 @@ def ingest_batch(
     # A licence is stored as soon as its block is read, also when the item itself fails later.
     icons = first_writers(flags.filter("stores_license"), stored("licenses"), "license", small).select("page_id")
     icon_rows = staged.select("page_id", "license", "license_name", "license_url").join(icons, "page_id", "left_semi")
-    licenses = with_payload(icon_rows, assets, "license_url", small)
-    write_together({"outcomes": outcomes, "licenses": licenses}, root, batch_id)
+    licenses = with_payload(icon_rows, assets, "license_url")
+    write_together({"outcomes": outcomes, "licenses": licenses}, root, batch_id, run)
 
-    outcomes = read_table(spark, root, "outcomes").filter(F.col(BATCH) == batch_id)
+    outcomes = read_table(spark, root, "outcomes").filter(written_by(run, batch_id))
     inserted = F.col("status") == INSERTED
     tables = {"items": keep_marked(staged, outcomes, "page_id", inserted)}
     conflicts = None
     if assets is not None:
-        conflicts = outcomes.filter(F.col("status") == DUPLICATE).select("page_id", "_id")
-        image_rows = keep_marked(staged.select("page_id", "_id", "hero_url"), outcomes, "page_id", inserted)
-        named = image_rows.withColumn("filename", asset_name(F.col("_id")))
-        tables["images"] = with_payload(named, assets, "hero_url", small)
+        # Images have first writers of their own: an item may be stored without its image, or an image alone.
+        shown = first_writers(ready, stored("images"), "_id", small).select("page_id", F.lit(True).alias("shown"))
+        ids = ready.select("page_id", "_id").join(shown, "page_id", "left")
+        conflicts = ids.filter("shown is null").select("page_id", "_id")
+        heroes = staged.select("page_id", "hero_url")
+        image_rows = ids.filter("shown").drop("shown").join(heroes, "page_id")
+        tables["images"] = with_payload(image_rows.withColumn("filename", asset_name(F.col("_id"))), assets, "hero_url")
     tables["errors"] = error_rows(staged, flags, conflicts)
-    write_together(tables, root, batch_id)
+    if page_errors is not None:
+        side = page_errors.select("page_id", F.lit(None).cast("string").alias("item_id"), F.lit("page").alias("stage"), "message", "line")
+        tables["errors"] = tables["errors"].unionByName(side)
+    write_together(tables, root, batch_id, run)
 
 
-def thumbnail_batch(images: DataFrame, batch_id: int, root: str) -> None:
-    """Add the thumbnails of decoded images (``read_images``); failures go to their own table."""
-    made = written(thumbnail_job(images), "thumbnails", root)
-    stored = read_table(images.sparkSession, root, "thumbnails").filter(F.col(BATCH) < batch_id)
+def thumbnail_batch(images: DataFrame, batch_id: int, root: str, run: str = THUMBNAIL_RUN) -> None:
+    """Add the thumbnails of decoded images (``read_images``); failures go to the catalogue's error table."""
+    made = written(thumbnail_job(images), "thumbnails", f"{root}#{run}")
+    stored = read_table(images.sparkSession, root, "thumbnails").filter(~written_by(run, batch_id))
     rows = insert_if_absent(thumbnail_rows(made), stored, ["_id"], ["filename"], made.count() <= BROADCAST_ROWS)
-    write_batch(rows, root, "thumbnails", batch_id)
-    write_batch(thumbnail_errors(made), root, "thumbnail_errors", batch_id)
+    write_batch(rows, root, "thumbnails", batch_id, run)
+    failed = thumbnail_errors(made).select(
+        F.lit(None).cast("bigint").alias("page_id"),
+        F.col("_id").alias("item_id"),
+        F.lit("thumbnail").alias("stage"),
+        F.lit(THUMBNAIL_MESSAGE).alias("message"),
+        "line",
+    )
+    write_batch(failed, root, "errors", batch_id, run)
 
 
 def reingest(
@@ -275,6 +307,7 @@ def reingest(
     root: str,
     options: ItemOptions = ItemOptions(),
     assets: DataFrame | None = None,
+    run: str = BATCH_RUN,
 ) -> None:
     """The retry pass: the items a log names, once more through ``ingest_batch``."""
-    ingest_batch(retry_pass(lines, archive, options.item_id()), batch_id, root, options, assets)
+    ingest_batch(retry_pass(lines, archive, options.item_id()), batch_id, root, options, assets, run)

@@ -7,11 +7,22 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from folioscan.functions.payload import encode_base64
 from folioscan.operators.errors import classify_outcome, status_summary as summarise
 from folioscan.operators.page_parse import parse_pages
+from folioscan.plans.crawl import crawl
 from folioscan.plans.ingest import error_rows, first_writers, ingest_batch, item_rows, routed
 from folioscan.plans.registry import query
-from folioscan.plans.rendering import PART_ITEMS, part_pages
+from folioscan.plans.rendering import (
+    LIST_TEMPLATE,
+    PART_ITEMS,
+    PART_SITE,
+    crawl_archive,
+    part_assets,
+    part_pages,
+    table,
+)
+from folioscan.sources.logs import read_error_log, run_metadata
 from folioscan.sources.pages import spread, stream_pages
 from folioscan.sources.tables import ITEMS, LICENSES, read_table, reset_tables
 from folioscan.sources.workspace import new_folder, written
@@ -108,14 +119,136 @@ def reset_catalogue(spark, sf_dir):
     return reduce(DataFrame.unionByName, counted)
 
 
+def _middle(pages):
+    return pages.agg(F.expr("percentile_approx(page_id, 0.5)")).first()[0]
+
+
+def _stream(spark, arrivals, root):
+    """All files of a folder as a stream of its own, with a fresh checkpoint."""
+    stream = stream_pages(spark, arrivals, files_per_batch=spark.sparkContext.defaultParallelism)
+    stream_items(stream, root, new_folder(spark, "stream")).awaitTermination()
+
+
 @query(_ITEMS_SQL)
 def ingest_stream(spark, sf_dir):
     """The pages arrive as two sets of files, the earlier page ids first, in several micro-batches."""
     arrivals, root = new_folder(spark, "arrivals"), new_folder(spark, "catalogue")
     pages = spread(part_pages(spark, sf_dir))
-    middle = pages.agg(F.expr("percentile_approx(page_id, 0.5)")).first()[0]
+    middle = _middle(pages)
     for arrival in (F.col("page_id") <= middle, F.col("page_id") > middle):
         pages.filter(arrival).write.mode("append").parquet(arrivals)
-    stream = stream_pages(spark, arrivals, files_per_batch=spark.sparkContext.defaultParallelism)
-    stream_items(stream, root, new_folder(spark, "stream")).awaitTermination()
+    _stream(spark, arrivals, root)
     return read_table(spark, root, "items").select(*ITEMS.names)
+
+
+@query(_ITEMS_SQL)
+def ingest_resume(spark, sf_dir):
+    """A batch of the first half, a stream of the rest, and another stream of all pages, into one root."""
+    rest, every, root = (new_folder(spark, label) for label in ("rest", "every", "catalogue"))
+    pages = part_pages(spark, sf_dir)
+    middle = _middle(pages)
+    ingest_batch(pages.filter(F.col("page_id") <= middle), 0, root)
+    pages.filter(F.col("page_id") > middle).write.parquet(rest)
+    pages.write.parquet(every)
+    _stream(spark, rest, root)
+    _stream(spark, every, root)
+    return read_table(spark, root, "items").select(*ITEMS.names)
+
+
+# Images are archived for all parts but every seventh; every eleventh has an entry without bytes.
+_IMAGE_SQL = f"""
+WITH {PART_ITEMS},
+shown AS (SELECT * FROM part_items WHERE complete AND NOT failed AND page_id % 7 <> 0 AND page_id % 11 <> 0)
+SELECT _id, _id || '.png' AS filename, base64(encode(arg_min(filename, page_id))) AS hash FROM shown GROUP BY _id
+"""
+
+
+def _images(spark, root):
+    return read_table(spark, root, "images").select("_id", "filename", encode_base64(F.col("hash_")).alias("hash"))
+
+
+@query(_IMAGE_SQL)
+def ingest_images(spark, sf_dir):
+    """The image addresses of the pages lead to the archive; the first page of an id stores its image."""
+    root = new_folder(spark, "catalogue")
+    ingest_batch(part_pages(spark, sf_dir), 0, root, PART_SITE, part_assets(spark, sf_dir))
+    return _images(spark, root)
+
+
+@query(_IMAGE_SQL)
+def ingest_images_late(spark, sf_dir):
+    """The first load has no archive; the images come with the second, though all items are stored."""
+    root = new_folder(spark, "catalogue")
+    ingest_batch(part_pages(spark, sf_dir), 0, root, PART_SITE)
+    ingest_batch(part_pages(spark, sf_dir), 1, root, PART_SITE, part_assets(spark, sf_dir))
+    return _images(spark, root)
+
+
+@query(f"""
+WITH {PART_ITEMS},
+marked AS (SELECT *, page_id % 7 = 0 OR page_id % 11 = 0 AS lost FROM part_items WHERE complete),
+firsts AS (SELECT _id, min(page_id) AS page_id FROM marked WHERE NOT failed AND NOT lost GROUP BY _id)
+SELECT page_id, 'item' AS stage, _id || ' : ' || CASE WHEN failed THEN 'image without address' ELSE 'image not found' END AS line
+FROM marked WHERE failed OR lost
+UNION ALL SELECT m.page_id, 'image', m._id || ' : Origin image hash data save error'
+FROM marked m LEFT JOIN firsts f ON m.page_id = f.page_id WHERE NOT failed AND NOT lost AND f.page_id IS NULL
+""")
+def ingest_asset_errors(spark, sf_dir):
+    root = new_folder(spark, "catalogue")
+    ingest_batch(part_pages(spark, sf_dir), 0, root, PART_SITE, part_assets(spark, sf_dir))
+    errors = read_table(spark, root, "errors").filter(F.col("stage").isin("item", "image"))
+    return errors.select("page_id", "stage", "line")
+
+
+_CRAWL = f"""
+WITH {PART_ITEMS},
+pages AS (SELECT *, CASE WHEN p_size = 50 THEN NULL ELSE 10000 + p_partkey - CASE WHEN p_partkey % 3 = 1 THEN 1 ELSE 0 END END
+          AS number FROM part),
+lists AS (SELECT c_custkey, c_nationkey FROM customer),
+links AS (SELECT c_custkey, 10000 + c_custkey * 2 + n AS number FROM lists, (SELECT unnest([0, 1, 5]) AS n) WHERE c_nationkey <> 7),
+hits AS (SELECT min(p_partkey) AS page_id FROM pages WHERE number IN (SELECT number FROM links) GROUP BY number)
+"""
+
+
+@query(f"""{_CRAWL}
+SELECT page_id, _id, filename, CASE WHEN NOT complete THEN 'missing_structure' WHEN failed THEN 'error' ELSE 'inserted' END AS status
+FROM part_items JOIN hits USING (page_id)
+""")
+def crawl_catalogue(spark, sf_dir):
+    """List pages, their links, the archived pages behind them, and their items, as one plan."""
+    root = _crawled(spark, sf_dir)
+    outcomes = read_table(spark, root, "outcomes")
+    names = parse_pages(part_pages(spark, sf_dir), ["title"], keys=["page_id"])
+    return outcomes.join(names.withColumnRenamed("title", "filename"), "page_id").select("page_id", "_id", "filename", "status")
+
+
+@query(f"""{_CRAWL}
+SELECT 'PAGE_URL_ERROR : no usable link list/https://catalogue.example/list.do?p=' || c_custkey AS line
+FROM lists WHERE c_nationkey = 7
+UNION ALL SELECT 'PAGE_URL_ERROR : link without address/https://catalogue.example/list.do?p=' || c_custkey
+FROM lists WHERE c_nationkey = 8
+UNION ALL SELECT 'PAGE_URL_ERROR : not archived/https://catalogue.example/list.do?p=' || (n + i)
+FROM (SELECT max(c_custkey) AS n FROM customer), (SELECT unnest([1, 2]) AS i)
+UNION ALL SELECT DISTINCT 'PAGE_URL_ERROR : not archived/https://catalogue.example/view.do?menuNo=200023&wrtSn=' || number
+FROM links WHERE number NOT IN (SELECT number FROM pages WHERE number IS NOT NULL)
+""")
+def crawl_errors(spark, sf_dir):
+    """What the crawl could not read: list pages and item pages that are missing or of no use."""
+    errors = read_table(spark, _crawled(spark, sf_dir), "errors")
+    return errors.filter(F.col("stage") == "page").select("line")
+
+
+@query("""
+SELECT 'START_PAGE' AS key, '0' AS value FROM customer UNION SELECT 'END_PAGE', CAST(max(c_custkey) + 2 AS VARCHAR) FROM customer
+UNION SELECT 'BASE_URL', 'https://catalogue.example' FROM customer
+""")
+def crawl_headers(spark, sf_dir):
+    """The run's settings, as its log holds them."""
+    return run_metadata(read_error_log(spark, f"{_crawled(spark, sf_dir)}/log"))
+
+
+def _crawled(spark, sf_dir):
+    root = new_folder(spark, "catalogue")
+    last = table(spark, sf_dir, "customer").agg(F.max("c_custkey")).first()[0] or 0
+    crawl(crawl_archive(spark, sf_dir), root, 0, last + 2, LIST_TEMPLATE, PART_SITE)
+    return root

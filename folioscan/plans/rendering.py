@@ -10,6 +10,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from folioscan.plans.ingest import ItemOptions
+from folioscan.sources.workspace import written
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -79,6 +82,55 @@ def part_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# The site of these pages.
+HOST = "https://catalogue.example"
+PART_SITE = ItemOptions(base_url=HOST)
+LIST_TEMPLATE = f"{HOST}/list.do?p="
+
+
+def part_assets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An asset archive for ``part_pages``, stored: images of part names, and all licence icons.
+
+    Every seventh image is missing, and every eleventh has no bytes.
+    """
+    part = table(spark, sf_dir, "part")
+    key = F.col("p_partkey")
+    images = part.filter(key % 7 != 0).select(
+        F.concat(F.lit(f"{HOST}/wrt/"), key.cast("string"), F.lit(".png")).alias("url"),
+        F.when(key % 11 != 0, F.col("p_name").cast("binary")).alias("payload"),
+    )
+    icons = part.select(
+        F.concat(F.lit(f"{HOST}/img/license/"), F.lower("p_type"), F.lit(".png")).alias("url"),
+        F.col("p_type").cast("binary").alias("payload"),
+    )
+    return written(images.unionByName(icons.distinct()), "archive")
+
+
+def crawl_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``part_pages`` and a list page per customer that links to three of them, if they exist.
+
+    List pages of nation 7 hold an item without a link, those of nation 8 a link without address.
+    """
+    customer = table(spark, sf_dir, "customer")
+    key, nation = F.col("c_custkey"), F.col("c_nationkey")
+    items = F.transform(
+        F.array(F.lit(0), F.lit(1), F.lit(5)),
+        lambda n: F.concat(
+            F.lit('<li><a href="/view.do?menuNo=200023&amp;wrtSn='),
+            (F.lit(10000) + key * 2 + n).cast("string"),
+            F.lit('">x</a></li>'),
+        ),
+    )
+    odd = F.when(nation == 7, F.lit("<li>no link</li>")).when(nation == 8, F.lit("<li><a>no address</a>")).otherwise("")
+    html = F.concat(F.lit('<ul id="wrtList">'), F.concat_ws("", items), odd, F.lit("</ul>"))
+    lists = customer.select(
+        (key + 1_000_000_000_000).alias("page_id"),
+        F.concat(F.lit(LIST_TEMPLATE), key.cast("string")).alias("url"),
+        html.alias("html"),
+    )
+    return lists.unionByName(part_pages(spark, sf_dir))
+
+
 # The same pages, stated over the source columns.
 PART_ITEMS = """
 part_items AS (

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from folioscan.functions.urls import list_url
 from folioscan.operators.first_writer import first_by_key
-from folioscan.operators.joins import hot_key_join
+from folioscan.operators.joins import having_key, hot_key_join
 from folioscan.sources.workspace import estimated_bytes
 
 PAGE_SCHEMA = T.StructType(
@@ -21,6 +21,8 @@ PAGE_SCHEMA = T.StructType(
 
 # Inputs estimated above this many bytes per core have splits enough of their own.
 SPREAD_BYTES_PER_CORE = 64 << 20
+# And no input above this many bytes is moved for that, however many cores there are.
+SPREAD_BYTES = 4 << 30
 
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
@@ -42,10 +44,10 @@ def spread(pages: DataFrame, key: str = "page_id") -> DataFrame:
     """Use idle cores for a small input before the parse; leave a large one as its scan splits it.
 
     Spark's size estimate decides, so nothing runs for the check. A small input is spread by hash of
-    ``key``: a recomputed task sees the same rows. HTML at scale is never shuffled for this.
+    ``key``: a recomputed task sees the same rows. Beyond ``SPREAD_BYTES`` in all HTML is not moved.
     """
     cores = pages.sparkSession.sparkContext.defaultParallelism
-    if estimated_bytes(pages) > cores * SPREAD_BYTES_PER_CORE:
+    if estimated_bytes(pages) > min(cores * SPREAD_BYTES_PER_CORE, SPREAD_BYTES):
         return pages
     # Not by the bare key: after a join on it Spark would drop the step and merge the small partitions.
     return pages.repartition(cores, F.xxhash64(key))
@@ -62,14 +64,18 @@ def resolve_frontier(frontier: DataFrame, archive: DataFrame, key: str = "url",
 
     The earliest copy of a page wins. Only the two narrow archive columns are joined; read the HTML
     of the hits afterwards with ``pages_of``. Archived copies of one URL fold before the shuffle, and
-    a URL that a large part of the frontier names is split.
+    a URL that a large part of the frontier names is split by the place of its rows, equal rows too.
     """
     known = first_by_key(archive.select(key, order), [key], [order])
-    joined = hot_key_join(frontier, known, key, frontier.columns, "left")
+    placed = frontier.withColumn("_place", F.monotonically_increasing_id())
+    joined = hot_key_join(placed, known, key, ["_place"], "left").drop("_place")
     return joined.withColumn("status", F.when(F.col(order).isNull(), F.lit("miss")).otherwise(F.lit("hit")))
 
 
 def pages_of(resolved: DataFrame, archive: DataFrame, order: str = "page_id") -> DataFrame:
-    """Archive rows of the hits, one per page however often the frontier names it."""
+    """Archive rows of the hits, one per page however often the frontier names it.
+
+    Hits are counted: up to a bound they are broadcast, and the HTML stays where it is.
+    """
     hits = resolved.filter(F.col("status") == "hit").select(order).distinct()
-    return archive.join(hits, order, "left_semi")
+    return having_key(archive, hits, order)

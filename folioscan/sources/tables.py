@@ -6,7 +6,8 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from folioscan.functions.attributes import COLUMNS
@@ -27,7 +28,6 @@ LICENSES = _schema(license=_s, license_name=_s, hash_=_b)
 ENCODED_IMAGES = _schema(_id=_s, filename=_s, hash_=_s)
 ENCODED_LICENSES = _schema(license=_s, license_name=_s, hash_=_s)
 ERRORS = _schema(page_id=_l, item_id=_s, stage=_s, message=_s, line=_s)
-THUMBNAIL_ERRORS = _schema(_id=_s, line=_s)
 OUTCOMES = _schema(page_id=_l, _id=_s, status=_s)
 
 # Table name -> schema. One folder each below the catalogue's root.
@@ -37,11 +37,12 @@ TABLES = {
     "thumbnails": IMAGES,
     "licenses": LICENSES,
     "errors": ERRORS,
-    "thumbnail_errors": THUMBNAIL_ERRORS,
     "outcomes": OUTCOMES,
 }
 
-BATCH = "batch_id"
+# Who wrote a row: a run (a stream, or the batch loads) and its batch. Folders are named by both.
+RUN, BATCH = "run", "batch_id"
+_WRITER = [T.StructField(RUN, T.StringType()), T.StructField(BATCH, T.LongType())]
 
 
 def write_items(items: DataFrame, path: str, mode: str = "append") -> None:
@@ -58,8 +59,8 @@ def write_assets(assets: DataFrame, path: str, encoding: str = "raw", mode: str
 
 
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """A catalogue table with the batch that wrote each row; empty when nothing is stored."""
-    schema = T.StructType([*TABLES[name].fields, T.StructField(BATCH, T.LongType())])
+    """A catalogue table with the run and batch that wrote each row; empty when nothing is stored."""
+    schema = T.StructType([*TABLES[name].fields, *_WRITER])
     try:
         return spark.read.schema(schema).parquet(f"{root}/{name}")
     except AnalysisException as e:
@@ -68,13 +69,18 @@ def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
         return spark.createDataFrame([], schema)
 
 
-def write_batch(rows: DataFrame, root: str, name: str, batch_id: int) -> None:
-    """Write one batch's part of a table. Writing it again replaces it, so a retry changes nothing."""
+def written_by(run: str, batch_id: int) -> Column:
+    """Rows of one batch."""
+    return (F.col(RUN) == run) & (F.col(BATCH) == batch_id)
+
+
+def write_batch(rows: DataFrame, root: str, name: str, batch_id: int, run: str) -> None:
+    """Write one batch's part of a table. Writing it again replaces it and no other run's or batch's rows."""
     columns = [f.name for f in TABLES[name].fields]
-    rows.select(*columns).write.mode("overwrite").parquet(f"{root}/{name}/{BATCH}={batch_id}")
+    rows.select(*columns).write.mode("overwrite").parquet(f"{root}/{name}/{RUN}={run}/{BATCH}={batch_id}")
 
 
-def write_together(tables: dict[str, DataFrame], root: str, batch_id: int) -> None:
+def write_together(tables: dict[str, DataFrame], root: str, batch_id: int, run: str) -> None:
     """Write one batch's part of several tables as concurrent jobs.
 
     The tables share their inputs and no order, and the last tasks of one job leave cores for the
@@ -83,7 +89,7 @@ def write_together(tables: dict[str, DataFrame], root: str, batch_id: int) -> No
     spark = next(iter(tables.values())).sparkSession
     write = inheritable_thread_target(spark)(write_batch)
     with ThreadPoolExecutor(len(tables)) as pool:
-        jobs = [pool.submit(write, rows, root, name, batch_id) for name, rows in tables.items()]
+        jobs = [pool.submit(write, rows, root, name, batch_id, run) for name, rows in tables.items()]
     for job in jobs:
         job.result()
 
@@ -91,5 +97,5 @@ def write_together(tables: dict[str, DataFrame], root: str, batch_id: int) -> No
 def reset_tables(spark: SparkSession, root: str, names=tuple(TABLES)) -> None:
     """Empty the tables; they stay readable."""
     for name in names:
-        schema = T.StructType([*TABLES[name].fields, T.StructField(BATCH, T.LongType())])
-        spark.createDataFrame([], schema).write.mode("overwrite").partitionBy(BATCH).parquet(f"{root}/{name}")
+        schema = T.StructType([*TABLES[name].fields, *_WRITER])
+        spark.createDataFrame([], schema).write.mode("overwrite").partitionBy(RUN, BATCH).parquet(f"{root}/{name}")

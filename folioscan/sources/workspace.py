@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import hashlib
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -10,13 +13,18 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def workspace(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``.
+    """The folder in ``spark.checkpoint.dir``, which all executors share.
 
-    A session that names none gets a temporary one, which is meant for tests on one machine.
+    A session on one machine that names none gets a temporary one; on a cluster that would lose rows,
+    as every executor would write to a disk of its own, so there it is an error.
     """
     folder = spark.conf.get("spark.checkpoint.dir", "") or spark.sparkContext.getCheckpointDir()
     if not folder:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+            raise ValueError(f"set spark.checkpoint.dir to a folder that all executors of {master} share")
         folder = tempfile.mkdtemp(prefix="folioscan-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
         spark.sparkContext.setCheckpointDir(folder)
     return folder
 

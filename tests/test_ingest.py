@@ -5,7 +5,7 @@ from conftest import SMALL
 from pyspark.sql import functions as F
 
 from folioscan.operators.joins import keep_marked
-from folioscan.plans.ingest import ItemOptions, ingest_batch, reingest
+from folioscan.plans.ingest import ItemOptions, ingest_batch, reingest, thumbnail_batch
 from folioscan.plans.rendering import part_pages
 from folioscan.sources.pages import stream_pages
 from folioscan.sources.tables import ITEMS, TABLES, read_table, reset_tables, write_assets, write_items
@@ -137,7 +137,7 @@ def test_stream_equals_batch(spark, pages, assets):
     query = ingest_stream(stream_pages(spark, arrivals, 1), stream, checkpoint, OPTIONS, assets)
     query.awaitTermination()
     assert snapshot(spark, stream) == snapshot(spark, batch)
-    assert read_table(spark, stream, "outcomes").select("batch_id").distinct().count() == 3
+    assert read_table(spark, stream, "outcomes").select("run", "batch_id").distinct().count() == 3
     # Nothing new: another run adds nothing.
     ingest_stream(stream_pages(spark, arrivals, 1), stream, checkpoint, OPTIONS, assets).awaitTermination()
     assert snapshot(spark, stream) == snapshot(spark, batch)
@@ -194,3 +194,55 @@ def test_every_part_is_accounted_for(spark):
     assert outcomes.count() == outcomes.select("page_id").distinct().count() == pages.count()
     items = read_table(spark, root, "items")
     assert items.count() == items.select("_id").distinct().count()
+
+
+def test_streams_and_batches_share_a_root(spark, pages, assets):
+    """No writer replaces another's rows, and each counts what the others stored."""
+    whole, root, arrivals = new_folder(spark, "w"), new_folder(spark, "s"), new_folder(spark, "a")
+    ingest_batch(pages, 0, whole, OPTIONS, assets)
+    ingest_batch(pages.filter("page_id <= 6"), 0, root, OPTIONS, assets)
+    pages.coalesce(1).write.parquet(arrivals)
+    for _ in range(2):
+        stream = stream_pages(spark, arrivals, 1)
+        ingest_stream(stream, root, new_folder(spark, "c"), OPTIONS, assets).awaitTermination()
+    assert read_table(spark, root, "outcomes").select("run").distinct().count() == 3
+    names = ("items", "images", "licenses")
+    assert snapshot(spark, root, names) == snapshot(spark, whole, names)
+
+
+def test_images_have_first_writers_of_their_own(spark, pages, assets):
+    root, once = new_folder(spark, "t"), new_folder(spark, "o")
+    ingest_batch(pages, 0, once, OPTIONS, assets)
+    ingest_batch(pages, 0, root, OPTIONS)
+    assert read_table(spark, root, "images").count() == 0
+    ingest_batch(pages, 1, root, OPTIONS, assets)
+    assert snapshot(spark, root, ("images",)) == snapshot(spark, once, ("images",))
+    errors = read_table(spark, root, "errors").filter("stage = 'image'")
+    assert rows(errors, "page_id") == [(2,), (10,)]
+    # Items are emptied and loaded again: images are stored already, so none is stored twice.
+    reset_tables(spark, root, ("items",))
+    ingest_batch(pages, 2, root, OPTIONS, assets)
+    assert snapshot(spark, root, ("images",)) == snapshot(spark, once, ("images",))
+
+
+def test_an_asset_without_bytes_is_lost(spark, pages, assets):
+    root = new_folder(spark, "t")
+    bare = assets.withColumn("payload", F.when(~F.col("url").endswith("/1.png"), F.col("payload")))
+    ingest_batch(pages.filter("page_id = 1"), 0, root, OPTIONS, bare)
+    assert rows(read_table(spark, root, "errors"), "page_id", "line") == [(1, "1001 : image not found")]
+    assert read_table(spark, root, "images").count() == 0 == read_table(spark, root, "items").count()
+
+
+def test_one_error_table(spark, pages):
+    root = new_folder(spark, "t")
+    image = F.struct(
+        F.lit("").alias("origin"), F.lit(1).alias("height"), F.lit(1).alias("width"), F.lit(1).alias("nChannels"),
+        F.lit(0).alias("mode"), F.lit(b"").alias("data"),
+    )
+    images = spark.range(1).select(F.lit("7").alias("_id"), F.lit("7.png").alias("filename"), image.alias("image"))
+    ingest_batch(pages, 0, root, OPTIONS)
+    before = read_table(spark, root, "errors").count()
+    thumbnail_batch(images, 0, root)
+    errors = read_table(spark, root, "errors")
+    assert errors.count() == before + 1
+    assert rows(errors.filter("stage = 'thumbnail'"), "item_id", "line") == [("7", "THUMBNAIL ERROR: 7.png")]

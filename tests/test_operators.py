@@ -1,3 +1,5 @@
+from functools import partial
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -227,3 +229,53 @@ def test_materialise_missing(spark):
     existing = spark.createDataFrame([("origin", "b")], "kind string, filename string")
     got = materialise_missing(planned, existing, {"origin": True, "thumbnail": True, "license": False})
     assert rows(got) == [(1, "origin", "a"), (5, "thumbnail", "b")]
+
+
+def test_one_slice_rule_for_every_offset(spark):
+    """Repeated and null keys: shallow and deep slices agree, in order."""
+    values = [(None if i % 3 == 0 else i // 10, i % 7, str(i)) for i in range(300)]
+    df = spark.createDataFrame(values, "k int, a int, b string").repartition(4)
+    order = sorted(values, key=lambda r: (r[0] is not None, r[0] or 0, r[1], r[2]))
+    for start, count in ((0, 300), (0, 9), (95, 9), (99, 3), (150, 40), (295, 9), (400, 5)):
+        for shallow in (0, 10_000):
+            got = [tuple(r) for r in paging.slice_rows(df, ["k"], start, count, shallow).collect()]
+            assert got == order[start : start + count]
+
+
+def test_page_slice_holds_a_null_key(spark):
+    df = spark.createDataFrame([(None, "n"), (1, "a"), (2, "b")], "k int, v string")
+    assert [r.v for r in paging.page_slice(df, "k", 0, 2).collect()] == ["n", "a"]
+
+
+def test_one_answer_per_key(spark):
+    table = spark.createDataFrame([(1, "b"), (1, "a"), (2, "c")], "k int, v string")
+    wanted = spark.createDataFrame([(1,), (1,), (3,)], "k int")
+    assert rows(lookup_json(wanted, table, "k", ["v"])) == [(1, '{"v":"a"}'), (3, "{}")]
+
+
+def test_a_hot_url_is_split_though_its_rows_are_equal(spark, monkeypatch):
+    import folioscan.sources.pages as pages
+
+    monkeypatch.setattr(pages, "hot_key_join", partial(hot_key_join, rows_per_split=10))
+    frontier = spark.createDataFrame([("u",)] * 500 + [("v",), (None,)] + [(None,)] * 30, "url string")
+    archive = spark.createDataFrame([(7, "u"), (3, "u")], "page_id long, url string")
+    resolved = resolve_frontier(frontier, archive)
+    counts = {(r["url"], r["page_id"], r["status"]): r["count"] for r in resolved.groupBy("url", "page_id", "status").count().collect()}
+    assert counts == {("u", 3, "hit"): 500, ("v", None, "miss"): 1, (None, None, "miss"): 31}
+
+
+def test_work_folder_must_be_shared_on_a_cluster():
+    from types import SimpleNamespace
+
+    from folioscan.sources.workspace import workspace
+
+    def session(master, folder=""):
+        context = SimpleNamespace(master=master, getCheckpointDir=lambda: None, setCheckpointDir=lambda f: None)
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda k, d: folder), sparkContext=context)
+
+    assert workspace(session("spark://host:1", "hdfs://shared")) == "hdfs://shared"
+    for master in ("local", "local[4]", "local[*]"):
+        assert "folioscan-" in workspace(session(master))
+    for master in ("spark://host:1", "yarn", "local-cluster[2,1,1024]"):
+        with pytest.raises(ValueError, match="checkpoint"):
+            workspace(session(master))

@@ -5,8 +5,10 @@ from check import compare, duck
 from conftest import SMALL
 
 from __spark_entry__ import entry, oracle_sql, queries
+from folioscan.plans import load
+from folioscan.plans.registry import ORACLES as SQL, QUERIES
 
-QUERIES, SQL = queries(), oracle_sql()
+load()
 
 
 @pytest.fixture(scope="module")
@@ -23,5 +25,9 @@ def test_queries_without_sql(spark):
     assert set(QUERIES) - set(SQL) == {"size_profile"}
 
 
+def test_entry_holds_all(spark):
+    assert set(QUERIES) <= set(queries()) and set(SQL) <= set(oracle_sql()) <= set(queries())
+
+
 def test_entry(spark):
     assert entry(spark).count() > 0

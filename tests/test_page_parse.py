@@ -98,3 +98,34 @@ def test_last_page(spark):
     pages = spark.createDataFrame(list(enumerate(html)), "page_id long, html string").withColumn("url", F.lit(""))
     got = [r[1] for r in last_page(parse_pages(pages, ["pager"])).orderBy("page_id").collect()]
     assert got == [None, 12, None, None]
+
+
+def test_unclosed_rows_take_linear_space():
+    """Rows that nest would each hold the rest of the page; the item pass reads the first of each label only."""
+    from folioscan.functions.attributes import ATTRIBUTES
+
+    for row in ("<tr><th>UCI</th><td>x", "<tr><th>UCI<td>x", "<tr><th>zzz</th><td>y", "<tr><th>zzz", "<tr><td>y"):
+        page = '<table class="tb_bbs">' + row * 20_000
+        rows = _fields(page, SEL, ("detail",), ATTRIBUTES)["detail"]
+        assert len(rows) == 20_000
+        assert sum(len(r["title"] or "") + len(r["value"] or "") for r in rows) < 10 * len(page)
+
+
+def test_labels_change_no_item():
+    """With labels given, what the item takes is the same."""
+    from folioscan.functions.attributes import ATTRIBUTES
+
+    rng = random.Random(9)
+    cells = ["<tr>", "<th>", "<td>", "</th>", "</td>", "</tr>", "UCI", "U CI", "ICN", "zzz", " ", "저작자", "<a>n</a>", "\t"]
+    for _ in range(3000):
+        html = '<table class="tb_bbs">' + "".join(rng.choice(cells) for _ in range(rng.randint(1, 40)))
+        full, known = (_fields(html, SEL, ("detail",), labels)["detail"] for labels in (None, ATTRIBUTES))
+        seen = set()
+        assert len(full) == len(known)
+        for a, b in zip(full, known):
+            name = ATTRIBUTES.get((a["title"] or "").replace(" ", ""))
+            assert (a["title"] is None, a["value"] is None) == (b["title"] is None, b["value"] is None), html
+            assert name == ATTRIBUTES.get((b["title"] or "").replace(" ", "")), html
+            if name and name not in seen and a["value"] is not None:
+                seen.add(name)
+                assert a == b, html

@@ -105,3 +105,45 @@ def test_dimension_bound_is_checked(spark, no_broadcast):
     assert "SortMergeJoin" not in plan(dimension_join(orders, customer, "k", ["o_orderkey"]))
     beyond = plan(dimension_join(orders, customer, "k", ["o_orderkey"], broadcast_rows=100))
     assert "SortMergeJoin [k" in beyond and "split" in beyond
+
+
+def test_wide_columns_are_picked_where_they_lie(spark, pages, no_broadcast):
+    """HTML and payloads do not shuffle for a small set of keys."""
+    from folioscan.operators.errors import retry_pass
+    from folioscan.operators.lookup import lookup_json
+    from folioscan.plans.ingest import with_payload
+    from folioscan.sources.pages import pages_of, resolve_frontier
+
+    urls = pages.select("url")
+    resolved = resolve_frontier(urls, pages)
+    lines = spark.createDataFrame([("12 : x",)], "value string")
+    archive = pages.select(F.col("url"), F.col("html").cast("binary").alias("payload"))
+    items = pages.select("page_id", "url").limit(5)
+    answers = lookup_json(pages.select("page_id").limit(5), pages, "page_id", ["url"])
+    for df, wide in (
+        (pages_of(resolved, pages), "html"),
+        (retry_pass(lines, pages, F.col("page_id").cast("string")), "html"),
+        (with_payload(items, archive, "url"), "payload"),
+    ):
+        assert not [line for line in plan(df).splitlines() if "Exchange hashpartitioning" in line and wide in line]
+        assert "BroadcastHashJoin" in plan(df)
+    assert "BroadcastHashJoin" in plan(answers)
+
+
+def test_text_is_no_shuffle_key(spark, no_broadcast):
+    from folioscan.plans import load
+    from folioscan.plans.registry import QUERIES
+
+    load()
+    shuffles = [line for line in plan(QUERIES["insert_if_absent"](spark, SMALL)).splitlines() if "Exchange hash" in line]
+    assert shuffles and not [line for line in shuffles if "text" in line]
+
+
+def test_a_wide_dimension_is_not_broadcast(spark, no_broadcast, monkeypatch):
+    import folioscan.operators.joins as joins
+
+    orders = spark.read.parquet(f"{SMALL}/orders.parquet").select("o_orderkey", F.col("o_custkey").alias("k"))
+    customer = spark.read.parquet(f"{SMALL}/customer.parquet").select(F.col("c_custkey").alias("k"), F.col("c_name").cast("binary").alias("b"))
+    assert "SortMergeJoin" not in plan(dimension_join(orders, customer, "k", ["o_orderkey"], payload="b"))
+    monkeypatch.setattr(joins, "BROADCAST_BYTES", 100)
+    assert "SortMergeJoin" in plan(dimension_join(orders, customer, "k", ["o_orderkey"], payload="b"))
