@@ -2,8 +2,8 @@ import random
 
 from pyspark.sql import functions as F
 
-from brute import shingles
-from tables import SMALL
+from .brute import shingles
+from .tables import SMALL
 from folioscan.llm import decontaminate
 
 

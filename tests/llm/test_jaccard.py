@@ -3,9 +3,9 @@ import random
 import numpy as np
 import pytest
 
-from brute import jaccard as similarity
-from brute import shingles
-from tables import SMALL
+from .brute import jaccard as similarity
+from .brute import shingles
+from .tables import SMALL
 from folioscan.llm import jaccard
 from folioscan.llm.components import components
 

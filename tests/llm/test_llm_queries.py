@@ -2,7 +2,7 @@
 
 import pytest
 from check import compare, duck
-from tables import SMALL
+from .tables import SMALL
 
 from folioscan.llm.queries import LLM_ORACLES, LLM_QUERIES
 

@@ -2,11 +2,11 @@
 
 
 import corpus_pipeline
-from tables import SMALL
+from .tables import SMALL
 from folioscan.llm import quality
-from test_decontaminate import brute as leaks
-from test_jaccard import brute as groups
-from test_mixing import brute as mix
+from .test_decontaminate import brute as leaks
+from .test_jaccard import brute as groups
+from .test_mixing import brute as mix
 
 
 def test_stages(spark):

@@ -4,7 +4,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from tables import SMALL
+from .tables import SMALL
 from folioscan.llm import quality
 from folioscan.llm.queries import op4_quality
 

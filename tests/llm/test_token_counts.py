@@ -4,7 +4,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from tables import SMALL
+from .tables import SMALL
 from folioscan.llm.token_counts import TokenCounter, count_tokens
 
 PATH = public_tokenizers.path("word_bpe_49k.json")

@@ -5,7 +5,7 @@ import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from brute import folded
+from .brute import folded
 from folioscan.llm.words import WordReader, distinct_per_row, plain_words, repeats_per_row, space_words
 
 texts = st.lists(st.one_of(st.none(), st.text(alphabet=" \t\nabAZ09é中!-\x1c\xa0", max_size=30)), max_size=12)
