@@ -53,8 +53,14 @@ def compare(spark, con, name, query, sql, sf_dir):
 
 
 def session(cores=8):
+    import atexit
+    import shutil
+    import tempfile
+
     from pyspark.sql import SparkSession
 
+    folder = tempfile.mkdtemp(prefix="folioscan-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
     spark = (
         SparkSession.builder.master(f"local[{cores}]")
         .config("spark.ui.enabled", "false")
@@ -62,6 +68,7 @@ def session(cores=8):
         .config("spark.driver.memory", "6g")
         .config("spark.sql.shuffle.partitions", str(cores))
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", folder)
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -54,8 +54,8 @@ def test_thumbnail_batch(spark, image_files):
     thumbnail_batch(images, 1, root)
     stored = read_table(spark, root, "thumbnails")
     assert sorted((r["_id"], r["batch_id"]) for r in stored.collect()) == [(n, 0) for n in ("flat", "line", "tiny", "wide")]
-    lines = read_table(spark, root, "thumbnail_errors").filter("batch_id = 0")
-    assert [tuple(r) for r in lines.select("_id", "line").collect()] == [("broken", "THUMBNAIL ERROR: broken.png")]
+    lines = read_table(spark, root, "errors").filter("batch_id = 0 and stage = 'thumbnail'")
+    assert [tuple(r) for r in lines.select("item_id", "line").collect()] == [("broken", "THUMBNAIL ERROR: broken.png")]
 
 
 def test_grey_and_alpha_images(spark):
