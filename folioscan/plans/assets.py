@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from folioscan.functions.payload import data_uri as as_data_uri, decode_base64, encode_base64, fit_box
 from folioscan.operators.assets import (
+    decode_images,
     payload_sizes as sizes_of,
     roundtrip_check,
     size_profile as profile,
@@ -15,10 +16,11 @@ from folioscan.operators.assets import (
     thumbnail_job as make_thumbnails,
 )
 from folioscan.plans.registry import query
-from folioscan.plans.rendering import document_images, table
+from folioscan.plans.ingest import thumbnail_stored
+from folioscan.plans.rendering import document_images, flat_images, table
 from folioscan.sources.assets import read_assets
 from folioscan.sources.pages import spread
-from folioscan.sources.tables import ENCODED_IMAGES, write_assets
+from folioscan.sources.tables import ENCODED_IMAGES, read_table, write_assets, write_batch
 from folioscan.sources.workspace import new_folder
 
 
@@ -141,3 +143,21 @@ FROM documents WHERE source = 'src7'
 """)
 def thumbnail_errors(spark, sf_dir):
     return failed_thumbnails(make_thumbnails(spread(document_images(spark, sf_dir), "_id")))
+
+
+@query(f"""
+WITH coloured AS (
+  SELECT p_partkey, p_partkey % 500 + 1 AS width, p_size * 9 + 1 AS height,
+         printf('%02X%02X%02X', p_partkey % 256, p_size, (p_partkey * 7) % 256) AS colour
+  FROM part WHERE p_partkey % 5 <> 0),
+sized AS (SELECT p_partkey, colour, CAST(width AS DOUBLE) AS w, CAST(height AS DOUBLE) AS h FROM coloured),
+{_FIT}
+SELECT CAST(p_partkey AS VARCHAR) AS _id, width, height, sha256(repeat(colour, width * height)) AS pixels FROM fitted
+""")
+def stored_thumbnails(spark, sf_dir):
+    """Flat PNG images go into the catalogue; thumbnails come out of its images table and are decoded again."""
+    root = new_folder(spark, "catalogue")
+    write_batch(flat_images(spark, sf_dir), root, "images", 0, "test")
+    thumbnail_stored(spark, 0, root)
+    made = decode_images(read_table(spark, root, "thumbnails"))
+    return made.select("_id", "image.width", "image.height", F.sha2(F.hex("image.data").cast("binary"), 256).alias("pixels"))

@@ -13,13 +13,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioscan.functions.attributes import ATTRIBUTES, UNKNOWN_LABEL
 from folioscan.functions.text import clean_license_text
 from folioscan.functions.urls import ORIGIN_DIR, absolute_url, asset_name, asset_path, basename, item_code
-from folioscan.operators.assets import thumbnail_errors, thumbnail_job, thumbnail_rows
+from folioscan.operators.assets import decode_images, thumbnail_errors, thumbnail_job, thumbnail_rows
 from folioscan.operators.detail import broken_at, repeated_attributes, unknown_titles, wide_columns, with_names
 from folioscan.operators.errors import (
     IMAGE_MESSAGE,
@@ -300,6 +300,11 @@ def thumbnail_batch(images: DataFrame, batch_id: int, root: str, run: str = THUM
     write_batch(failed, root, "errors", batch_id, run)
 
 
+def thumbnail_stored(spark: SparkSession, batch_id: int, root: str, run: str = THUMBNAIL_RUN) -> None:
+    """Add the thumbnails of the images that the catalogue stores."""
+    thumbnail_batch(decode_images(read_table(spark, root, "images")), batch_id, root, run)
+
+
 def reingest(
     lines: DataFrame,
     archive: DataFrame,

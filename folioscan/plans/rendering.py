@@ -7,6 +7,10 @@ tables and their results can be stated in SQL over the source columns.
 
 from __future__ import annotations
 
+import struct
+import zlib
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -278,3 +282,35 @@ def document_images(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     name = F.col("doc_id").cast("string")
     return high.select(name.alias("_id"), F.concat(name, F.lit(".png")).alias("filename"), image.alias("image"))
+
+
+def flat_images(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Image rows of parts: PNG files of one colour each; every fifth holds bytes that are no image.
+
+    Blue, green and red are key % 256, the size and key * 7 % 256.
+    """
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_size")
+
+    @F.pandas_udf("binary")
+    def png(keys: pd.Series, sizes: pd.Series) -> pd.Series:
+        def one(key: int, size: int) -> bytes:
+            if key % 5 == 0:
+                return b"no image"
+            return flat_png(key % 500 + 1, size * 9 + 1, (key * 7 % 256, size, key % 256))
+
+        return pd.Series([one(key, size) for key, size in zip(keys, sizes)])
+
+    name = F.col("p_partkey").cast("string")
+    payload = png("p_partkey", "p_size")
+    return part.select(name.alias("_id"), F.concat(name, F.lit(".png")).alias("filename"), payload.alias("hash_"))
+
+
+def flat_png(width: int, height: int, rgb: tuple[int, int, int]) -> bytes:
+    """A PNG of one colour; its rows use the plain and the upward filter."""
+
+    def chunk(kind: bytes, body: bytes) -> bytes:
+        return struct.pack(">I", len(body)) + kind + body + struct.pack(">I", zlib.crc32(kind + body))
+
+    rows = b"\0" + bytes(rgb) * width + (b"\2" + bytes(3 * width)) * (height - 1)
+    header = struct.pack(">IIBBBBB", width, height, 8, 2, 0, 0, 0)
+    return b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", header) + chunk(b"IDAT", zlib.compress(rows)) + chunk(b"IEND", b"")

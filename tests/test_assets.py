@@ -1,3 +1,4 @@
+import struct
 import zlib
 from collections import Counter
 from pathlib import Path
@@ -8,7 +9,7 @@ from conftest import SMALL
 from pyspark.sql import functions as F
 
 from folioscan.functions.payload import encode_base64
-from folioscan.operators.assets import _png, _shrink, roundtrip_check, size_profile, thumbnail_errors, thumbnail_job
+from folioscan.operators.assets import _decoded, _png, _shrink, roundtrip_check, size_profile, thumbnail_errors, thumbnail_job
 from folioscan.plans.ingest import thumbnail_batch
 from folioscan.sources.assets import read_assets, read_images
 from folioscan.sources.tables import read_table
@@ -118,3 +119,30 @@ def test_null_payload(spark):
     df = spark.createDataFrame([(1, None)], "id int, payload binary")
     assert df.select(encode_base64(F.col("payload"))).first()[0] is None
     assert roundtrip_check(df, "id", "payload", "zlib").first()["mismatches"] == 0
+
+
+def test_png_filters_and_broken_files():
+    rng = np.random.default_rng(4)
+    for colour, step in ((0, 1), (2, 3), (6, 4)):
+        pixels = rng.integers(0, 256, (7, 5, step), dtype=np.uint8)
+        flat, rows = pixels.reshape(7, -1).astype(int), b""
+        for y in range(7):
+            up = flat[y - 1] if y else np.zeros_like(flat[0])
+            left = np.concatenate((np.zeros(step, int), flat[y][:-step]))
+            corner = np.concatenate((np.zeros(step, int), up[:-step]))
+            guess = left + up - corner
+            order = np.stack([abs(guess - left), abs(guess - up), abs(guess - corner)])
+            paeth = np.choose(order.argmin(axis=0), [left, up, corner])
+            base = [0, left, up, (left + up) // 2, paeth][y % 5]
+            rows += bytes([y % 5]) + ((flat[y] - base) % 256).astype(np.uint8).tobytes()
+
+        def chunk(kind, body):
+            return struct.pack(">I", len(body)) + kind + body + struct.pack(">I", zlib.crc32(kind + body))
+
+        header = chunk(b"IHDR", struct.pack(">IIBBBBB", 5, 7, 8, colour, 0, 0, 0))
+        data = b"\x89PNG\r\n\x1a\n" + header + chunk(b"IDAT", zlib.compress(rows)) + chunk(b"IEND", b"")
+        image = _decoded(data)
+        got = np.frombuffer(image["data"], np.uint8).reshape(7, 5, step)
+        assert (got == (pixels if step == 1 else pixels[:, :, [2, 1, 0, *range(3, step)]])).all()
+        assert _decoded(data[:45]) is None
+    assert _decoded(None) is None and _decoded(b"") is None and _decoded(b"\x89PNG") is None
