@@ -34,7 +34,7 @@ from folioscan.operators.first_writer import insert_if_absent
 from folioscan.operators.joins import BROADCAST_ROWS, dimension_join, having_key, hot_key_join, keep_marked
 from folioscan.operators.page_parse import ITEM_PARTS, Selectors, parse_pages
 from folioscan.sources.pages import spread
-from folioscan.sources.tables import read_table, write_batch, write_together, written_by
+from folioscan.sources.tables import encoded_assets, read_table, write_batch, write_together, written_by
 from folioscan.sources.workspace import checkpointed, written
 
 # Runs of batch loads and of thumbnail passes, unless the caller names one.
@@ -48,6 +48,7 @@ class ItemOptions:
     base_url: str = ""
     origin_dir: str = ORIGIN_DIR
     selectors: Selectors = Selectors()
+    encoding: str = "raw"  # of stored payloads: raw, base64 or zlib; one for all batches of a catalogue
     code: Column | None = None  # item id of a page row; default: the id parameter of ``url``
 
     def item_id(self) -> Column:
@@ -262,7 +263,7 @@ def ingest_batch(
     # A licence is stored as soon as its block is read, also when the item itself fails later.
     icons = first_writers(flags.filter("stores_license"), stored("licenses"), "license", small).select("page_id")
     icon_rows = staged.select("page_id", "license", "license_name", "license_url").join(icons, "page_id", "left_semi")
-    licenses = with_payload(icon_rows, assets, "license_url")
+    licenses = encoded_assets(with_payload(icon_rows, assets, "license_url"), options.encoding)
     write_together({"outcomes": outcomes, "licenses": licenses}, root, batch_id, run)
 
     outcomes = read_table(spark, root, "outcomes").filter(written_by(run, batch_id))
@@ -276,7 +277,8 @@ def ingest_batch(
         conflicts = ids.filter("shown is null").select("page_id", "_id")
         heroes = staged.select("page_id", "hero_url")
         image_rows = ids.filter("shown").drop("shown").join(heroes, "page_id")
-        tables["images"] = with_payload(image_rows.withColumn("filename", asset_name(F.col("_id"))), assets, "hero_url")
+        named = image_rows.withColumn("filename", asset_name(F.col("_id")))
+        tables["images"] = encoded_assets(with_payload(named, assets, "hero_url"), options.encoding)
     tables["errors"] = error_rows(staged, flags, conflicts)
     if page_errors is not None:
         side = page_errors.select("page_id", F.lit(None).cast("string").alias("item_id"), F.lit("page").alias("stage"), "message", "line")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -175,6 +176,14 @@ def ingest_images(spark, sf_dir):
     return _images(spark, root)
 
 
+@query(_IMAGE_SQL)
+def ingest_encoded(spark, sf_dir):
+    """The same with payloads stored as base64 text."""
+    root, site = new_folder(spark, "catalogue"), replace(PART_SITE, encoding="base64")
+    ingest_batch(part_pages(spark, sf_dir), 0, root, site, part_assets(spark, sf_dir))
+    return read_table(spark, root, "images", "base64").select("_id", "filename", F.col("hash_").alias("hash"))
+
+
 @query(_IMAGE_SQL)
 def ingest_images_late(spark, sf_dir):
     """The first load has no archive; the images come with the second, though all items are stored."""

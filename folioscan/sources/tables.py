@@ -40,6 +40,9 @@ TABLES = {
     "outcomes": OUTCOMES,
 }
 
+# The same for tables whose payloads are stored as base64 text.
+ENCODED = {"images": ENCODED_IMAGES, "thumbnails": ENCODED_IMAGES, "licenses": ENCODED_LICENSES}
+
 # Who wrote a row: a run (a stream, or the batch loads) and its batch. Folders are named by both.
 RUN, BATCH = "run", "batch_id"
 _WRITER = [T.StructField(RUN, T.StringType()), T.StructField(BATCH, T.LongType())]
@@ -58,9 +61,13 @@ def write_assets(assets: DataFrame, path: str, encoding: str = "raw", mode: str
     encoded_assets(assets, encoding).write.mode(mode).parquet(path)
 
 
-def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """A catalogue table with the run and batch that wrote each row; empty when nothing is stored."""
-    schema = T.StructType([*TABLES[name].fields, *_WRITER])
+def read_table(spark: SparkSession, root: str, name: str, encoding: str = "raw") -> DataFrame:
+    """A catalogue table with the run and batch that wrote each row; empty when nothing is stored.
+
+    Name the ``encoding`` of a catalogue whose payloads are base64 text.
+    """
+    known = ENCODED if encoding == "base64" and name in ENCODED else TABLES
+    schema = T.StructType([*known[name].fields, *_WRITER])
     try:
         return spark.read.schema(schema).parquet(f"{root}/{name}")
     except AnalysisException as e:
