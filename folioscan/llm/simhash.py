@@ -143,6 +143,19 @@ def near_pairs(prints: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS) ->
     return pairs.filter(F.col("table") == first).select("high_1", "low_1", "high_2", "low_2", apart.alias("distance"))
 
 
+def _slot(bounds: list[int]) -> Column:
+    """How many of the sorted bounds are below the id, looked up in groups of them; 0 for a null id."""
+    if not bounds:
+        return F.lit(0)
+    width = max(int(len(bounds) ** 0.5), 1)
+    groups = [bounds[at : at + width] for at in range(0, len(bounds), width)]
+    below = lambda values: F.size(F.filter(values, lambda b: b < F.col("doc_id")))
+    longs = lambda values: F.array(*[F.lit(v).cast("bigint") for v in values])
+    group = below(longs([g[0] for g in groups])) - 1
+    inside = group * width + below(F.get(F.array(*[longs(g) for g in groups]), group))
+    return F.when(F.col("doc_id").isNull() | (group < 0), F.lit(0)).otherwise(inside)
+
+
 def with_next_text(documents: DataFrame, slots: int) -> DataFrame:
     """``(slot, place, doc_id, text, next_text)``: each document beside the next in id order.
 
@@ -154,11 +167,7 @@ def with_next_text(documents: DataFrame, slots: int) -> DataFrame:
     ids = documents.select("doc_id")
     bounds = ids.approxQuantile("doc_id", [i / slots for i in range(1, slots)], 0.25 / slots) if slots > 1 else []
     bounds = sorted({int(b) for b in bounds})
-    slot = F.lit(0)
-    if bounds:
-        after = F.filter(F.array(*[F.lit(b).cast("bigint") for b in bounds]), lambda b: b < F.col("doc_id"))
-        slot = F.coalesce(F.size(after), F.lit(0))
-        slot = F.when(F.col("doc_id").isNull(), F.lit(0)).otherwise(slot)
+    slot = _slot(bounds)
     firsts = ids.withColumn("slot", slot).groupBy("slot").agg(
         F.min("doc_id").alias("doc_id"), F.max(F.col("doc_id").isNull()).alias("has_null")
     ).collect()
