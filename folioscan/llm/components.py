@@ -13,7 +13,8 @@ def components(edges: DataFrame) -> DataFrame:
 
     Each round hangs the larger neighbours of a node, then all its neighbours, below the smallest one;
     a few rounds leave stars. Edges are checkpointed per round, and only their number and a checksum come
-    to the driver. A node's neighbours are never collected. Loops and repeated edges do no harm; a null
+    to the driver. A node's neighbours are never collected; minima are stored before they are joined, so
+    that each join is of two shuffles, which Spark splits at a node with very many neighbours. Loops and repeated edges do no harm; a null
     end drops the edge; no edges give no rows.
     """
     ordered = edges.filter(F.col("a") != F.col("b")).select(
@@ -24,9 +25,10 @@ def components(edges: DataFrame) -> DataFrame:
         before = mark
         both = current.unionByName(current.select(F.col("b").alias("a"), F.col("a").alias("b")))
         lowest = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+        lowest = checkpointed(lowest)
         large = both.filter(F.col("b") > F.col("a")).join(lowest, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         large = checkpointed(large.distinct())
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
+        least = checkpointed(large.groupBy("a").agg(F.min("b").alias("m")))
         hung = large.join(least, "a").filter(F.col("b") != F.col("m")).select(F.col("b").alias("a"), F.col("m").alias("b"))
         stars = least.select("a", F.col("m").alias("b"))
         current = checkpointed(stars.unionByName(hung).distinct())
