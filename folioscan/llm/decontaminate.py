@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from folioscan.llm.words import WordReader, distinct_per_row, plain_words
+from folioscan.llm.words import WordReader, distinct_per_row, plain_words, sliced
 
 SHINGLE_WORDS = 5
 CONTAINMENT = 0.8
@@ -151,7 +151,7 @@ def find_items(
 
         def search(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
             reader, index = WordReader(plain_words()), ItemIndex(held.value, containment)
-            for batch in batches:
+            for batch in sliced(batches):
                 at, item, shared = [], [], []
                 for low, _, words in reader.read(batch.column(1)):
                     for r, i, n in index.search(words):
@@ -192,7 +192,7 @@ def drop_contaminated(
 
         def clean(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
             reader, index = WordReader(plain_words()), ItemIndex(held.value, containment)
-            for batch in batches:
+            for batch in sliced(batches):
                 keep = np.ones(batch.num_rows, dtype=bool)
                 for low, _, words in reader.read(batch.column(at)):
                     for r, _, _ in index.search(words):

@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 
 from folioscan.llm.components import components
 from folioscan.llm.names import free_names
-from folioscan.llm.words import WordReader, distinct_per_row, mixed, per_row, plain_words
+from folioscan.llm.words import WordReader, distinct_per_row, mixed, per_row, plain_words, sliced
 from folioscan.operators.joins import hot_key_join
 from folioscan.sources.workspace import checkpointed, written
 
@@ -33,7 +33,7 @@ BANDS, BAND_VALUES = 24, 5
 STEP_VALUES, SIGNATURE_VALUES = 16, 64
 TOLERANCE = 1e-6
 # Classes and shingles of one block; a task holds two blocks.
-BLOCK_CLASSES, BLOCK_SHINGLES = 256, 2_000_000
+BLOCK_CLASSES, BLOCK_SHINGLES = 256, 400_000
 # Rows of ids that are broadcast at most.
 BROADCAST_IDS = 500_000
 
@@ -87,7 +87,7 @@ def sketches(documents: DataFrame, keys: list[str], text: str = "text") -> DataF
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader, factors = WordReader(plain_words()), multipliers(BANDS * BAND_VALUES, 11)
         top = np.uint64(2**64 - 1)
-        for batch in batches:
+        for batch in sliced(batches):
             sets, sizes, bands = [], [], []
             for low, high, words in reader.read(batch.column(len(keys))):
                 value, row = words.shingles(SHINGLE_WORDS)
@@ -120,7 +120,7 @@ def _shingle_sets(texts: DataFrame) -> DataFrame:
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = WordReader(plain_words())
-        for batch in batches:
+        for batch in sliced(batches):
             for low, high, words in reader.read(batch.column(3)):
                 value, row = words.shingles(SHINGLE_WORDS)
                 value, row, _ = distinct_per_row(value, row)

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from folioscan.llm.words import Words, WordReader, per_row, repeats_per_row, space_words
+from folioscan.llm.words import Words, WordReader, per_row, repeats_per_row, sliced, space_words
 
 # Share of the pooled diagonal in each class covariance, and a floor for its variances.
 SHRINKAGE = 0.1
@@ -109,7 +109,11 @@ class Discriminant:
 
 
 def document_statistics(documents: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
-    """The key columns and ``stats`` (array of double) of every document."""
+    """The key columns and ``stats`` (array of double) of every document.
+
+    A null text is an empty one, whose statistics are zeros. Repeated rows are rows of their own, null keys
+    stay null, other columns do not matter, and an empty table gives no rows. Nothing shuffles.
+    """
     rows = documents.select(*keys, text)
     schema = T.StructType(rows.schema.fields[:-1] + [T.StructField("stats", T.ArrayType(T.DoubleType()))])
 
@@ -126,7 +130,7 @@ def document_statistics(documents: DataFrame, keys: list[str], text: str = "text
 def _measured(batches: Iterator[pa.RecordBatch], at: int) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
     """Each batch with the statistics of its text column, which is column ``at``."""
     reader, classes = WordReader(space_words()), _classes()
-    for batch in batches:
+    for batch in sliced(batches):
         lengths = pa.compute.fill_null(pa.compute.binary_length(batch.column(at)), 0)
         offsets = np.concatenate(([0], np.cumsum(lengths.to_numpy(zero_copy_only=False)))).astype(np.int64)
         parts = [
@@ -222,7 +226,10 @@ def score_statistics(stats: DataFrame, model: Discriminant, keys: list[str]) ->
 
 
 def keep_good(documents: DataFrame, model: Discriminant, text: str = "text", least: float = KEEP) -> DataFrame:
-    """The documents, with all their columns, that score at least ``least``; nothing shuffles."""
+    """The documents, with all their columns, that score at least ``least``; nothing shuffles.
+
+    Null and empty texts are scored like others; repeated rows are kept or dropped together.
+    """
     at = documents.columns.index(text)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -19,6 +19,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from folioscan.llm.words import sliced
+
 # Characters of a text that are cut at a time, and units (what stands between blanks) that a task remembers.
 PIECE_CHARS = 200_000
 KNOWN_UNITS = 400_000
@@ -166,7 +168,7 @@ def count_tokens(
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = TokenCounter(tokenizer)
-        for batch in batches:
+        for batch in sliced(batches):
             texts = batch.column(len(keys))
             n_tokens = pa.array(counter.count(texts.to_pylist()), pa.int64())
             n_bytes = pc.fill_null(pc.binary_length(texts), 0).cast(pa.int64())

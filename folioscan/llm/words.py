@@ -14,7 +14,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 # Bytes of text that are handled at once; a longer text is handled alone.
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 18
+# Rows of a column whose bytes are copied at once.
+CHUNK_ROWS = 256
 _ODD = 0x9E3779B97F4A7C15
 _SPACE = [0x20, *range(0x09, 0x0E)]
 
@@ -87,10 +89,11 @@ class WordReader:
 
     def read(self, texts: pa.Array) -> Iterator[tuple[int, int, Words]]:
         """``(low, high, words)`` for consecutive row ranges of the column; null reads as empty."""
-        data, offsets = text_bytes(texts)
-        for low, high in ranges(offsets):
-            bounds = offsets[low : high + 1] - offsets[low]
-            yield low, high, self._words(data[offsets[low] : offsets[high]], bounds)
+        for first in range(0, len(texts), CHUNK_ROWS):
+            data, offsets = text_bytes(texts.slice(first, CHUNK_ROWS))
+            for low, high in ranges(offsets):
+                bounds = offsets[low : high + 1] - offsets[low]
+                yield first + low, first + high, self._words(data[offsets[low] : offsets[high]], bounds)
 
     def _words(self, data: np.ndarray, bounds: np.ndarray) -> Words:
         size = len(data)
@@ -112,6 +115,13 @@ class WordReader:
         return Words(data, start, end, row, first, value)
 
 
+def sliced(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """The same rows in smaller batches: what a task builds from a batch of texts stays small."""
+    for batch in batches:
+        for low in range(0, batch.num_rows, rows):
+            yield batch.slice(low, rows)
+
+
 def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The column's UTF-8 bytes and the offsets of its rows; null reads as empty."""
     texts = pc.fill_null(texts.cast(pa.large_string()), "")
