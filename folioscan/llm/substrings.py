@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from folioscan.llm.words import Words, WordReader, mixed, space_words
+from folioscan.llm.words import Words, WordReader, mixed, sliced, space_words
 from folioscan.operators.joins import hot_key_join
 from folioscan.sources.workspace import checkpointed, written
 
@@ -34,9 +34,9 @@ WINDOW_WORDS = 35
 # Words of the runs among which a window's anchor is chosen.
 ANCHOR_WORDS = 8
 # Contexts of one anchor that form a shard; beyond it every window goes to a shard of its own words.
-SHARD_CONTEXTS = 2000
+SHARD_CONTEXTS = 1000
 # Words of one automaton: small shards share one.
-SHARD_WORDS = 200_000
+SHARD_WORDS = 50_000
 
 
 def run_hashes(words: Words, size: int) -> np.ndarray:
@@ -98,7 +98,7 @@ def mark_anchors(documents: DataFrame, keys: list[str], size: int, text: str = "
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = WordReader(space_words())
-        for batch in batches:
+        for batch in sliced(batches):
             for low, high, words in reader.read(batch.column(len(keys))):
                 part = batch.slice(low, high - low)
                 shas = [_sha(text) for text in part.column(len(keys)).cast(pa.binary()).to_pylist()]
@@ -200,9 +200,9 @@ def _edge_contexts(touched: DataFrame, size: int) -> DataFrame:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["key", "context", "text_id", "start", "words"]
         kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
-        for batch in batches:
+        for part in sliced(batches, 32):
             out = []
-            for row in batch.to_pylist():
+            for row in part.to_pylist():
                 edges = [place for place in row["places"] if place["edge"]]
                 words = row["text"].encode().split() if edges else []
                 for place in edges:
@@ -215,9 +215,6 @@ def _edge_contexts(touched: DataFrame, size: int) -> DataFrame:
                     else:
                         run = b" ".join(words[start : start + count + size - 1])
                         out.append((place["key"], place["context"], row["text_id"], start, run))
-                if len(out) > 5000:
-                    yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=names)
-                    out = []
             if out:
                 yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=names)
 
@@ -269,7 +266,7 @@ def _kept_words(touched: DataFrame, size: int) -> DataFrame:
     """``(text_id, n_removed, kept_sha)`` from ``(text_id, text, spans)``; spans are window starts and counts."""
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches, 32):
             removed, shas = [], []
             for text, spans in zip(batch.column(1).cast(pa.binary()).to_pylist(), batch.column(2).to_pylist()):
                 words = (text or b"").split()
@@ -319,10 +316,14 @@ def remove_repeats(
         (differs("text_id") | differs("start")).alias("many"),
         (F.count("*") > shard_contexts).alias("wide"),
     )
-    shards = shards.filter("many").select("key", "edge", (F.col("edge") & F.col("wide")).alias("wide"))
+    # Stored, so that the joins below are of two shuffles, which Spark can split at a hot anchor.
+    shards = checkpointed(shards.filter("many").select("key", "edge", (F.col("edge") & F.col("wide")).alias("wide")))
     near = written(places.join(shards, "key"), "suspects")
-    contexts = near.groupBy("key", "context").agg((differs("text_id") | differs("start")).alias("whole"))
+    whole = (differs("text_id") | differs("start")).alias("whole")
+    contexts = checkpointed(near.groupBy("key", "context").agg(whole, F.min("text_id").alias("first_id")))
     hits = near.join(contexts, ["key", "context"]).filter("whole or edge")
+    # Of a context that is repeated as a whole, one text is enough for its shard.
+    hits = hits.withColumn("edge", F.col("edge") & (~F.col("whole") | (F.col("text_id") == F.col("first_id"))))
     by_text = hits.groupBy("text_id").agg(
         F.collect_set(F.struct("start", "count", "key", "context", "whole", "edge", "wide")).alias("places")
     )
