@@ -155,14 +155,16 @@ def _intersections(sets: list[np.ndarray]) -> np.ndarray:
     return total
 
 
-def linked_pairs(sets: list[np.ndarray], side: np.ndarray, threshold: float, bounds: list[int]) -> np.ndarray:
-    """A symmetric matrix of the pairs that reach the threshold. Pairs of one side are left out, if there are two."""
+def linked_pairs(sets: list[np.ndarray], side: np.ndarray | None, threshold: float, bounds: list[int]) -> np.ndarray:
+    """A symmetric matrix of the pairs that reach the threshold; with ``side``, only pairs of different sides."""
     size = np.array([len(s) for s in sets])
     ends = np.concatenate(([0], np.cumsum(size)))
     values = np.concatenate(sets)
     alive = ~np.eye(len(sets), dtype=bool)
-    if side.any() and not side.all():
+    if side is not None:
         alive &= side[:, None] != side[None, :]
+    if not alive.any():
+        return alive
     matches = np.zeros(alive.shape, dtype=np.int16)
     for i, factor in enumerate(multipliers(SIGNATURE_VALUES, 13)):
         least = np.minimum.reduceat(values * factor, ends[:-1])
@@ -185,7 +187,9 @@ def _verified(groups: DataFrame, threshold: float, tolerance: float) -> DataFram
     def verify(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.drop_duplicates("class").sort_values("class")
         sets = [np.frombuffer(s, np.uint64) for s in rows["shingles"]]
-        side = (rows["block"] != rows["low"]).to_numpy()
+        # Two blocks by the task's key: either may be empty, and pairs inside one belong to its own task.
+        low, high = rows["low"].iloc[0], rows["high"].iloc[0]
+        side = (rows["block"] != low).to_numpy() if low != high else None
         link = linked_pairs(sets, side, threshold, bounds)
         root = np.arange(len(sets))
         while True:

@@ -64,6 +64,13 @@ def test_near_copies_equal_brute_force(spark, monkeypatch):
     assert joined(table) == want
 
 
+def test_empty_blocks_count_no_link_twice(spark, monkeypatch):
+    rows = near_copies(7, 10, 3, 120)
+    monkeypatch.setattr(jaccard, "BLOCK_SHINGLES", 40)
+    got = joined(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert got == brute(rows) and max(r[3] for r in got) == 2
+
+
 def test_awkward_rows(awkward, nothing):
     rows = [(r.doc_id, r.text) for r in awkward.collect()]
     assert joined(awkward) == brute(rows)
