@@ -3,6 +3,8 @@
 A page becomes a small tree. Every node gets its characters per tag, adjusted for links; a node's density
 sum adds up those of its children. The subtree of the largest sum holds the article. The smallest density
 on the path from the body to that subtree is the threshold for taking in the sections around it.
+Elements marked as boilerplate by class, id or role, and forms, are left out before, unless they hold the
+article: an ``article`` or ``main``, or most of the text without links.
 """
 
 from __future__ import annotations
@@ -38,7 +40,7 @@ SIBLINGS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "option": {"op
 SCOPES = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table"}, "th": {"table"}}
 NEVER = set(
     "head script style noscript template title iframe object embed applet canvas svg math audio video map "
-    "nav footer aside form button select textarea input datalist menu dialog noembed noframes".split()
+    "nav footer aside button select textarea input datalist menu dialog noembed noframes".split()
 )
 # Words in class, id or role that mark what is not the article.
 MARKS = set(
@@ -50,6 +52,12 @@ MARKS = set(
 )
 TOP_MARKS = {"header", "masthead", "topbar"}
 _KEEP_WHOLE = {"html", "body", "article", "main"}
+# Words that make a class name say how the element is laid out, not what it is.
+STATES = {"with", "without", "has", "have", "no", "is", "enabled", "disabled"}
+# A marked element stays with more than this share of the text around it: one whose names are not all
+# marks, as layout wrappers and page-wide forms have them, and one whose names are.
+MOST, NEARLY_ALL = 0.5, 0.95
+_LAYOUT, _MARKED, _HIDDEN = 1, 2, 3
 
 
 class Page:
@@ -57,33 +65,101 @@ class Page:
 
     def __init__(self, text: str):
         self.tag, self.parent, self.skip = ["#root"], [-1], [False]
+        # How an element is marked, and whether one around it (or itself) is left out in any case.
+        self.mark, self.never = [0], [False]
         self.pieces: list[tuple[int, str | None]] = []
         self._read(text)
+        self._settle()
 
     def _open(self, stack: list[int], tag: str, attributes: str) -> int:
         node, parent = len(self.tag), stack[-1]
         self.tag.append(tag)
         self.parent.append(parent)
-        self.skip.append(self.skip[parent] or tag in NEVER or self._is_marked(stack, tag, attributes))
+        mark = _HIDDEN if tag in NEVER else self._mark(stack, tag, attributes)
+        self.mark.append(mark)
+        self.never.append(self.never[parent] or mark == _HIDDEN)
         return node
 
-    def _is_marked(self, stack: list[int], tag: str, attributes: str) -> bool:
+    def _mark(self, stack: list[int], tag: str, attributes: str) -> int:
         inside = any(self.tag[n] in ("article", "main") for n in stack)
         if tag == "header" and not inside:
-            return True
+            return _MARKED
+        least = _LAYOUT if tag == "form" else 0
         if not attributes or tag in _KEEP_WHOLE:
-            return False
+            return least
+        marked = other = False
         for name, value in _ATTRIBUTE.findall(attributes):
             name, value = name.lower(), value.strip("\"'").lower()
             if name == "hidden" or (name == "aria-hidden" and value == "true"):
-                return True
+                return _HIDDEN
             if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
-                return True
+                return _HIDDEN
             if name in ("class", "id", "role"):
-                words = set(_TOKEN.findall(value))
-                if words & MARKS or (not inside and words & TOP_MARKS):
-                    return True
-        return False
+                for part in value.split():
+                    words = set(_TOKEN.findall(part))
+                    if words & MARKS or (not inside and words & TOP_MARKS):
+                        marked, other = True, other or bool(words & STATES)
+                    else:
+                        other = True
+        return (_LAYOUT if other or least else _MARKED) if marked else least
+
+    def _settle(self) -> None:
+        """Decide which marked elements are left out, by the text without links that they hold.
+
+        Where an ``article`` or ``main`` stands free, marked elements outside it go, and those inside are
+        measured against it. Else the largest one frees what it stands in, unless it is an article with
+        less text than stands free. Other marked elements are measured against the page.
+        """
+        n = len(self.tag)
+        self.skip = list(self.never)
+        if not any(0 < mark < _HIDDEN for mark in self.mark):
+            return
+        linked, free, inner = [False] * n, [True] * n, [-1] * n
+        for i in range(1, n):
+            up = self.parent[i]
+            linked[i] = linked[up] or self.tag[i] == "a"
+            free[i] = free[up] and not self.mark[i]
+            inner[i] = i if inner[up] < 0 and self.tag[i] in ("article", "main") else inner[up]
+        whole, bare = [0] * n, 0
+        for node, piece in self.pieces:
+            if piece and not self.never[node] and not linked[node]:
+                size = len(" ".join(piece.split()))
+                whole[node] += size
+                bare += size if free[node] else 0
+        # ``part`` leaves out elements with nothing but marks for names.
+        part = list(whole)
+        for i in range(n - 1, 0, -1):
+            whole[self.parent[i]] += whole[i]
+            part[self.parent[i]] += 0 if self.mark[i] == _MARKED else part[i]
+        holders = [i for i in range(1, n) if inner[i] == i and whole[i]]
+        found = any(free[i] and part[i] for i in holders)
+        freed = set()
+        if holders and not found:
+            node = max(holders, key=lambda i: (part[i], self.tag[i] == "main", -i))
+            if self.tag[node] == "main" or part[node] > bare:
+                found = True
+                while node > 0:
+                    freed.add(node)
+                    node = self.parent[node]
+        scope = [0] * n
+        for i in range(1, n):
+            up = self.parent[i]
+            scope[i] = i if inner[i] == i and not self.skip[up] else scope[up]
+            if self.skip[up] or self.skip[i] or not self.mark[i]:
+                self.skip[i] = self.skip[up] or self.skip[i]
+                continue
+            around = scope[up]
+            if i in freed:
+                kept = True
+            elif found and inner[i] < 0:
+                kept = False
+            elif self.mark[i] == _LAYOUT:
+                kept = part[i] > MOST * part[around]
+            else:
+                kept = whole[i] > NEARLY_ALL * whole[around]
+            self.skip[i] = not kept
+            if kept and self.mark[i] == _MARKED:
+                scope[i] = i
 
     def _read(self, text: str) -> None:
         stack, at = [0], 0

@@ -41,6 +41,30 @@ def test_layouts(page):
     assert page_text(page) == TEXT
 
 
+SIDE = f"<div class='sidebar'><p>{'news ' * 15}</p></div>"
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        f"<body><div class='content with-sidebar'>{PARAGRAPHS}{SIDE}</div><div><a href=c>More</a></div>",
+        f"<body><div class='page has-menu'><nav>{'Menu ' * 50}</nav><div class='post share-enabled'>{PARAGRAPHS}</div></div>",
+        f"<body><div id=has-menu>{PARAGRAPHS}</div><div class=comments>{'I say ' * 90}</div>",
+        f"<article><div class='post share-enabled'>{PARAGRAPHS}</div><div class=share>Share this</div></article>",
+        f"<body><form action=/><div class='search'>Search</div><div>{PARAGRAPHS}</div></form></body>",
+        f"<body><form action=/><div class='layout sidebar-right'><article>{PARAGRAPHS}</article>{SIDE}</div></form>",
+        f"<body><div class='sidebar-layout'><main>{PARAGRAPHS}</main><aside>{'a ' * 90}</aside></div>",
+        f"<body><div class='related'><article>Other</article></div><div class='nav-layout'><article>{PARAGRAPHS}</article></div>",
+        f"<body><article>{PARAGRAPHS}</article><div class='page comments'>{'I say ' * 90}</div>",
+        f"<body><div>{PARAGRAPHS}</div><div id=comments><article class=comment>I say so</article></div>",
+        f"<body><div class='page has-menu' hidden>{'h ' * 90}</div><div>{PARAGRAPHS}</div>",
+        f"<body><div class='sidebar-layout'>{PARAGRAPHS}</div></body>",
+    ],
+)
+def test_marked_wrappers(page):
+    assert page_text(page) == TEXT
+
+
 @pytest.mark.parametrize(
     ("page", "text"),
     [
@@ -71,3 +95,8 @@ def test_awkward_rows(spark):
     got = extract_text(pages, ["page_id", "url"]).collect()
     assert sorted((r.text, r.n_chars) for r in got) == [("", 0), ("", 0), ("x", 1)]
     assert extract_text(pages.limit(0), ["page_id", "url"]).count() == 0
+
+
+def test_nested_wrappers_take_linear_time():
+    page = "<form class='page has-menu'>" * 2_000 + "x" + "<div class=sidebar>y</div>" * 2_000
+    assert page_text(page).startswith("x")
