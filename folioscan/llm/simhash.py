@@ -3,6 +3,13 @@
 Every term of a text (a run of five words) has a 128-bit hash and votes on each bit, once for every time
 it occurs. The votes are plain sums. Near fingerprints agree on enough blocks of bits that a table keyed
 by each choice of blocks brings them together.
+
+The radius of 3 bits is a search for nearly equal fingerprints, not for near-duplicates at a Jaccard
+similarity of 0.8 (``folioscan.llm.jaccard`` is that search). On 4,781 pairs of a text and its edited copy
+(words replaced at random in 978 documents, median 244 words) with an exact similarity of five-word
+shingles of at least 0.8 and below 1, the radius holds 2.7 %: 21.6 % of those from 0.98, 6.9 % from 0.95,
+1.2 % from 0.9, 1.7 % from 0.85 and 0.1 % from 0.8 to 0.85. Radius 20 would hold 92 % and 28 would hold 99.8 %, but
+block tables for them have keys of few bits (22 blocks, two equal: 12 bits) and compare nearly all pairs.
 """
 
 from __future__ import annotations
@@ -17,7 +24,7 @@ from folioscan.operators.joins import hot_key_join
 
 TERM_WORDS = 5
 BITS = 128
-# Near fingerprints differ in this many bits at most; the tables choose among this many blocks.
+# Near fingerprints differ in this many bits at most (the recall is above); the tables choose among this many blocks.
 RADIUS, BLOCKS = 3, 5
 _HALF = 64
 # Two votes share one sum: 32 bits each, more than a text can have terms.
@@ -198,7 +205,7 @@ def digest(prints: DataFrame) -> DataFrame:
 
     ``prints`` is a stored table with ``slot, place, doc_id, n_chars, edited_sha256, high, low,
     edited_high, edited_low``. ``near_next`` compares with the next row's fingerprint; ``class_id`` is
-    the smallest id with the same fingerprint, ``n_near`` the number of other fingerprints in the radius.
+    the smallest id with the same fingerprint, ``n_near`` the number of other fingerprints in the radius (3 bits: few edited copies, see the module).
     """
     inside = Window.partitionBy("slot").orderBy("place")
     by_slot = prints.groupBy("slot").agg(F.min(F.struct("place", "high", "low")).alias("head"))

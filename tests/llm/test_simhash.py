@@ -66,3 +66,16 @@ def test_near_pairs_equal_all_pairs(spark):
     assert simhash.near_pairs(table.limit(0)).count() == 0
 
 
+def test_radius_holds_few_edited_copies():
+    """The recall that README and module state, with this operator's own hashes."""
+    random.seed(5)
+    word = lambda: "".join(random.choice("abcdefghij") for _ in range(4))
+    apart = []
+    for _ in range(60):
+        text = [word() for _ in range(244)]
+        edited = list(text)
+        for _ in range(3):
+            edited[random.randrange(244)] = word()
+        prints = [int(brute(" ".join(t)), 16) for t in (text, edited)]
+        apart.append((prints[0] ^ prints[1]).bit_count())
+    assert sum(d <= simhash.RADIUS for d in apart) < 0.1 * 60 < 0.8 * 60 < sum(d <= 20 for d in apart)
