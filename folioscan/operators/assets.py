@@ -16,6 +16,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from folioscan.functions.payload import THUMBNAIL_BOX, compress, decode, decompress, encode, encode_base64, fit_box
 from folioscan.operators.errors import thumbnail_error_line
 from folioscan.operators.first_writer import insert_if_absent
+from folioscan.operators.joins import BROADCAST_ROWS
 from folioscan.sources.workspace import new_folder
 
 
@@ -83,7 +84,10 @@ def _unfiltered(rows: np.ndarray, width: int, step: int) -> np.ndarray:
 
 
 def _decoded(data: bytes | None) -> dict | None:
-    """A PNG with 8 bits a channel (grey, RGB or RGBA, not interlaced) as Spark's image; else null."""
+    """A PNG with 8 bits a channel (grey, RGB or RGBA, not interlaced) as Spark's image; else null.
+
+    Only tests read with it, beside Spark's own image source.
+    """
     if not data or data[:8] != b"\x89PNG\r\n\x1a\n" or data[12:16] != b"IHDR" or len(data) < 33:
         return None
     width, height, depth, colour, *_, interlaced = struct.unpack(">IIBBBBB", data[16:29])
@@ -109,23 +113,41 @@ def _decoded(data: bytes | None) -> dict | None:
 _IMAGE = "struct<origin:string,height:int,width:int,nChannels:int,mode:int,data:binary>"
 
 
-def decode_images(images: DataFrame, payload: str = "hash_") -> DataFrame:
-    """``(_id, filename, image)`` of stored PNG bytes, as ``thumbnail_job`` takes them.
+# PNG of 16-bit grey, with and without alpha, in the header's depth and colour: Spark keeps its low bytes.
+_WIDE_GREY = ("1000", "1004")
+# Files a task writes, and files a task reads: their pixels lie in memory together.
+_FILES_WRITTEN, _FILES_READ = 500, 32
 
-    Spark decodes images from files only, and these bytes lie in a table. Bytes that cannot be read keep
-    their row with a null image. No shuffle.
-    """
-    schema = f"_id string, filename string, image {_IMAGE}"
-    arrow_schema = to_arrow_schema(T.StructType.fromDDL(schema))
 
-    def decode_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for low in range(0, batch.num_rows, 16):
-                part = batch.slice(low, 16)
-                image = pa.array([_decoded(data) for data in part.column(2).to_pylist()], arrow_schema.field(2).type)
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), image], schema=arrow_schema)
+def decode_images(images: DataFrame, payload: str = "hash_") -> DataFrame:
+    """``(_id, filename, image)`` of stored image bytes, as ``thumbnail_job`` takes them.
 
-    return images.select("_id", "filename", payload).mapInArrow(decode_batch, schema)
+    Spark decodes images from files only, so each different payload is written to the shared folder, by
+    the executors and under its digest, and read by the image source: PNG, JPEG, GIF, BMP and what else
+    Java reads. Bytes that cannot be read keep their row with a null image. Payloads shuffle once, pixels
+    only where there are more than ``BROADCAST_ROWS`` rows.
+    """
+    spark = images.sparkSession
+    data = F.col(payload)
+    wide_grey = F.startswith(data, F.lit(b"\x89PNG")) & F.hex(F.substring(data, 25, 2)).isin(*_WIDE_GREY)
+    keyed = images.select("_id", "filename", F.sha2(data, 256).alias("digest"), data.alias("payload"), wide_grey.alias("wide"))
+    files = keyed.filter("payload is not null and not wide").groupBy("digest").agg(F.first("payload").alias("payload"))
+    path = new_folder(spark, "decoded")
+    # The text source writes bytes as they are; the line end after them is no part of the image.
+    lines = files.select("digest", F.col("payload").cast("string").alias("value"))
+    ids = keyed.select("_id", "filename", "digest")
+    n = ids.count()
+    # Time goes by files, not by bytes: tasks for writing and reading are counted by files.
+    least = 4 * spark.sparkContext.defaultParallelism
+    lines.repartition(max(least, n // _FILES_WRITTEN), "digest").write.partitionBy("digest").option("compression", "none").text(path)
+    found = spark.read.format("image").option("dropInvalid", True).option("recursiveFileLookup", True)
+    found = found.option("ignoreCorruptFiles", True).load(path).coalesce(max(least, n // _FILES_READ))
+    found = found.select(F.regexp_extract("image.origin", "/digest=([0-9a-f]+)/", 1).alias("digest"), "image")
+    if n > BROADCAST_ROWS:
+        return ids.join(found, "digest", "left").select("_id", "filename", "image")
+    read = found.join(F.broadcast(ids), "digest").select("_id", "filename", "image")
+    unread = ids.join(found.select("digest"), "digest", "left_anti")
+    return read.unionByName(unread.select("_id", "filename", F.lit(None).cast(_IMAGE).alias("image")))
 
 
 def _thumbnail(data: bytes, height: int, width: int, mode: int, to_height: int, to_width: int) -> bytes:

@@ -146,3 +146,42 @@ def test_png_filters_and_broken_files():
         assert (got == (pixels if step == 1 else pixels[:, :, [2, 1, 0, *range(3, step)]])).all()
         assert _decoded(data[:45]) is None
     assert _decoded(None) is None and _decoded(b"") is None and _decoded(b"\x89PNG") is None
+
+
+def _png_of(header, rows, *chunks):
+    def chunk(kind, body):
+        return struct.pack(">I", len(body)) + kind + body + struct.pack(">I", zlib.crc32(kind + body))
+
+    body = [chunk(b"IHDR", struct.pack(">IIBBBBB", *header)), *[chunk(*c) for c in chunks]]
+    return b"\x89PNG\r\n\x1a\n" + b"".join(body) + chunk(b"IDAT", zlib.compress(rows)) + chunk(b"IEND", b"")
+
+
+@pytest.mark.parametrize("bound", [200_000, 0])
+def test_stored_images_of_any_kind(spark, monkeypatch, bound):
+    """Palette, 16 bits, grey and alpha, interlaced, GIF: what Spark's image source reads becomes pixels."""
+    from folioscan.operators import assets
+
+    monkeypatch.setattr(assets, "BROADCAST_ROWS", bound, raising=False)
+    gif = bytes.fromhex("47494638396101000100800000c80032ffffff2c00000000010001000002024401003b")
+    rgb = _png_of((1, 1, 8, 2, 0, 0, 0), b"\0\xc8\0\x32")
+    stored = {
+        "palette": _png_of((1, 1, 8, 3, 0, 0, 0), b"\0\0", (b"PLTE", b"\xc8\0\x32")),
+        "deep": _png_of((1, 1, 16, 2, 0, 0, 0), b"\0\xc8\xc8\0\0\x32\x32"),
+        "interlaced": _png_of((1, 1, 8, 2, 0, 0, 1), b"\0\xc8\0\x32"),
+        "gif": gif,
+        "rgb": rgb,
+        "grey alpha": _png_of((1, 1, 8, 4, 0, 0, 0), b"\0\x64\xff"),
+        "grey 16": _png_of((1, 1, 16, 0, 0, 0, 0), b"\0\x64\x01"),
+        "cut": rgb[:45],
+        "text": b"no image",
+        "empty": b"",
+        "null": None,
+    }
+    rows = [*stored.items(), ("rgb", rgb), (None, rgb)]
+    table = spark.createDataFrame([(k, f"{k}.x", v) for k, v in rows], "_id string, filename string, hash_ binary")
+    made = thumbnail_job(assets.decode_images(table)).collect()
+    assert Counter(r["_id"] for r in made) == Counter(k for k, _ in rows)
+    got = {r["_id"]: r["hash_"] and bytes(r["hash_"]) for r in made}
+    red, grey = (_png(np.array([[c]], np.uint8)) for c in ((200, 0, 50), (100, 100, 100)))
+    want = dict.fromkeys(["palette", "deep", "interlaced", "gif", "rgb", None], red) | {"grey alpha": grey}
+    assert got == dict.fromkeys(stored) | want
