@@ -7,7 +7,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from folioscan.llm import decontaminate, jaccard, mixing, page_text, quality, secrets, simhash, substrings, token_counts
+from folioscan.llm import (
+    decontaminate,
+    divergence,
+    jaccard,
+    mixing,
+    packing,
+    page_text,
+    quality,
+    ranked_search,
+    secrets,
+    simhash,
+    substrings,
+    token_counts,
+)
 from folioscan.sources.workspace import written
 
 
@@ -192,6 +205,76 @@ def op10_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return page_text.extract_text(_table(spark, sf_dir, "pages"), ["page_id", "url"])
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+OP11_SQL = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents),
+stats AS (SELECT count(*)::BIGINT AS n_docs, sum(len(terms))::BIGINT AS total FROM docs WHERE len(terms) > 0),
+items AS (
+  SELECT q, item_id, unnest(list_distinct(terms)) AS term FROM (
+    SELECT row_number() OVER () AS q, item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+      'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM benchmark)),
+hits AS (
+  SELECT r, doc_id, n, term, count(*)::BIGINT AS tf
+  FROM (SELECT r, doc_id, len(terms)::BIGINT AS n, unnest(terms) AS term FROM docs) SEMI JOIN items USING (term) GROUP BY ALL),
+weights AS (
+  SELECT term, floor(1000 * ln((2 * n_docs + 2) / (2 * df + 1)))::BIGINT AS w
+  FROM (SELECT term, count(*)::BIGINT AS df FROM hits GROUP BY term), stats),
+impacts AS (
+  SELECT r, doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * n_docs) // total))) AS impact
+  FROM hits JOIN weights USING (term), stats),
+scores AS (
+  SELECT q, item_id, r, doc_id, sum(impact)::BIGINT AS score FROM impacts JOIN items USING (term) GROUP BY ALL HAVING sum(impact) > 0)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM scores) WHERE rank <= 10
+"""
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.differences(_table(spark, sf_dir, "documents"))
+
+
+OP12_SQL = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents),
+words AS (SELECT r, lang, source, unnest(terms) AS term FROM docs),
+kept AS (SELECT lang, term FROM words GROUP BY lang, term HAVING count(DISTINCT r) >= 30),
+groups AS (SELECT DISTINCT lang, source FROM docs),
+counts AS (SELECT lang, source, term, count(*) AS c FROM words SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+dense AS (
+  SELECT lang, source, term, coalesce(c, 0) AS c
+  FROM groups JOIN kept USING (lang) LEFT JOIN counts USING (lang, source, term)),
+of_group AS (
+  SELECT *, (1 + (1000000000::HUGEINT * (c + 5)) // (sum(c) OVER g + 5 * count(*) OVER g))::BIGINT AS p
+  FROM dense WINDOW g AS (PARTITION BY lang, source)),
+of_lang AS (
+  SELECT lang, term, (1 + (1000000000::HUGEINT * (c + 5)) // (sum(c) OVER l + 5 * count(*) OVER l))::BIGINT AS q
+  FROM (SELECT lang, term, sum(c) AS c FROM dense GROUP BY ALL) WINDOW l AS (PARTITION BY lang)),
+found AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(d.value, 0)::BIGINT AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN (
+    SELECT x.lang, x.source AS one, y.source AS two, sum(abs(x.p - y.p)) AS value
+    FROM of_group x JOIN of_group y ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source GROUP BY ALL) d
+  ON d.lang = a.lang AND d.one = a.source AND d.two = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, p - q FROM of_group JOIN of_lang USING (lang, term) WHERE c > 0 AND p > q)
+SELECT lang, source, part, item, value, rank::INTEGER AS rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM found)
+WHERE part = 'pair' OR rank <= 50
+"""
+
+
+def op13_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 LLM_QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op2_simhash": op2_simhash,
@@ -203,8 +286,17 @@ LLM_QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_page_text": op10_page_text,
+    "op11_ranked_search": op11_ranked_search,
+    "op12_source_divergence": op12_source_divergence,
+    "op13_best_fit_packing": op13_best_fit_packing,
     "pipeline": corpus_pipeline.run,
 }
-LLM_ORACLES = {"op1_secret_scan": OP1_SQL, "op5_mixing": OP5_SQL, "op6_substring_dedup": OP6_SQL}
+LLM_ORACLES = {
+    "op1_secret_scan": OP1_SQL,
+    "op5_mixing": OP5_SQL,
+    "op6_substring_dedup": OP6_SQL,
+    "op11_ranked_search": OP11_SQL,
+    "op12_source_divergence": OP12_SQL,
+}
 if corpus_pipeline.ORACLE_SQL:
     LLM_ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL

@@ -17,5 +17,5 @@ def test_one_query_for_each_operator():
 
     names = set(queries())
     assert "pipeline" in names
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert len([name for name in names if name.startswith(f"op{n}_")]) == 1
