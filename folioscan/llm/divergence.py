@@ -29,7 +29,7 @@ WHOLE, ADDED = 1_000_000_000, 5
 # Term ids of one range, sources of one block, pairs of sources that a task walks at once.
 RANGE_TERMS, BLOCK_SOURCES, PAIRS_AT_ONCE = 2048, 64, 256
 # Distinct (group, term) entries that a task of the first pass holds, and rows of a batch it gives.
-ENTRIES_HELD, ROWS_GIVEN = 1_500_000, 100_000
+ENTRIES_HELD, ROWS_GIVEN = 400_000, 50_000
 _ABSENT = -1
 
 
