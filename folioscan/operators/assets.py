@@ -16,8 +16,9 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from folioscan.functions.payload import THUMBNAIL_BOX, compress, decode, decompress, encode, encode_base64, fit_box
 from folioscan.operators.errors import thumbnail_error_line
 from folioscan.operators.first_writer import insert_if_absent
-from folioscan.operators.joins import BROADCAST_ROWS
-from folioscan.sources.workspace import new_folder
+from folioscan.operators.joins import hot_key_join
+from folioscan.sources.images import packed_images
+from folioscan.sources.workspace import new_folder, written
 
 
 def materialise_missing(
@@ -65,89 +66,34 @@ def _png(rgb: np.ndarray) -> bytes:
     return b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", header) + chunk(b"IDAT", body) + chunk(b"IEND", b"")
 
 
-def _unfiltered(rows: np.ndarray, width: int, step: int) -> np.ndarray:
-    """Pixel bytes of PNG rows, each of which begins with the number of its filter."""
-    out = np.zeros((len(rows) + 1, width + step), np.uint8)
-    for y, row in enumerate(rows, 1):
-        kind, line, up = row[0], row[1:], out[y - 1, step:]
-        if kind in (0, 2):
-            out[y, step:] = line if kind == 0 else line + up
-        elif kind == 1:
-            out[y, step:] = np.cumsum(line.reshape(-1, step), axis=0, dtype=np.uint8).reshape(-1)
-        else:
-            done, above = out[y], out[y - 1]
-            for x in range(step, width + step):
-                a, b, c = int(done[x - step]), int(above[x]), int(above[x - step])
-                nearest = min((abs(b - c), 0, a), (abs(a - c), 1, b), (abs(a + b - 2 * c), 2, c))[2]
-                done[x] = (int(line[x - step]) + ((a + b) // 2 if kind == 3 else nearest)) & 255
-    return out[1:, step:]
-
-
-def _decoded(data: bytes | None) -> dict | None:
-    """A PNG with 8 bits a channel (grey, RGB or RGBA, not interlaced) as Spark's image; else null.
-
-    Only tests read with it, beside Spark's own image source.
+def decode_images(images: DataFrame, payload: str = "hash_") -> DataFrame:
+    """``(_id, filename, image)`` of stored image bytes, as ``thumbnail_job`` takes them, stored.
+
+    Spark decodes images from files only; see ``packed_images``. Read are PNG, JPEG, GIF, BMP and what else Java
+    reads. Bytes that cannot be read keep their row with a null image. Pixels are written once for every
+    different payload and meet their rows afterwards; for thumbnails alone ``stored_images`` moves less.
     """
-    if not data or data[:8] != b"\x89PNG\r\n\x1a\n" or data[12:16] != b"IHDR" or len(data) < 33:
-        return None
-    width, height, depth, colour, *_, interlaced = struct.unpack(">IIBBBBB", data[16:29])
-    step = {0: 1, 2: 3, 6: 4}.get(colour)
-    body, at = [], 8
-    while at + 8 <= len(data):
-        size, kind = struct.unpack(">I4s", data[at : at + 8])
-        if kind == b"IDAT":
-            body.append(data[at + 8 : at + 8 + size])
-        at += size + 12
-    try:
-        raw = np.frombuffer(zlib.decompress(b"".join(body)), np.uint8)
-    except zlib.error:
-        return None
-    if step is None or depth != 8 or interlaced or not width or raw.size != height * (width * step + 1):
-        return None
-    pixels = _unfiltered(raw.reshape(height, -1), width * step, step).reshape(height, width, step)
-    pixels = pixels[:, :, [2, 1, 0, *range(3, step)]] if step > 1 else pixels
-    mode = {channels: code for code, channels in IMAGE_CHANNELS.items()}[step]
-    return {"origin": "", "height": height, "width": width, "nChannels": step, "mode": mode, "data": pixels.tobytes()}
-
-
-_IMAGE = "struct<origin:string,height:int,width:int,nChannels:int,mode:int,data:binary>"
-
-
-# PNG of 16-bit grey, with and without alpha, in the header's depth and colour: Spark keeps its low bytes.
-_WIDE_GREY = ("1000", "1004")
-# Files a task writes, and files a task reads: their pixels lie in memory together.
-_FILES_WRITTEN, _FILES_READ = 500, 32
+    with packed_images(images.select("_id", "filename", payload), payload) as packed:
+        decoded = written(packed.images.join(packed.places, "place").select("digest", "image"), "decoded")
+    joined = hot_key_join(packed.digests, decoded, "digest", ["_id"], "left", ROWS_PER_IMAGE)
+    return joined.select("_id", "filename", "image")
 
 
-def decode_images(images: DataFrame, payload: str = "hash_") -> DataFrame:
-    """``(_id, filename, image)`` of stored image bytes, as ``thumbnail_job`` takes them.
+# Rows of one shared image that one task may get.
+ROWS_PER_IMAGE = 20_000
+
+
+def stored_thumbnails(images: DataFrame, payload: str = "hash_", box: tuple[int, int] = THUMBNAIL_BOX) -> DataFrame:
+    """``thumbnail_job`` over stored image bytes (``_id, filename, payload``): each different payload is decoded and shrunk once.
 
-    Spark decodes images from files only, so each different payload is written to the shared folder, by
-    the executors and under its digest, and read by the image source: PNG, JPEG, GIF, BMP and what else
-    Java reads. Bytes that cannot be read keep their row with a null image. Payloads shuffle once, pixels
-    only where there are more than ``BROADCAST_ROWS`` rows.
+    Neither payloads nor pixels meet the rows that share them; thumbnails do, by digest, a shared one split.
     """
-    spark = images.sparkSession
-    data = F.col(payload)
-    wide_grey = F.startswith(data, F.lit(b"\x89PNG")) & F.hex(F.substring(data, 25, 2)).isin(*_WIDE_GREY)
-    keyed = images.select("_id", "filename", F.sha2(data, 256).alias("digest"), data.alias("payload"), wide_grey.alias("wide"))
-    files = keyed.filter("payload is not null and not wide").groupBy("digest").agg(F.first("payload").alias("payload"))
-    path = new_folder(spark, "decoded")
-    # The text source writes bytes as they are; the line end after them is no part of the image.
-    lines = files.select("digest", F.col("payload").cast("string").alias("value"))
-    ids = keyed.select("_id", "filename", "digest")
-    n = ids.count()
-    # Time goes by files, not by bytes: tasks for writing and reading are counted by files.
-    least = 4 * spark.sparkContext.defaultParallelism
-    lines.repartition(max(least, n // _FILES_WRITTEN), "digest").write.partitionBy("digest").option("compression", "none").text(path)
-    found = spark.read.format("image").option("dropInvalid", True).option("recursiveFileLookup", True)
-    found = found.option("ignoreCorruptFiles", True).load(path).coalesce(max(least, n // _FILES_READ))
-    found = found.select(F.regexp_extract("image.origin", "/digest=([0-9a-f]+)/", 1).alias("digest"), "image")
-    if n > BROADCAST_ROWS:
-        return ids.join(found, "digest", "left").select("_id", "filename", "image")
-    read = found.join(F.broadcast(ids), "digest").select("_id", "filename", "image")
-    unread = ids.join(found.select("digest"), "digest", "left_anti")
-    return read.unionByName(unread.select("_id", "filename", F.lit(None).cast(_IMAGE).alias("image")))
+    with packed_images(images.select("_id", "filename", payload), payload) as packed:
+        named = packed.images.select(F.col("place").alias("_id"), F.lit(None).cast("string").alias("filename"), "image")
+        made = written(thumbnail_job(named, box).withColumnRenamed("_id", "place").drop("filename"), "shrunk")
+    by_digest = made.join(packed.places, "place").drop("place")
+    joined = hot_key_join(packed.digests, by_digest, "digest", ["_id"], "left", ROWS_PER_IMAGE)
+    return joined.select(*_THUMBNAIL.names)
 
 
 def _thumbnail(data: bytes, height: int, width: int, mode: int, to_height: int, to_width: int) -> bytes:

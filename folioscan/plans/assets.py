@@ -20,7 +20,15 @@ from folioscan.plans.ingest import thumbnail_stored
 from folioscan.plans.rendering import document_images, flat_images, table
 from folioscan.sources.assets import read_assets
 from folioscan.sources.pages import spread
-from folioscan.sources.tables import ENCODED_IMAGES, read_table, write_assets, write_batch
+from folioscan.sources.tables import (
+    ENCODED_IMAGES,
+    encoded_assets,
+    read_payloads,
+    read_table,
+    settle_manifest,
+    write_assets,
+    write_batch,
+)
 from folioscan.sources.workspace import new_folder
 
 
@@ -145,19 +153,45 @@ def thumbnail_errors(spark, sf_dir):
     return failed_thumbnails(make_thumbnails(spread(document_images(spark, sf_dir), "_id")))
 
 
-@query(f"""
-WITH coloured AS (
+# Thumbnails of the flat images that can be read: sizes and the digest of their pixels.
+_FLAT = f"""
+coloured AS (
   SELECT p_partkey, p_partkey % 500 + 1 AS width, p_size * 9 + 1 AS height,
          printf('%02X%02X%02X', p_partkey % 256, p_size, (p_partkey * 7) % 256) AS colour
   FROM part WHERE p_partkey % 5 <> 0),
 sized AS (SELECT p_partkey, colour, CAST(width AS DOUBLE) AS w, CAST(height AS DOUBLE) AS h FROM coloured),
-{_FIT}
-SELECT CAST(p_partkey AS VARCHAR) AS _id, width, height, sha256(repeat(colour, width * height)) AS pixels FROM fitted
-""")
+{_FIT}, flat AS (SELECT *, sha256(repeat(colour, width * height)) AS pixels FROM fitted)
+"""
+
+
+def _pixels(thumbnails):
+    """Stored thumbnails, decoded again."""
+    made = decode_images(thumbnails)
+    return made.select("_id", "image.width", "image.height", F.sha2(F.hex("image.data").cast("binary"), 256).alias("pixels"))
+
+
+@query(f"WITH {_FLAT} SELECT CAST(p_partkey AS VARCHAR) AS _id, width, height, pixels FROM flat")
 def stored_thumbnails(spark, sf_dir):
     """Flat PNG images go into the catalogue; thumbnails come out of its images table and are decoded again."""
     root = new_folder(spark, "catalogue")
     write_batch(flat_images(spark, sf_dir), root, "images", 0, "test")
     thumbnail_stored(spark, 0, root)
-    made = decode_images(read_table(spark, root, "thumbnails"))
-    return made.select("_id", "image.width", "image.height", F.sha2(F.hex("image.data").cast("binary"), 256).alias("pixels"))
+    return _pixels(read_table(spark, root, "thumbnails"))
+
+
+@query(f"""
+WITH {_FLAT}
+SELECT encoding, CAST(p_partkey AS VARCHAR) AS _id, width, height, pixels
+FROM flat, (SELECT unnest(['base64', 'zlib']) AS encoding)
+""")
+def encoded_thumbnails(spark, sf_dir):
+    """The same from catalogues that keep payloads as base64 text and as zlib bytes."""
+    images, found = flat_images(spark, sf_dir), []
+    for encoding in ("base64", "zlib"):
+        root = new_folder(spark, "catalogue")
+        settle_manifest(spark, root, encoding)
+        write_batch(encoded_assets(images, encoding), root, "images", 0, "test")
+        thumbnail_stored(spark, 0, root)
+        pixels = _pixels(read_payloads(spark, root, "thumbnails"))
+        found.append(pixels.select(F.lit(encoding).alias("encoding"), "*"))
+    return found[0].unionByName(found[1])

@@ -11,15 +11,17 @@ wrote counts as stored. Running a batch again therefore rewrites the same rows a
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioscan.functions.attributes import ATTRIBUTES, UNKNOWN_LABEL
+from folioscan.functions.payload import decode
 from folioscan.functions.text import clean_license_text
 from folioscan.functions.urls import ORIGIN_DIR, absolute_url, asset_name, asset_path, basename, item_code
-from folioscan.operators.assets import decode_images, thumbnail_errors, thumbnail_job, thumbnail_rows
+from folioscan.operators.assets import materialise_missing, stored_thumbnails, thumbnail_errors, thumbnail_job, thumbnail_rows
 from folioscan.operators.detail import broken_at, repeated_attributes, unknown_titles, wide_columns, with_names
 from folioscan.operators.errors import (
     IMAGE_MESSAGE,
@@ -30,13 +32,25 @@ from folioscan.operators.errors import (
     license_error_line,
     retry_pass,
 )
-from folioscan.operators.first_writer import insert_if_absent
+from folioscan.operators.first_writer import absent, insert_if_absent
 from folioscan.operators.joins import BROADCAST_ROWS, dimension_join, having_key, hot_key_join, keep_marked
 from folioscan.operators.page_parse import ITEM_PARTS, Selectors, parse_pages
 from folioscan.sources.pages import spread
-from folioscan.sources.tables import encoded_assets, read_table, write_batch, write_together, written_by
+from folioscan.sources.key_index import KeyIndex
+from folioscan.sources.manifest import settled_encoding
+from folioscan.sources.tables import (
+    encoded_assets,
+    read_batch,
+    read_table,
+    settle_manifest,
+    write_batch,
+    write_together,
+    written_by,
+)
 from folioscan.sources.workspace import checkpointed, written
 
+# The keys that only one row of a table may have.
+KEYS = {"items": "_id", "images": "_id", "licenses": "license"}
 # Runs of batch loads and of thumbnail passes, unless the caller names one.
 BATCH_RUN, THUMBNAIL_RUN = "batch", "thumbnails"
 
@@ -48,7 +62,11 @@ class ItemOptions:
     base_url: str = ""
     origin_dir: str = ORIGIN_DIR
     selectors: Selectors = Selectors()
-    encoding: str = "raw"  # of stored payloads: raw, base64 or zlib; one for all batches of a catalogue
+    encoding: str | None = None  # of stored payloads: raw, base64 or zlib; the catalogue's own, else raw
+    # Which assets become files, each once: page images (with their thumbnails), thumbnails, licence icons.
+    origin_files: bool = False
+    thumbnail_files: bool = False
+    license_files: bool = False
     code: Column | None = None  # item id of a page row; default: the id parameter of ``url``
 
     def item_id(self) -> Column:
@@ -244,6 +262,7 @@ def ingest_batch(
     """
     spark = pages.sparkSession
     owner = f"{root}#{run}"
+    encoding = settle_manifest(spark, root, options.encoding)
     parsed = parse_pages(spread(pages), ITEM_PARTS, selectors=options.selectors, labels=ATTRIBUTES)
     staged = written(item_rows(parsed, options), "stage", owner)
     small = staged.count() <= BROADCAST_ROWS
@@ -252,59 +271,143 @@ def ingest_batch(
         flags = written(flags, "flags", owner)
 
     def stored(name: str) -> DataFrame:
-        return read_table(spark, root, name).filter(~written_by(run, batch_id))
+        return read_table(spark, root, name, encoding).filter(~written_by(run, batch_id))
+
+    indexes = {name: KeyIndex(spark, root, name, key) for name, key in KEYS.items()}
+    for index in indexes.values():
+        index.rewritten(run, batch_id)
+
+    def writers_of(name: str, candidates: DataFrame) -> DataFrame:
+        """Pages that write a key of a table: the first of each that no other batch has stored."""
+        keys = candidates.select(KEYS[name]) if small else None
+        return first_writers(candidates, indexes[name].stored(keys, run, batch_id), KEYS[name], small)
 
     failed = F.col("failure").isNotNull()
     ready = flags.filter(F.col("complete") & ~failed)
-    writers = first_writers(ready, stored("items"), "_id", small).select("page_id", F.lit(True).alias("first"))
+    writers = writers_of("items", ready).select("page_id", F.lit(True).alias("first"))
     status = classify_outcome(F.col("complete"), failed, F.col("first").isNotNull())
     outcomes = flags.join(writers, "page_id", "left").select("page_id", "_id", status.alias("status"))
 
     # A licence is stored as soon as its block is read, also when the item itself fails later.
-    icons = first_writers(flags.filter("stores_license"), stored("licenses"), "license", small).select("page_id")
+    icons = writers_of("licenses", flags.filter("stores_license")).select("page_id")
     icon_rows = staged.select("page_id", "license", "license_name", "license_url").join(icons, "page_id", "left_semi")
-    licenses = encoded_assets(with_payload(icon_rows, assets, "license_url"), options.encoding)
+    licenses = encoded_assets(with_payload(icon_rows, assets, "license_url"), encoding)
     write_together({"outcomes": outcomes, "licenses": licenses}, root, batch_id, run)
 
-    outcomes = read_table(spark, root, "outcomes").filter(written_by(run, batch_id))
+    outcomes = read_batch(spark, root, "outcomes", batch_id, run)
     inserted = F.col("status") == INSERTED
     tables = {"items": keep_marked(staged, outcomes, "page_id", inserted)}
     conflicts = None
     if assets is not None:
         # Images have first writers of their own: an item may be stored without its image, or an image alone.
-        shown = first_writers(ready, stored("images"), "_id", small).select("page_id", F.lit(True).alias("shown"))
+        shown = writers_of("images", ready).select("page_id", F.lit(True).alias("shown"))
         ids = ready.select("page_id", "_id").join(shown, "page_id", "left")
         conflicts = ids.filter("shown is null").select("page_id", "_id")
         heroes = staged.select("page_id", "hero_url")
         image_rows = ids.filter("shown").drop("shown").join(heroes, "page_id")
         named = image_rows.withColumn("filename", asset_name(F.col("_id")))
-        tables["images"] = encoded_assets(with_payload(named, assets, "hero_url"), options.encoding)
+        tables["images"] = encoded_assets(with_payload(named, assets, "hero_url"), encoding)
     tables["errors"] = error_rows(staged, flags, conflicts)
+    if assets is not None:
+        files, made = asset_files(staged, flags, assets, options, stored, owner)
+        tables |= files
+        if made is not None:
+            rows = thumbnail_rows(made).select("_id", "filename", "hash_")
+            tables["thumbnails"] = encoded_assets(rows, encoding)
+            tables["errors"] = tables["errors"].unionByName(thumbnail_failures(made))
     if page_errors is not None:
         side = page_errors.select("page_id", F.lit(None).cast("string").alias("item_id"), F.lit("page").alias("stage"), "message", "line")
         tables["errors"] = tables["errors"].unionByName(side)
     write_together(tables, root, batch_id, run)
+    for index in indexes.values():
+        index.compact()
+
+
+def asset_files(
+    staged: DataFrame,
+    flags: DataFrame,
+    assets: DataFrame,
+    options: ItemOptions,
+    stored: Callable[[str], DataFrame],
+    owner: str,
+) -> tuple[dict[str, DataFrame], DataFrame | None]:
+    """The file tables that the switches of ``options`` ask for, and the thumbnails that go with page images.
+
+    ``stored`` reads what other batches wrote. A file that exists is left alone, of several pages with one name
+    the first writes it. Icons are written for every page whose licence block was read, images for every page
+    that got so far. Images make thumbnails, of names without a thumbnail file if those are kept, else of
+    names without a thumbnail. Without images there are no thumbnails, whatever the switch says.
+    """
+    wants_images, failed = options.origin_files, F.col("failure").isNotNull()
+    switches = {"origin": options.origin_files, "license": options.license_files}
+    if not any(switches.values()):
+        return {}, None
+    ready = flags.filter(F.col("complete") & ~failed).select("page_id", asset_name(F.col("_id")).alias("filename"))
+    icons = flags.filter("stores_license").select("page_id", F.col("license").alias("filename"))
+    kind = lambda rows, name: rows.select(F.lit(name).alias("kind"), *rows.columns)
+    planned = kind(ready, "origin").unionByName(kind(icons, "license"))
+    names = [kind(stored(f"{name}_files").select("filename"), name) for name in switches]
+    missing = written(materialise_missing(planned, names[0].unionByName(names[1]), switches), "missing-files", owner)
+    urls = staged.select("page_id", "_id", "hero_url", "license_url")
+
+    def files(of: DataFrame, url: str) -> DataFrame:
+        rows = of.select("filename", "page_id").join(urls.select("page_id", "_id", url), "page_id")
+        return with_payload(rows, assets, url).select("_id", "filename", F.col("hash_").alias("payload"))
+
+    tables = {}
+    if options.license_files:
+        tables["license_files"] = files(missing.filter("kind = 'license'"), "license_url")
+    if not wants_images:
+        return tables, None
+    tables["origin_files"] = written(files(missing.filter("kind = 'origin'"), "hero_url"), "origin-files", owner)
+    # The images of this batch's names: its own files, and those that were there before.
+    table = "thumbnail_files" if options.thumbnail_files else "thumbnails"
+    unmade = absent(ready.select("filename").distinct(), stored(table), ["filename"])
+    before = stored("origin_files").select(F.regexp_replace("filename", r"\.[^.]*$", "").alias("_id"), "filename", "payload")
+    images = tables["origin_files"].unionByName(before).join(unmade, "filename", "left_semi")
+    made = written(stored_thumbnails(images, "payload"), "thumbnails", owner)
+    if options.thumbnail_files:
+        tables["thumbnail_files"] = thumbnail_rows(made).select("filename", F.col("hash_").alias("payload"))
+        made = absent(made, stored("thumbnails"), ["_id"])
+    return tables, made
+
+
+def thumbnail_batch(
+    images: DataFrame, batch_id: int, root: str, run: str = THUMBNAIL_RUN, encoding: str | None = None
+) -> None:
+    """Add the thumbnails of decoded images (``read_images``); failures go to the catalogue's error table."""
+    _add_thumbnails(thumbnail_job(images), batch_id, root, run, encoding)
 
 
-def thumbnail_batch(images: DataFrame, batch_id: int, root: str, run: str = THUMBNAIL_RUN) -> None:
-    """Add the thumbnails of decoded images (``read_images``); failures go to the catalogue's error table."""
-    made = written(thumbnail_job(images), "thumbnails", f"{root}#{run}")
-    stored = read_table(images.sparkSession, root, "thumbnails").filter(~written_by(run, batch_id))
+def thumbnail_stored(
+    spark: SparkSession, batch_id: int, root: str, run: str = THUMBNAIL_RUN, encoding: str | None = None
+) -> None:
+    """Add the thumbnails of the images that the catalogue stores, in the catalogue's encoding."""
+    encoding = settled_encoding(spark, root, encoding)
+    images = read_table(spark, root, "images", encoding)
+    raw = images.select("_id", "filename", decode(F.col("hash_"), encoding).alias("hash_"))
+    _add_thumbnails(stored_thumbnails(raw), batch_id, root, run, encoding)
+
+
+def _add_thumbnails(thumbnails: DataFrame, batch_id: int, root: str, run: str, encoding: str | None) -> None:
+    spark = thumbnails.sparkSession
+    encoding = settled_encoding(spark, root, encoding)
+    made = written(thumbnails, "thumbnails", f"{root}#{run}")
+    stored = read_table(spark, root, "thumbnails", encoding).filter(~written_by(run, batch_id))
     rows = insert_if_absent(thumbnail_rows(made), stored, ["_id"], ["filename"], made.count() <= BROADCAST_ROWS)
-    write_batch(rows, root, "thumbnails", batch_id, run)
-    failed = thumbnail_errors(made).select(
+    write_batch(encoded_assets(rows, encoding), root, "thumbnails", batch_id, run)
+    write_batch(thumbnail_failures(made), root, "errors", batch_id, run)
+
+
+def thumbnail_failures(made: DataFrame) -> DataFrame:
+    """Error rows of the thumbnails that could not be made."""
+    return thumbnail_errors(made).select(
         F.lit(None).cast("bigint").alias("page_id"),
         F.col("_id").alias("item_id"),
         F.lit("thumbnail").alias("stage"),
         F.lit(THUMBNAIL_MESSAGE).alias("message"),
         "line",
     )
-    write_batch(failed, root, "errors", batch_id, run)
-
-
-def thumbnail_stored(spark: SparkSession, batch_id: int, root: str, run: str = THUMBNAIL_RUN) -> None:
-    """Add the thumbnails of the images that the catalogue stores."""
-    thumbnail_batch(decode_images(read_table(spark, root, "images")), batch_id, root, run)
 
 
 def reingest(

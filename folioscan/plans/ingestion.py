@@ -20,6 +20,7 @@ from folioscan.plans.rendering import (
     PART_SITE,
     crawl_archive,
     part_assets,
+    part_image_assets,
     part_pages,
     table,
 )
@@ -209,6 +210,35 @@ def ingest_asset_errors(spark, sf_dir):
     return errors.select("page_id", "stage", "line")
 
 
+# With images that can be decoded but for every fifth; every seventh is missing. One name may be asked for twice.
+_FILES = f"""
+WITH {PART_ITEMS},
+shown AS (SELECT * FROM part_items WHERE complete AND NOT failed AND page_id % 7 <> 0),
+firsts AS (SELECT _id, min(page_id) AS page_id FROM shown GROUP BY _id),
+"""
+
+
+@query(f"""{_FILES}
+made AS (SELECT _id, page_id FROM firsts WHERE page_id % 5 <> 0)
+SELECT 'origin_files' AS name, _id || '.png' AS filename FROM firsts
+UNION ALL SELECT 'thumbnail_files', _id || '.png' FROM made
+UNION ALL SELECT 'thumbnails', _id || '.png' FROM made
+UNION ALL SELECT DISTINCT 'license_files', license FROM part_items
+UNION ALL SELECT 'errors', 'THUMBNAIL ERROR: ' || _id || '.png' FROM firsts WHERE page_id % 5 = 0
+""")
+def ingest_switches(spark, sf_dir):
+    """One half of the pages with icons as files, then all of them with images and thumbnails as files, too."""
+    root, pages, assets = new_folder(spark, "catalogue"), part_pages(spark, sf_dir), part_image_assets(spark, sf_dir)
+    half, site = _middle(pages), replace(PART_SITE, encoding="base64", license_files=True)
+    ingest_batch(pages.filter(F.col("page_id") <= half), 0, root, site, assets)
+    ingest_batch(pages, 1, root, replace(site, origin_files=True, thumbnail_files=True), assets)
+    names = ("origin_files", "thumbnail_files", "thumbnails", "license_files")
+    found = [read_table(spark, root, name).select(F.lit(name).alias("name"), "filename") for name in names]
+    errors = read_table(spark, root, "errors").filter("stage = 'thumbnail'")
+    found.append(errors.select(F.lit("errors").alias("name"), F.col("line").alias("filename")))
+    return reduce(DataFrame.unionByName, found)
+
+
 _CRAWL = f"""
 WITH {PART_ITEMS},
 pages AS (SELECT *, CASE WHEN p_size = 50 THEN NULL ELSE 10000 + p_partkey - CASE WHEN p_partkey % 3 = 1 THEN 1 ELSE 0 END END

@@ -305,6 +305,17 @@ def flat_images(spark: SparkSession, sf_dir: str) -> DataFrame:
     return part.select(name.alias("_id"), F.concat(name, F.lit(".png")).alias("filename"), payload.alias("hash_"))
 
 
+def part_image_assets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The asset archive of ``part_pages`` with ``flat_images`` for images, stored; every seventh is missing."""
+    images = flat_images(spark, sf_dir).filter(F.col("_id").cast("bigint") % 7 != 0)
+    heroes = images.select(F.concat(F.lit(f"{HOST}/wrt/"), "_id", F.lit(".png")).alias("url"), F.col("hash_").alias("payload"))
+    icons = table(spark, sf_dir, "part").select(
+        F.concat(F.lit(f"{HOST}/img/license/"), F.lower("p_type"), F.lit(".png")).alias("url"),
+        F.col("p_type").cast("binary").alias("payload"),
+    )
+    return written(heroes.unionByName(icons.distinct()), "archive")
+
+
 def flat_png(width: int, height: int, rgb: tuple[int, int, int]) -> bytes:
     """A PNG of one colour; its rows use the plain and the upward filter."""
 

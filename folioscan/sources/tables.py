@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from folioscan.functions.attributes import COLUMNS
-from folioscan.functions.payload import encode
+from folioscan.functions.payload import decode, encode
+from folioscan.sources.manifest import drop_manifest, read_manifest, settled_encoding, write_manifest
+from folioscan.sources.workspace import dropped
 
 _s, _b, _l, _i = T.StringType(), T.BinaryType(), T.LongType(), T.IntegerType()
 
@@ -27,6 +29,7 @@ IMAGES = _schema(_id=_s, filename=_s, hash_=_b)
 LICENSES = _schema(license=_s, license_name=_s, hash_=_b)
 ENCODED_IMAGES = _schema(_id=_s, filename=_s, hash_=_s)
 ENCODED_LICENSES = _schema(license=_s, license_name=_s, hash_=_s)
+FILES = _schema(filename=_s, payload=_b)
 ERRORS = _schema(page_id=_l, item_id=_s, stage=_s, message=_s, line=_s)
 OUTCOMES = _schema(page_id=_l, _id=_s, status=_s)
 
@@ -38,6 +41,10 @@ TABLES = {
     "licenses": LICENSES,
     "errors": ERRORS,
     "outcomes": OUTCOMES,
+    # Assets as files, raw whatever the catalogue's encoding: those that an item pass was told to materialise.
+    "origin_files": FILES,
+    "thumbnail_files": FILES,
+    "license_files": FILES,
 }
 
 # The same for tables whose payloads are stored as base64 text.
@@ -61,13 +68,26 @@ def write_assets(assets: DataFrame, path: str, encoding: str = "raw", mode: str
     encoded_assets(assets, encoding).write.mode(mode).parquet(path)
 
 
-def read_table(spark: SparkSession, root: str, name: str, encoding: str = "raw") -> DataFrame:
+def table_schema(name: str, encoding: str) -> T.StructType:
+    return ENCODED[name] if encoding == "base64" and name in ENCODED else TABLES[name]
+
+
+def settle_manifest(spark: SparkSession, root: str, encoding: str | None = None) -> str:
+    """The catalogue's encoding, which its first batch settles: later ones may not name another."""
+    if read_manifest(spark, root) is None:
+        encoding = encoding or "raw"
+        write_manifest(spark, root, encoding, {name: table_schema(name, encoding) for name in TABLES})
+    return settled_encoding(spark, root, encoding)
+
+
+def read_table(spark: SparkSession, root: str, name: str, encoding: str | None = None) -> DataFrame:
     """A catalogue table with the run and batch that wrote each row; empty when nothing is stored.
 
-    Name the ``encoding`` of a catalogue whose payloads are base64 text.
+    Payloads are of the type that the catalogue's manifest says; the ``encoding`` of one without is raw unless named.
     """
-    known = ENCODED if encoding == "base64" and name in ENCODED else TABLES
-    schema = T.StructType([*known[name].fields, *_WRITER])
+    if name in ENCODED and encoding is None:
+        encoding = settled_encoding(spark, root)
+    schema = T.StructType([*table_schema(name, encoding or "raw").fields, *_WRITER])
     try:
         return spark.read.schema(schema).parquet(f"{root}/{name}")
     except AnalysisException as e:
@@ -76,6 +96,11 @@ def read_table(spark: SparkSession, root: str, name: str, encoding: str = "raw")
         return spark.createDataFrame([], schema)
 
 
+def read_batch(spark: SparkSession, root: str, name: str, batch_id: int, run: str) -> DataFrame:
+    """What one batch wrote to a table without payloads. No other folder is listed."""
+    return spark.read.schema(TABLES[name]).parquet(f"{root}/{name}/{RUN}={run}/{BATCH}={batch_id}")
+
+
 def written_by(run: str, batch_id: int) -> Column:
     """Rows of one batch."""
     return (F.col(RUN) == run) & (F.col(BATCH) == batch_id)
@@ -101,8 +126,17 @@ def write_together(tables: dict[str, DataFrame], root: str, batch_id: int, run:
         job.result()
 
 
+def read_payloads(spark: SparkSession, root: str, name: str, payload: str = "hash_") -> DataFrame:
+    """``read_table`` with the payloads as raw bytes, whatever they are stored as."""
+    encoding = settled_encoding(spark, root)
+    return read_table(spark, root, name, encoding).withColumn(payload, decode(F.col(payload), encoding))
+
+
 def reset_tables(spark: SparkSession, root: str, names=tuple(TABLES)) -> None:
-    """Empty the tables; they stay readable."""
+    """Empty the tables; they stay readable. A catalogue that is emptied whole may get another encoding."""
+    if set(TABLES) <= set(names):
+        drop_manifest(spark, root)
     for name in names:
+        dropped(spark, f"{root}/_keys/{name}")
         schema = T.StructType([*TABLES[name].fields, *_WRITER])
         spark.createDataFrame([], schema).write.mode("overwrite").partitionBy(RUN, BATCH).parquet(f"{root}/{name}")

@@ -43,6 +43,14 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return f"{workspace(spark).rstrip('/')}/folioscan/{label}-{uuid.uuid4().hex}"
 
 
+def dropped(spark: SparkSession, *paths: str) -> None:
+    """Remove folders of intermediate rows that nothing reads any more, where they are still there."""
+    jvm = spark._jvm
+    for path in paths:
+        place = jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def checkpointed(rows: DataFrame) -> DataFrame:
     """The rows, computed once and stored reliably: lost executors do not change them."""
     if not rows.sparkSession.sparkContext.getCheckpointDir():

@@ -9,7 +9,9 @@ from conftest import SMALL
 from pyspark.sql import functions as F
 
 from folioscan.functions.payload import encode_base64
-from folioscan.operators.assets import _decoded, _png, _shrink, roundtrip_check, size_profile, thumbnail_errors, thumbnail_job
+from png_reader import _decoded
+
+from folioscan.operators.assets import _png, _shrink, roundtrip_check, size_profile, thumbnail_errors, thumbnail_job
 from folioscan.plans.ingest import thumbnail_batch
 from folioscan.sources.assets import read_assets, read_images
 from folioscan.sources.tables import read_table
@@ -156,12 +158,13 @@ def _png_of(header, rows, *chunks):
     return b"\x89PNG\r\n\x1a\n" + b"".join(body) + chunk(b"IDAT", zlib.compress(rows)) + chunk(b"IEND", b"")
 
 
-@pytest.mark.parametrize("bound", [200_000, 0])
-def test_stored_images_of_any_kind(spark, monkeypatch, bound):
+@pytest.mark.parametrize("per_folder", [1000, 1])
+def test_stored_images_of_any_kind(spark, monkeypatch, per_folder):
     """Palette, 16 bits, grey and alpha, interlaced, GIF: what Spark's image source reads becomes pixels."""
     from folioscan.operators import assets
+    from folioscan.sources import images
 
-    monkeypatch.setattr(assets, "BROADCAST_ROWS", bound, raising=False)
+    monkeypatch.setattr(images, "FILES_PER_FOLDER", per_folder)
     gif = bytes.fromhex("47494638396101000100800000c80032ffffff2c00000000010001000002024401003b")
     rgb = _png_of((1, 1, 8, 2, 0, 0, 0), b"\0\xc8\0\x32")
     stored = {
@@ -180,8 +183,28 @@ def test_stored_images_of_any_kind(spark, monkeypatch, bound):
     rows = [*stored.items(), ("rgb", rgb), (None, rgb)]
     table = spark.createDataFrame([(k, f"{k}.x", v) for k, v in rows], "_id string, filename string, hash_ binary")
     made = thumbnail_job(assets.decode_images(table)).collect()
+    assert sorted(map(repr, made)) == sorted(map(repr, assets.stored_thumbnails(table).collect()))
     assert Counter(r["_id"] for r in made) == Counter(k for k, _ in rows)
     got = {r["_id"]: r["hash_"] and bytes(r["hash_"]) for r in made}
     red, grey = (_png(np.array([[c]], np.uint8)) for c in ((200, 0, 50), (100, 100, 100)))
     want = dict.fromkeys(["palette", "deep", "interlaced", "gif", "rgb", None], red) | {"grey alpha": grey}
     assert got == dict.fromkeys(stored) | want
+
+
+def test_packed_store_has_folders_by_digest(spark, monkeypatch):
+    """A file for each different payload, few folders, and nothing left behind."""
+    from folioscan.sources import images
+    from folioscan.sources.workspace import workspace
+
+    monkeypatch.setattr(images, "FILES_PER_FOLDER", 10)
+    assert [images.folder_digits(n) for n in (0, 10, 11, 160, 161, 10**9)] == [0, 0, 1, 1, 2, images.MOST_DIGITS]
+    payloads = [_png(np.full((1, 1, 3), i % 90, np.uint8)) for i in range(300)]
+    table = spark.createDataFrame([(str(i), "x", p) for i, p in enumerate(payloads)], "_id string, filename string, hash_ binary")
+    scratch = Path(workspace(spark)) / "folioscan"
+    with images.packed_images(table) as packed:
+        (folder,) = scratch.glob("image-files-*")
+        assert len(list(folder.glob("folder=*"))) <= 16
+        assert len(list(folder.glob("folder=*/part-*"))) == 90 == packed.images.count() == packed.places.count()
+        digests = {r["digest"] for r in packed.places.collect()}
+        assert digests == {r["digest"] for r in packed.digests.collect()} and packed.digests.count() == 300
+    assert not list(scratch.glob("image-files-*"))

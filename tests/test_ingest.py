@@ -1,15 +1,18 @@
 from dataclasses import replace
 
+import numpy as np
 import pytest
 from conftest import SMALL
 from pyspark.sql import functions as F
 
 from folioscan.operators.joins import keep_marked
-from folioscan.plans.ingest import ItemOptions, ingest_batch, reingest, thumbnail_batch
+from folioscan.operators.assets import _png
+from folioscan.plans.ingest import ItemOptions, ingest_batch, reingest, thumbnail_batch, thumbnail_stored
 from folioscan.plans.rendering import part_pages
 from folioscan.sources.pages import stream_pages
-from folioscan.sources.tables import ITEMS, TABLES, read_table, reset_tables, write_assets, write_items
-from folioscan.sources.workspace import new_folder
+from folioscan.sources.manifest import read_manifest
+from folioscan.sources.tables import ITEMS, TABLES, read_payloads, read_table, reset_tables, write_assets, write_items
+from folioscan.sources.workspace import new_folder, written
 from folioscan.streaming.ingest import ingest_stream
 
 HOST = "http://h"
@@ -246,3 +249,75 @@ def test_one_error_table(spark, pages):
     errors = read_table(spark, root, "errors")
     assert errors.count() == before + 1
     assert rows(errors.filter("stage = 'thumbnail'"), "item_id", "line") == [("7", "THUMBNAIL ERROR: 7.png")]
+
+
+def png(value):
+    return _png(np.full((3, 2, 3), value, np.uint8))
+
+
+@pytest.fixture(scope="module")
+def shown(spark):
+    """Pages with images that can be decoded, but for the third; the first and the fourth share an id."""
+    pages = [(n, f"http://h/v.do?wrtSn={i}", item(hero=f"/{n}.png")) for n, i in ((1, 1001), (2, 1002), (3, 1003), (4, 1001))]
+    held = [(f"http://h/{n}.png", png(n) if n != 3 else b"no image") for n in (1, 2, 3, 4)] + [("http://h/l/by.png", b"icon")]
+    return (
+        spark.createDataFrame(pages, "page_id long, url string, html string"),
+        written(spark.createDataFrame(held, "url string, payload binary"), "held"),
+    )
+
+
+@pytest.mark.parametrize("encoding", ["raw", "base64", "zlib"])
+def test_thumbnails_follow_the_encoding(spark, shown, encoding):
+    pages, held = shown
+    root = new_folder(spark, "t")
+    ingest_batch(pages, 0, root, ItemOptions(base_url="http://h", encoding=encoding), held)
+    thumbnail_stored(spark, 0, root)
+    got = {r["_id"]: bytes(r["hash_"]) for r in read_payloads(spark, root, "thumbnails").collect()}
+    assert got == {"1001": png(1), "1002": png(2)}
+    errors = read_table(spark, root, "errors").filter("stage = 'thumbnail'")
+    assert rows(errors, "item_id", "line") == [("1003", "THUMBNAIL ERROR: 1003.png")]
+    kind = dict(read_table(spark, root, "thumbnails").dtypes)["hash_"]
+    assert kind == ("string" if encoding == "base64" else "binary")
+    assert read_manifest(spark, root)["encoding"] == encoding
+    # Later batches follow the manifest, and may not change it.
+    ingest_batch(pages, 1, root, ItemOptions(base_url="http://h"), held)
+    other = "raw" if encoding != "raw" else "zlib"
+    with pytest.raises(ValueError, match="stored as"):
+        ingest_batch(pages, 2, root, ItemOptions(base_url="http://h", encoding=other), held)
+    reset_tables(spark, root)
+    assert read_manifest(spark, root) is None and read_table(spark, root, "thumbnails").count() == 0
+
+
+def files_of(spark, root, name):
+    return {r["filename"]: bytes(r["payload"]) for r in read_table(spark, root, name).collect()}
+
+
+def test_switches(spark, shown):
+    pages, held = shown
+    root = new_folder(spark, "t")
+    site = ItemOptions(base_url="http://h", encoding="base64")
+    first = pages.filter("page_id <= 2")
+    ingest_batch(first, 0, root, site, held)
+    ingest_batch(first, 1, root, replace(site, thumbnail_files=True), held)
+    names = ("origin_files", "thumbnail_files", "license_files", "thumbnails")
+    assert all(read_table(spark, root, name).count() == 0 for name in names)
+    ingest_batch(first, 2, root, replace(site, license_files=True), held)
+    assert files_of(spark, root, "license_files") == {"by.png": b"icon"}
+    # Images now become files, whoever stored them first, and bring their thumbnails with them.
+    ingest_batch(first, 3, root, replace(site, origin_files=True, license_files=True), held)
+    assert files_of(spark, root, "origin_files") == {"1001.png": png(1), "1002.png": png(2)}
+    assert rows(read_table(spark, root, "thumbnails"), "_id", "batch_id") == [("1001", 3), ("1002", 3)]
+    assert read_table(spark, root, "license_files").count() == 1
+    assert read_table(spark, root, "thumbnail_files").count() == 0
+    # What exists is left alone; thumbnail files are made of the images that are there.
+    every = replace(site, origin_files=True, thumbnail_files=True, license_files=True)
+    for _ in ("written", "replayed"):
+        ingest_batch(pages, 4, root, every, held)
+        assert files_of(spark, root, "origin_files") == {"1001.png": png(1), "1002.png": png(2), "1003.png": b"no image"}
+        assert files_of(spark, root, "thumbnail_files") == {"1001.png": png(1), "1002.png": png(2)}
+        assert rows(read_table(spark, root, "thumbnails"), "_id", "batch_id") == [("1001", 3), ("1002", 3)]
+        errors = read_table(spark, root, "errors").filter("stage = 'thumbnail'")
+        assert rows(errors, "item_id", "batch_id") == [("1003", 4)]
+    ingest_batch(pages, 5, root, every, held)
+    assert read_table(spark, root, "origin_files").count() == 3
+    assert read_table(spark, root, "thumbnail_files").count() == 2
