@@ -1,10 +1,11 @@
-"""Which keys a growing table holds, without reading the table: a compacted index in tiers.
+"""Which keys a growing table holds, without reading the table: a compacted index.
 
 Each batch adds a folder to a table, and asking all folders for a few keys costs more with every batch. So
-the keys of ``FAN`` batches are written once more, narrow, as a segment; ``FAN`` segments of one tier become
-one of the next. What a batch meets is a bounded number of young folders and a few segments, each of which is
-cut into parts by the keys' hash and has a Bloom filter per part. Parts that no key of the batch falls into
-are not opened, parts whose filter knows none of its keys neither.
+the keys of ``FAN`` batches are written once more, narrow, as a segment, together with the segments that are
+no more than twice as large: sizes grow geometrically, so a key is rewritten a logarithmic number of times. What a
+batch meets is a bounded number of young folders and a few segments, each of which is cut into parts by the
+keys' hash and has a Bloom filter per part. Parts that no key of the batch falls into are not opened, parts
+whose filter knows none of its keys neither.
 
 A batch that is written again is void in the segment that holds it and counts as a young folder from then on.
 One writer at a time, as for the catalogue itself.
@@ -22,8 +23,10 @@ from pyspark.sql import types as T
 
 from folioscan.sources.workspace import checkpointed, dropped
 
-# Young folders, or segments of one tier, that are merged; parts of a segment; filter bits for each key.
+# Young folders that are merged; most parts of a segment, a power of two; filter bits for each key.
 FAN, PARTS, BITS_PER_KEY = 8, 64, 16
+# Keys of one part of a small segment, and keys up to which segments are always merged.
+PART_KEYS, SMALL_KEYS = 50_000, 1_000_000
 # Bits of one filter row, as Spark's bitmaps have them, and the bits that a key sets.
 BITMAP_BITS, PROBES = 32_768, 2
 STATE = "_state.json"
@@ -36,7 +39,8 @@ class Segment:
     """Keys of the batches it ``covers``; its rows of ``void`` batches count no more. ``bits``: length of a part's filter."""
 
     name: str
-    tier: int
+    rows: int
+    parts: int
     bits: int
     covers: set[Batch]
     void: set[Batch] = field(default_factory=set)
@@ -78,13 +82,13 @@ class KeyIndex:
         finally:
             stream.close()
         self.segments = [
-            Segment(s["name"], s["tier"], s["bits"], _batches(s["covers"]), _batches(s["void"])) for s in state
+            Segment(s["name"], s["rows"], s["parts"], s["bits"], _batches(s["covers"]), _batches(s["void"])) for s in state
         ]
 
     def _save(self) -> None:
         """The state replaces the old one by a rename: readers see one or the other."""
         state = [
-            {"name": s.name, "tier": s.tier, "bits": s.bits, "covers": _by_run(s.covers), "void": _by_run(s.void)}
+            {"name": s.name, "rows": s.rows, "parts": s.parts, "bits": s.bits, "covers": _by_run(s.covers), "void": _by_run(s.void)}
             for s in self.segments
         ]
         path, files = self._path(f"{self.folder}/{STATE}")
@@ -133,8 +137,8 @@ class KeyIndex:
     def _hash(self) -> Column:
         return F.xxhash64(self.key)
 
-    def _part(self) -> Column:
-        return F.pmod(self._hash(), F.lit(PARTS)).cast("int")
+    def _part(self, parts: int) -> Column:
+        return F.pmod(self._hash(), F.lit(parts)).cast("int")
 
     def _probes(self, bits: int) -> Column:
         """The bits of a key in its part's filter."""
@@ -158,36 +162,49 @@ class KeyIndex:
         rows = self.spark.read.schema(schema).parquet(f"{self.folder}/{segment.name}/filters")
         return rows.filter(F.col("part").isin(parts))
 
-    def matching_parts(self, segment: Segment, keys: DataFrame, parts: list[int]) -> list[int]:
-        """Parts of a segment that may hold any of ``keys`` (few, distinct): all probes of a key are set."""
-        probes = keys.select(self.key, self._part().alias("part"), F.explode(self._probes(segment.bits)).alias("probe"))
-        placed = probes.select(self.key, "part", F.expr(f"probe div {BITMAP_BITS}").alias("bucket"), F.pmod("probe", F.lit(BITMAP_BITS)).alias("bit"))
-        byte = F.conv(F.hex(F.expr("substring(bits, cast(bit div 8 as int) + 1, 1)")), 16, 10).cast("int")
-        known = byte.bitwiseAND(F.expr("shiftleft(1, cast(bit % 8 as int))")) != 0
-        joined = self._filters(segment, parts).join(F.broadcast(placed), ["part", "bucket"])
-        hits = joined.filter(known).groupBy(self.key, "part").agg(F.count("*").alias("n"))
-        return sorted(row["part"] for row in hits.filter(F.col("n") >= PROBES).select("part").distinct().collect())
+    def matching_parts(self, keys: DataFrame) -> dict[str, list[int]]:
+        """By segment the parts that may hold any of ``keys`` (few): all bits of a key are set in the part's filter."""
+        held = keys.select(F.pmod(self._hash(), F.lit(PARTS)).alias("part")).distinct().collect()
+        wanted = {row["part"] for row in held}
+        found = []
+        for segment in self.segments if wanted else []:
+            parts = sorted({part % segment.parts for part in wanted})
+            probes = keys.select(self.key, self._part(segment.parts).alias("part"), F.explode(self._probes(segment.bits)).alias("probe"))
+            placed = probes.select(
+                self.key, "part", F.expr(f"probe div {BITMAP_BITS}").alias("bucket"), F.pmod("probe", F.lit(BITMAP_BITS)).alias("bit")
+            ).distinct()
+            byte = F.conv(F.hex(F.expr("substring(bits, cast(bit div 8 as int) + 1, 1)")), 16, 10).cast("int")
+            known = byte.bitwiseAND(F.expr("shiftleft(1, cast(bit % 8 as int))")) != 0
+            joined = self._filters(segment, parts).join(F.broadcast(placed), ["part", "bucket"])
+            # Both bits of a key may be one.
+            hits = joined.groupBy(self.key, "part").agg(F.count_if(known).alias("n"))
+            asked = placed.groupBy(self.key, "part").agg(F.count("*").alias("asked"))
+            both = hits.join(F.broadcast(asked), hits[self.key].eqNullSafe(asked[self.key]) & (hits["part"] == asked["part"]))
+            found.append(both.filter(F.col("n") == F.col("asked")).select(F.lit(segment.name).alias("name"), hits["part"]).distinct())
+        out: dict[str, list[int]] = {segment.name: [] for segment in self.segments}
+        if found:
+            rows = found[0]
+            for more in found[1:]:
+                rows = rows.unionByName(more)
+            for row in rows.collect():
+                out[row["name"]].append(row["part"])
+        return {name: sorted(parts) for name, parts in out.items()}
 
     def stored(self, keys: DataFrame | None, run: str, batch_id: int) -> DataFrame:
-        """``(key)`` of what other batches wrote. With ``keys`` (few, distinct) at least those of them that are stored.
+        """``(key)`` of what other batches wrote. With ``keys`` (few) at least those of them that are stored.
 
         Keys are counted by the caller: they go to every task that reads a filter.
         """
         own = (run, batch_id)
-        found = [self._young_keys([batch for batch in self.young() if batch != own])]
+        out = self._young_keys([batch for batch in self.young() if batch != own]).select(self.key)
+        matching = None
         if keys is not None and self.segments:
-            keys = checkpointed(keys.select(self.key).distinct())
-            wanted = sorted(row["part"] for row in keys.select(self._part().alias("part")).distinct().collect())
+            matching = self.matching_parts(checkpointed(keys.select(self.key).distinct()))
         for segment in self.segments:
-            parts = None
-            if keys is not None:
-                parts = self.matching_parts(segment, keys, wanted) if wanted else []
-                if not parts:
-                    continue
-            found.append(self._without(self._segment_keys(segment, parts), {own} & segment.covers))
-        out = found[0].select(self.key)
-        for rows in found[1:]:
-            out = out.unionByName(rows.select(self.key))
+            parts = None if matching is None else matching[segment.name]
+            if parts is None or parts:
+                rows = self._without(self._segment_keys(segment, parts), {own} & segment.covers)
+                out = out.unionByName(rows.select(self.key))
         return out
 
     # Upkeep.
@@ -201,40 +218,43 @@ class KeyIndex:
                 segment.void.add(batch)
                 self._save()
 
-    def _write(self, keys: DataFrame, tier: int, covers: set[Batch]) -> Segment:
+    def _write(self, keys: DataFrame, rows: int, covers: set[Batch]) -> Segment:
         """A new segment. Its files are there before the state names it, so a lost run leaves only litter."""
-        name = f"tier{tier}-{uuid.uuid4().hex}"
-        dealt = keys.withColumn("part", self._part()).repartition(PARTS, "part")
-        dealt.sortWithinPartitions("part", self.key).write.partitionBy("part").parquet(f"{self.folder}/{name}/keys")
-        segment = Segment(name, tier, BITMAP_BITS, covers)
+        parts = 1
+        while parts < PARTS and rows > PART_KEYS * parts:
+            parts *= 2
+        bits = BITMAP_BITS
+        # Parts are even up to chance.
+        while bits < rows // parts * BITS_PER_KEY:
+            bits *= 2
+        segment = Segment(f"segment-{uuid.uuid4().hex}", rows, parts, bits, covers)
+        path = f"{self.folder}/{segment.name}"
+        dealt = keys.withColumn("part", self._part(parts)).repartition(parts, "part")
+        dealt.sortWithinPartitions("part", self.key).write.partitionBy("part").parquet(f"{path}/keys")
         stored = self.spark.read.schema(T.StructType([*self._schema().fields, T.StructField("part", T.IntegerType())]))
-        stored = stored.parquet(f"{self.folder}/{name}/keys")
-        most = stored.groupBy("part").count().agg(F.max("count")).first()[0] or 0
-        while segment.bits < most * BITS_PER_KEY:
-            segment.bits *= 2
-        probes = stored.select("part", F.explode(self._probes(segment.bits)).alias("probe"))
-        bits = probes.groupBy("part", F.expr(f"probe div {BITMAP_BITS}").alias("bucket")).agg(
+        probes = stored.parquet(f"{path}/keys").select("part", F.explode(self._probes(bits)).alias("probe"))
+        filters = probes.groupBy("part", F.expr(f"probe div {BITMAP_BITS}").alias("bucket")).agg(
             F.bitmap_construct_agg(F.pmod("probe", F.lit(BITMAP_BITS))).alias("bits")
         )
-        # Sorted by bucket, so that a task reads its parts' filters in order.
-        bits.repartition(PARTS, "part").sortWithinPartitions("part", "bucket").write.partitionBy("part").parquet(
-            f"{self.folder}/{name}/filters"
-        )
+        # Sorted by bucket, so that a reader's row groups hold neighbours.
+        filters = filters.repartition(parts, "part").sortWithinPartitions("part", "bucket")
+        filters.write.partitionBy("part").parquet(f"{path}/filters")
         return segment
 
     def compact(self) -> None:
-        """Merge young folders into a segment, and segments of one tier into one of the next, when there are enough."""
+        """Merge young folders, when there are ``FAN``, and the segments that are not much larger, into one segment."""
         young = self.young()
-        if len(young) >= FAN:
-            self.segments.append(self._write(self._young_keys(young), 0, set(young)))
-            self._save()
-        tier = 0
-        while len(same := [s for s in self.segments if s.tier == tier]) >= FAN:
-            rows = self._segment_keys(same[0])
-            for segment in same[1:]:
-                rows = rows.unionByName(self._segment_keys(segment))
-            made = self._write(rows, tier + 1, set().union(*(s.covers for s in same)))
-            self.segments = [s for s in self.segments if s not in same] + [made]
-            self._save()
-            dropped(self.spark, *[f"{self.folder}/{segment.name}" for segment in same])
-            tier += 1
+        if len(young) < FAN:
+            return
+        keys, covers, merged = self._young_keys(young), set(young), []
+        rows = keys.count()
+        for segment in sorted(self.segments, key=lambda s: s.rows):
+            if segment.rows <= max(2 * rows, SMALL_KEYS):
+                keys = keys.unionByName(self._segment_keys(segment))
+                covers |= segment.covers
+                rows += segment.rows
+                merged.append(segment)
+        made = self._write(keys, rows, covers)
+        self.segments = [s for s in self.segments if s not in merged] + [made]
+        self._save()
+        dropped(self.spark, *[f"{self.folder}/{segment.name}" for segment in merged])

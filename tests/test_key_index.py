@@ -2,7 +2,6 @@
 
 import random
 
-import pytest
 from pyspark.sql import functions as F
 
 from folioscan.plans.ingest import ItemOptions, ingest_batch
@@ -26,14 +25,15 @@ def keys_of(rows):
 
 def test_index_equals_the_table(spark, monkeypatch):
     monkeypatch.setattr(key_index, "FAN", 2)
-    monkeypatch.setattr(key_index, "PARTS", 4)
+    monkeypatch.setattr(key_index, "PART_KEYS", 3)
+    monkeypatch.setattr(key_index, "SMALL_KEYS", 0)
     root, rng, held = new_folder(spark, "t"), random.Random(2), {}
     for n in range(7):
         batch = (rng.choice(["a", "b"]), rng.randrange(6))
         held[batch] = [f"k{rng.randrange(60)}" for _ in range(rng.randrange(8))] + [None] * (n == 4)
         write(spark, root, *batch, held[batch])
         index = KeyIndex(spark, root, "items", "_id")
-        assert len(index.young()) < 2 and all(sum(s.tier == t for s in index.segments) < 2 for t in range(5))
+        assert len(index.young()) < 2
         asked = [f"k{i}" for i in range(0, 70, 3)] + [None]
         wanted = spark.createDataFrame([(k,) for k in asked], "_id string")
         for own in (batch, ("other", 0)):
@@ -45,13 +45,14 @@ def test_index_equals_the_table(spark, monkeypatch):
 
 def test_only_matching_parts_are_opened(spark, monkeypatch):
     monkeypatch.setattr(key_index, "FAN", 2)
+    monkeypatch.setattr(key_index, "PART_KEYS", 100)
     root = new_folder(spark, "t")
     write(spark, root, "a", 0, [f"k{i}" for i in range(0, 5000, 2)])
     write(spark, root, "a", 1, [f"k{i}" for i in range(1, 5000, 2)])
     index = KeyIndex(spark, root, "items", "_id")
     (segment,) = index.segments
-    assert segment.bits >= key_index.BITMAP_BITS and not index.young()
-    part = lambda keys: {r[0] for r in spark.createDataFrame([(k,) for k in keys], "_id string").select(index._part()).collect()}
+    assert (segment.parts, segment.rows, index.young()) == (64, 5000, [])
+    part = lambda keys: {r[0] for r in spark.createDataFrame([(k,) for k in keys], "_id string").select(index._part(64)).collect()}
     known = spark.createDataFrame([("k7",), ("k8",)], "_id string")
     rows = index.stored(known, "b", 0)
     files = {r[0].split("/part=")[1].split("/")[0] for r in rows.select(F.input_file_name()).distinct().collect()}
@@ -59,17 +60,32 @@ def test_only_matching_parts_are_opened(spark, monkeypatch):
     assert "PartitionFilters: [part#" in rows._jdf.queryExecution().toString()
     # Keys that are new open nothing, but for the filter's false positives.
     fresh = spark.createDataFrame([(f"new{i}",) for i in range(20)], "_id string")
-    assert len(index.matching_parts(segment, fresh, list(range(key_index.PARTS)))) <= 3
+    assert len(index.matching_parts(fresh)[segment.name]) <= 3
     every = [f"k{i}" for i in range(0, 5000, 50)]
-    found = index.matching_parts(segment, spark.createDataFrame([(k,) for k in every], "_id string"), list(range(key_index.PARTS)))
-    assert set(found) == part(every)
+    found = index.matching_parts(spark.createDataFrame([(k,) for k in every], "_id string"))
+    assert set(found[segment.name]) == part(every)
 
 
-@pytest.mark.parametrize("fan", [2])
-def test_many_batches(spark, monkeypatch, fan):
+def test_sizes_grow_geometrically(spark, monkeypatch):
+    monkeypatch.setattr(key_index, "FAN", 1)
+    monkeypatch.setattr(key_index, "SMALL_KEYS", 0)
+    sizes = []
+
+    def kept(self, keys, rows, covers):
+        return key_index.Segment(str(len(sizes)), rows, 1, 1, covers)
+
+    monkeypatch.setattr(KeyIndex, "_write", kept)
+    monkeypatch.setattr(KeyIndex, "_segment_keys", lambda self, segment, parts=None: self._young_keys([]))
+    root = new_folder(spark, "t")
+    for n, size in enumerate([100, 10, 10, 3, 1]):
+        write(spark, root, "a", n, [f"k{i}" for i in range(size)])
+        sizes.append(sorted(s.rows for s in KeyIndex(spark, root, "items", "_id").segments))
+    assert sizes == [[100], [10, 100], [20, 100], [3, 20, 100], [1, 3, 20, 100]]
+
+
+def test_many_batches(spark, monkeypatch):
     """Batches with old and new ids store each id once, replays and a reset included."""
-    monkeypatch.setattr(key_index, "FAN", fan)
-    monkeypatch.setattr(key_index, "PARTS", 4)
+    monkeypatch.setattr(key_index, "FAN", 2)
     root = new_folder(spark, "t")
     html = '<h3 class="tit_txt3">t</h3><div class="imgD"><img src="/1.png"></div><div class="copyD"><img src="/l/by.png">CC</div><table class="tb_bbs"><tr><th>UCI</th><td>u</td></tr></table>'
     rows = [(10 * b + n, f"http://h/v.do?wrtSn={1000 + b + n}", html) for b in range(5) for n in range(4)]
