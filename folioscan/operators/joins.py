@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from folioscan.operators.bitmap import whole_number, with_keys
 from folioscan.sources.workspace import checkpointed
 
 # Dimension rows a task can hold comfortably; above it the join shuffles, hot keys split.
@@ -71,28 +72,34 @@ def dimension_join(
 BROADCAST_KEYS = 4_000_000
 
 
-def keep_marked(rows: DataFrame, marks: DataFrame, key: str, kept: Column, limit: int = BROADCAST_KEYS) -> DataFrame:
+def keep_marked(rows: DataFrame, marks: DataFrame, key: str, kept: Column, limit: int | None = None) -> DataFrame:
     """Wide ``rows`` whose key ``marks`` keeps. ``key`` is a long that is unique on both sides.
 
-    ``marks`` has one narrow row per row. The kept and the other keys are counted; whichever set is
-    small is broadcast, as a semi or an anti join, and the wide rows stay where they are. Only when
-    both are large do the rows shuffle.
+    ``marks`` has one narrow row per row. The kept and the other keys are counted; the smaller set is
+    broadcast, as a semi or an anti join, as keys up to ``limit`` (``BROADCAST_KEYS``) and as bitmaps beyond. The
+    wide rows stay where they are.
     """
+    limit = BROADCAST_KEYS if limit is None else limit
     counted = marks.agg(F.count_if(kept).alias("kept"), F.count_if(~kept).alias("other")).first()
-    inside, outside = marks.filter(kept).select(key), marks.filter(~kept).select(key)
-    if counted["kept"] <= limit:
-        return rows.join(F.broadcast(inside), key, "left_semi")
-    if counted["other"] <= limit:
-        return rows.join(F.broadcast(outside), key, "left_anti")
-    return rows.join(inside, key, "left_semi")
+    inside = counted["kept"] <= counted["other"]
+    keys = marks.filter(kept if inside else ~kept).select(key)
+    if min(counted) <= limit:
+        return rows.join(F.broadcast(keys), key, "left_semi" if inside else "left_anti")
+    return with_keys(rows, keys, key, inside)
 
 
-def having_key(rows: DataFrame, keys: DataFrame, key: str, limit: int = BROADCAST_KEYS) -> DataFrame:
-    """Wide ``rows`` whose key is among ``keys`` (narrow, distinct). Keys are counted: up to ``limit`` they
-    are broadcast and the wide rows stay where they are, beyond that both sides shuffle.
+def having_key(rows: DataFrame, keys: DataFrame, key: str, limit: int | None = None) -> DataFrame:
+    """Wide ``rows`` whose key is among ``keys`` (narrow, distinct). Keys are counted: up to ``limit``
+    (``BROADCAST_KEYS``) they are broadcast, beyond that whole numbers are, as bitmaps, and the wide rows stay where
+    they are. Only other keys make both sides shuffle.
     """
+    limit = BROADCAST_KEYS if limit is None else limit
     keys = checkpointed(keys.select(key))
-    return rows.join(F.broadcast(keys) if keys.count() <= limit else keys, key, "left_semi")
+    if keys.count() <= limit:
+        return rows.join(F.broadcast(keys), key, "left_semi")
+    if whole_number(rows, key) and whole_number(keys, key):
+        return with_keys(rows, keys, key)
+    return rows.join(keys, key, "left_semi")
 
 
 def license_for_item(items: DataFrame, licenses: DataFrame, item_id: str = "_id", **options) -> DataFrame:
