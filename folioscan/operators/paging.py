@@ -9,15 +9,17 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from folioscan.operators.joins import enrich_with_info
-from folioscan.sources.workspace import UNKNOWN_BYTES, checkpointed, estimated_bytes
+from folioscan.operators.selection import Range, Selection, selectable
+from folioscan.sources.workspace import checkpointed, estimated_bytes
 
 # Fixed value: items on one page.
 PAGE_SIZE = 9
 # Offsets up to here use a plain top-k; deeper slices rank the keys over range partitions.
 SHALLOW_ROWS = 10_000
-# Keys that one task ranks, and the most tasks a whole table is cut into.
-RANK_BYTES_PER_TASK = 64 << 20
-MAX_RANK_TASKS = 20_000
+# Rows of a slice that one top-k may give.
+LONGEST_TOP = 100_000
+# Rows that one task ranks; they are counted where Spark estimates more than these bytes a task.
+RANK_ROWS_PER_TASK, RANK_BYTES_PER_TASK = 2_000_000, 64 << 20
 # monotonically_increasing_id keeps the row's place in its partition in the low 33 bits.
 _PLACE_BITS = 33
 
@@ -34,20 +36,65 @@ def slice_rows(
 
     One order holds for every offset: by ``order``, ties by the other columns, nulls first. Shallow
     slices (up to ``shallow`` rows deep) compile to one top-k, where each task keeps
-    ``start + count`` rows. That grows with the offset, so deeper ones rank the rows over range
-    partitions (``with_rank``) and keep the wanted ranks. Ranked rows are stored once: for wide rows
-    slice the keys and join the rest, as ``page_slice`` does.
+    ``start + count`` rows. That grows with the offset, so deeper ones are selected: histograms of the order find
+    the values between which the slice lies, and only rows between them are sorted (``Selection``). The plan
+    of ``rows`` is read once per pass; for wide rows slice the keys and join the rest, as ``page_slice`` does.
     """
     if start is None or count is None:
         return rows.limit(0)
+    shallow = SHALLOW_ROWS if shallow is None else shallow
     order = [*order, *[c for c in _sortable(rows) if c not in order]]
-    if start + count <= (SHALLOW_ROWS if shallow is None else shallow):
+    if start + count <= shallow:
         return rows.orderBy(*order).offset(start).limit(count)
+    keys = selectable(rows, order)
+    return _selected(rows, order, keys, start, count, shallow) if keys else _ranked(rows, order, start, count)
+
+
+def _ranked(rows: DataFrame, order: Sequence[str], start: int, count: int) -> DataFrame:
     ranked = with_rank(rows, order, carry=[c for c in rows.columns if c not in order])
     wanted = ranked.filter((F.col("rank") >= start) & (F.col("rank") < start + count))
     return wanted.orderBy("rank").select(*rows.columns)
 
 
+def _ordered(rows: DataFrame, order: Sequence[str], skip: int, count: int) -> DataFrame:
+    """A slice of few rows: one top-k, or ranks where the slice itself is long."""
+    if skip + count <= LONGEST_TOP:
+        return rows.orderBy(*order).offset(skip).limit(count)
+    return _ranked(rows, order, skip, count)
+
+
+def _selected(
+    rows: DataFrame, order: Sequence[str], keys: Sequence[str], start: int, count: int, enough: int
+) -> DataFrame:
+    selection = Selection(rows, keys, max(enough, 1))
+    stop = min(start + count, selection.total)
+    if start >= stop:
+        return rows.limit(0)
+    first, last = selection.locate(start), selection.locate(stop - 1)
+    whole = len(keys) == len(order)
+
+    def at_key(place: Range, skip: int, n: int) -> DataFrame:
+        """Rows of one key: alike in the whole order, so any of them, unless other columns order them."""
+        found = selection.at(place.at)
+        return found.limit(n) if whole else _ordered(found, order, skip, n)
+
+    parts, taken, low, skip = [], 0, first.low, start - first.before
+    if first.at is not None:
+        taken = min(first.before + first.size, stop) - start
+        parts.append(at_key(first, skip, taken))
+        low, skip = first.at, 0
+    tail = stop - last.before if last.at is not None and last.at != first.at else 0
+    if taken + tail < stop - start:
+        high = last.at if last.at is not None else last.high
+        parts.append(_ordered(selection.within(low, high), order, skip, stop - start - taken - tail))
+    if tail:
+        parts.append(at_key(last, 0, tail))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out.orderBy(*order)
+
+
 def with_rank(
     rows: DataFrame, order: Sequence[str], partitions: int | None = None, carry: Sequence[str] = ()
 ) -> DataFrame:
@@ -62,10 +109,10 @@ def with_rank(
     spark = rows.sparkSession
     keys = rows.select(*kept)
     if partitions is None:
-        configured = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        size = estimated_bytes(keys)
-        needed = 0 if size >= UNKNOWN_BYTES else min(size // RANK_BYTES_PER_TASK, MAX_RANK_TASKS)
-        partitions = max(configured, needed)
+        partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        # An estimate of a join is a product of its sides, so a large one is only a reason to count.
+        if estimated_bytes(keys) > partitions * RANK_BYTES_PER_TASK:
+            partitions = max(partitions, -(-keys.count() // RANK_ROWS_PER_TASK))
     ranged = keys.repartitionByRange(partitions, *order).sortWithinPartitions(*order)
     placed = checkpointed(ranged.withColumn("mark", F.monotonically_increasing_id()))
     part = F.shiftright("mark", _PLACE_BITS)

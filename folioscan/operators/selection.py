@@ -1,0 +1,110 @@
+"""Slices at any depth by selection: histograms of the order find where a slice begins and ends, only it is sorted.
+
+A pass cuts the rows that may hold a position at a few dozen splitters, taken from a sample of them, and counts
+the rows between and at the splitters. The position lies in one of these ranges, which the next pass cuts again.
+Passes read the columns of the order, write nothing and shuffle counts only; their number is the logarithm of the
+table. Splitters come from a sample, counts from all rows: a poor sample costs a pass, never a row.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.window import Window
+
+# Splitters of a pass, and rows of the sample they come from.
+SPLITTERS, SAMPLE_ROWS = 48, 4000
+# Types whose values go back into a plan as they came out of it.
+_PLAIN = (T.IntegralType, T.FractionalType, T.StringType, T.BooleanType, T.DateType, T.BinaryType)
+
+
+def selectable(rows: DataFrame, order: Sequence[str]) -> list[str]:
+    """The leading columns of an order that can be cut at values."""
+    out = []
+    for column in order:
+        if not isinstance(rows.schema[column].dataType, _PLAIN):
+            break
+        out.append(column)
+    return out
+
+
+@dataclass(frozen=True)
+class Range:
+    """Rows between two keys, both excluded, or at one key; ``before`` rows come first. ``None`` is no bound."""
+
+    before: int
+    size: int
+    low: tuple | None = None
+    high: tuple | None = None
+    at: tuple | None = None
+
+
+class Selection:
+    """Finds positions in the order of ``keys`` (plain columns, nulls first)."""
+
+    def __init__(self, rows: DataFrame, keys: Sequence[str], enough: int):
+        self.rows, self.keys, self.enough = rows, list(keys), enough
+        self.key = F.struct(*self.keys)
+        self.kinds = [rows.schema[c].dataType for c in self.keys]
+        self.total = rows.count()
+
+    def _literal(self, values: tuple) -> Column:
+        return F.struct(*[F.lit(v).cast(kind).alias(c) for v, kind, c in zip(values, self.kinds, self.keys)])
+
+    def within(self, low: tuple | None, high: tuple | None) -> DataFrame:
+        """Rows between two keys, both excluded. The first column's bounds reach the scan."""
+        rows, first = self.rows, F.col(self.keys[0])
+        if low is not None:
+            if low[0] is not None:
+                rows = rows.filter(first >= F.lit(low[0]).cast(self.kinds[0]))
+            rows = rows.filter(self.key > self._literal(low))
+        if high is not None:
+            below = first.isNull()
+            rows = rows.filter(below if high[0] is None else below | (first <= F.lit(high[0]).cast(self.kinds[0])))
+            rows = rows.filter(self.key < self._literal(high))
+        return rows
+
+    def at(self, key: tuple) -> DataFrame:
+        first = F.col(self.keys[0])
+        rows = self.rows.filter(first.isNull() if key[0] is None else first == F.lit(key[0]).cast(self.kinds[0]))
+        return rows.filter(self.key == self._literal(key))
+
+    def _splitters(self, rows: DataFrame, size: int) -> list[tuple]:
+        some = rows.select(*self.keys)
+        fraction = SAMPLE_ROWS / size
+        for _ in range(2):
+            # The sample has a few thousand rows, whatever the table: one task may order it.
+            sample = some if fraction >= 1 else some.sample(fraction, seed=7)
+            tiles = sample.select(self.key.alias("key"), F.ntile(SPLITTERS).over(Window.orderBy(*self.keys)).alias("tile"))
+            found = [tuple(row[0]) for row in tiles.groupBy("tile").agg(F.max("key").alias("key")).orderBy("key").select("key").collect()]
+            if found:
+                return list(dict.fromkeys(found))
+            fraction = 1
+        return []
+
+    def locate(self, position: int) -> Range:
+        """The range that holds the row at ``position``: at one key, or of ``enough`` rows at most."""
+        place = Range(0, self.total)
+        while place.at is None and place.size > self.enough:
+            rows = self.within(place.low, place.high)
+            cuts = self._splitters(rows, place.size)
+            values = F.array(*[self._literal(cut) for cut in cuts])
+            # Even between splitters, odd at one.
+            below = F.size(F.filter(values, lambda cut: cut < self.key))
+            number = below + F.size(F.filter(values, lambda cut: cut <= self.key))
+            counts = rows.select(number.alias("number")).groupBy("number").agg(F.count("*").alias("n")).orderBy("number").collect()
+            before = place.before
+            for row in counts:
+                if position < before + row["n"]:
+                    i, between = divmod(row["number"], 2)
+                    if between:
+                        place = Range(before, row["n"], at=cuts[i])
+                    else:
+                        place = Range(before, row["n"], cuts[i - 1] if i else place.low, cuts[i] if i < len(cuts) else place.high)
+                    break
+                before += row["n"]
+        return place

@@ -29,9 +29,6 @@ def workspace(spark: SparkSession) -> str:
     return folder
 
 
-# Spark answers with about this much when it cannot tell.
-UNKNOWN_BYTES = 1 << 62
-
 
 def estimated_bytes(rows: DataFrame) -> int:
     """Spark's own size estimate of the plan; nothing runs for it."""

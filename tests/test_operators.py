@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from folioscan.functions.urls import item_code
-from folioscan.operators import paging, summary
+from folioscan.operators import paging, selection, summary
 from folioscan.operators.assets import materialise_missing
 from folioscan.operators.detail import detail_rows, map_attributes, to_wide, whole_tables, widen
 from folioscan.operators.errors import log_item_lines, retry_candidates, retry_pass
@@ -210,15 +210,18 @@ def test_rank_with_hot_first_column(spark):
     assert [(r[2], r[3]) for r in placed] == [(i // 9 + 1, i % 9) for i in range(3000)]
 
 
-def test_rank_tasks_follow_the_size(spark, monkeypatch):
-    """More tasks for more bytes; the configured number when Spark cannot tell the size."""
+def test_rank_tasks_follow_the_rows(spark, monkeypatch):
+    """More tasks for more rows, which are counted: the estimate of a join is far too large."""
     seen = []
     monkeypatch.setattr(paging, "checkpointed", lambda df: seen.append(df.rdd.getNumPartitions()) or df)
     configured = int(spark.conf.get("spark.sql.shuffle.partitions"))
     monkeypatch.setattr(paging, "RANK_BYTES_PER_TASK", 800)
+    monkeypatch.setattr(paging, "RANK_ROWS_PER_TASK", 100)
     paging.with_rank(spark.range(2000), ["id"])
-    paging.with_rank(spark.createDataFrame([(i,) for i in range(9)], "id long").rdd.toDF(), ["id"])
-    assert seen == [20, configured]
+    few = spark.createDataFrame([(i,) for i in range(90)], "id long")
+    paging.with_rank(few.rdd.toDF(), ["id"])
+    paging.with_rank(few.join(few.withColumnRenamed("id", "other"), F.col("id") == F.col("other") + 1, "left"), ["id"])
+    assert seen == [20, configured, configured]
 
 
 def test_materialise_missing(spark):
@@ -242,6 +245,34 @@ def test_one_slice_rule_for_every_offset(spark):
             assert got == order[start : start + count]
 
 
+@pytest.mark.parametrize("splitters", [2, 48])
+def test_selection(spark, monkeypatch, splitters):
+    """Hot keys, equal rows, columns that cannot be cut at, long slices: always the rows of a full sort."""
+    monkeypatch.setattr(selection, "SPLITTERS", splitters)
+    monkeypatch.setattr(selection, "SAMPLE_ROWS", 40)
+    monkeypatch.setattr(paging, "LONGEST_TOP", 30)
+    values = [(0.5 if i % 3 else float(i), None if i % 5 else "é%d" % (i % 4), [i % 2]) for i in range(240)]
+    df = spark.createDataFrame(values, "a double, b string, c array<int>").repartition(3)
+    order = sorted(values, key=lambda r: (r[0], r[1] is not None, r[1] or "", r[2]))
+    for start, count in ((0, 5), (40, 3), (60, 100), (199, 41), (239, 9), (240, 1)):
+        got = [tuple(r) for r in paging.slice_rows(df, ["a"], start, count, 4).collect()]
+        assert got == order[start : start + count]
+    plain = [r[:2] for r in order]
+    got = [tuple(r) for r in paging.slice_rows(df.drop("c"), ["a"], 90, 60, 4).collect()]
+    assert got == plain[90:150]
+
+
+def test_selection_sorts_the_slice_only(spark):
+    """Neither all rows nor their keys are exchanged or stored."""
+    path = new_folder(spark, "keys")
+    spark.range(0, 300_000, 1, 6).select((F.col("id") * 7 % 300_007).alias("k"), F.lit("x").alias("v")).write.parquet(path)
+    found = paging.slice_rows(spark.read.parquet(path), ["k"], 150_000, 20)
+    assert found.count() == 20
+    text = found._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(k," in text and "LessThanOrEqual(k," in text
+    assert "rangepartitioning" not in text.split("TakeOrderedAndProject")[-1] and "Scan ExistingRDD" not in text
+
+
 def test_page_slice_holds_a_null_key(spark):
     df = spark.createDataFrame([(None, "n"), (1, "a"), (2, "b")], "k int, v string")
     assert [r.v for r in paging.page_slice(df, "k", 0, 2).collect()] == ["n", "a"]
