@@ -282,8 +282,9 @@ SELECT 'START_PAGE' AS key, '0' AS value FROM customer UNION SELECT 'END_PAGE',
 UNION SELECT 'BASE_URL', 'https://catalogue.example' FROM customer
 """)
 def crawl_headers(spark, sf_dir):
-    """The run's settings, as its log holds them."""
-    return run_metadata(read_error_log(spark, f"{_crawled(spark, sf_dir)}/log"))
+    """The run's settings, as its log holds them, without its times and page range."""
+    headers = run_metadata(read_error_log(spark, f"{_crawled(spark, sf_dir)}/log"))
+    return headers.filter(F.col("key").rlike("^[A-Z]+_[A-Z_]+$"))
 
 
 def _crawled(spark, sf_dir):
@@ -291,3 +292,49 @@ def _crawled(spark, sf_dir):
     last = table(spark, sf_dir, "customer").agg(F.max("c_custkey")).first()[0] or 0
     crawl(crawl_archive(spark, sf_dir), root, 0, last + 2, LIST_TEMPLATE, PART_SITE)
     return root
+
+
+# Pagers: list pages end at a third of the customers, says the first; at half of them, says the page there.
+_BOUNDED = """
+n AS (SELECT max(c_custkey) AS n FROM customer),
+reached AS (SELECT n // 3 + 1 + (n // 3 + 1) // 2 AS stop FROM n),
+"""
+
+
+@query(f"""{_CRAWL.rstrip()},
+{_BOUNDED.rstrip().rstrip(",")},
+seen AS (SELECT DISTINCT 10000 + c_custkey * 2 + i AS number FROM lists, reached, (SELECT unnest([0, 1, 5]) AS i)
+         WHERE c_nationkey <> 7 AND c_custkey <= stop)
+SELECT page_id, status FROM part_outcomes JOIN (
+  SELECT min(p_partkey) AS page_id FROM pages WHERE number IN (SELECT number FROM seen) GROUP BY number) USING (page_id)
+""")
+def crawl_bounded(spark, sf_dir):
+    """A crawl that is told no last page: the pager of the first page gives one, the pagers up to there a later one."""
+    root = new_folder(spark, "catalogue")
+    crawl(crawl_archive(spark, sf_dir, pagers=True), root, 0, None, LIST_TEMPLATE, PART_SITE)
+    statuses = read_table(spark, root, "outcomes").select("page_id", "status")
+    return statuses
+
+
+@query(f"""{_CRAWL.rstrip()},
+touched AS (SELECT * FROM part_items JOIN hits USING (page_id)),
+late AS (SELECT *, page_id % 7 = 0 OR page_id % 11 = 0 AS lost FROM touched),
+lines AS (
+  SELECT _id AS item_id, _id || ' : 알 수 없는 상세정보' AS line FROM late WHERE has_table AND has_unknown
+  UNION SELECT _id, _id || ' : duplicate label author' FROM late WHERE complete AND has_repeated
+  UNION SELECT _id, _id || ' : image without address' FROM late WHERE complete AND failed
+  UNION SELECT _id, _id || ' : image not found' FROM late WHERE complete AND NOT failed AND lost)
+SELECT item_id, line, attempt::INTEGER AS attempt,
+  CASE WHEN attempt = 2 AND line LIKE '% : image not found' THEN 'closed' ELSE 'open' END AS outcome
+FROM lines, (SELECT unnest([1, 2]) AS attempt) WHERE item_id <> 'error'
+""")
+def crawl_retry(spark, sf_dir):
+    """Some images are archived only for the second try, which closes the lines about them and no others."""
+    root = new_folder(spark, "catalogue")
+    last = table(spark, sf_dir, "customer").agg(F.max("c_custkey")).first()[0] or 0
+    whole = part_image_assets(spark, sf_dir, missing=False)
+    crawl(
+        crawl_archive(spark, sf_dir), root, 0, last + 2, LIST_TEMPLATE, PART_SITE,
+        part_assets(spark, sf_dir), retry=True, later_assets=whole,
+    )
+    return read_table(spark, root, "attempts").select("item_id", "line", "attempt", "outcome")

@@ -110,10 +110,11 @@ def part_assets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return written(images.unionByName(icons.distinct()), "archive")
 
 
-def crawl_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+def crawl_archive(spark: SparkSession, sf_dir: str, pagers: bool = False) -> DataFrame:
     """``part_pages`` and a list page per customer that links to three of them, if they exist.
 
-    List pages of nation 7 hold an item without a link, those of nation 8 a link without address.
+    List pages of nation 7 hold an item without a link, those of nation 8 a link without address. With ``pagers``
+    the first says that lists end at a third of the customers, and the page there that they end at half of them.
     """
     customer = table(spark, sf_dir, "customer")
     key, nation = F.col("c_custkey"), F.col("c_nationkey")
@@ -127,6 +128,10 @@ def crawl_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     odd = F.when(nation == 7, F.lit("<li>no link</li>")).when(nation == 8, F.lit("<li><a>no address</a>")).otherwise("")
     html = F.concat(F.lit('<ul id="wrtList">'), F.concat_ws("", items), odd, F.lit("</ul>"))
+    if pagers:
+        third = (customer.agg(F.max("c_custkey")).first()[0] or 0) // 3 + 1
+        end = F.when(key >= third, F.lit(third + third // 2)).otherwise(F.lit(third))
+        html = F.concat(html, F.lit('<span class="end"><a href="?pageIndex='), end.cast("string"), F.lit('">end</a></span>'))
     lists = customer.select(
         (key + 1_000_000_000_000).alias("page_id"),
         F.concat(F.lit(LIST_TEMPLATE), key.cast("string")).alias("url"),
@@ -305,9 +310,11 @@ def flat_images(spark: SparkSession, sf_dir: str) -> DataFrame:
     return part.select(name.alias("_id"), F.concat(name, F.lit(".png")).alias("filename"), payload.alias("hash_"))
 
 
-def part_image_assets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The asset archive of ``part_pages`` with ``flat_images`` for images, stored; every seventh is missing."""
-    images = flat_images(spark, sf_dir).filter(F.col("_id").cast("bigint") % 7 != 0)
+def part_image_assets(spark: SparkSession, sf_dir: str, missing: bool = True) -> DataFrame:
+    """The asset archive of ``part_pages`` with ``flat_images`` for images, stored; every seventh may be missing."""
+    images = flat_images(spark, sf_dir)
+    if missing:
+        images = images.filter(F.col("_id").cast("bigint") % 7 != 0)
     heroes = images.select(F.concat(F.lit(f"{HOST}/wrt/"), "_id", F.lit(".png")).alias("url"), F.col("hash_").alias("payload"))
     icons = table(spark, sf_dir, "part").select(
         F.concat(F.lit(f"{HOST}/img/license/"), F.lower("p_type"), F.lit(".png")).alias("url"),

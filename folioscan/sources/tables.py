@@ -31,6 +31,7 @@ ENCODED_IMAGES = _schema(_id=_s, filename=_s, hash_=_s)
 ENCODED_LICENSES = _schema(license=_s, license_name=_s, hash_=_s)
 FILES = _schema(filename=_s, payload=_b)
 ERRORS = _schema(page_id=_l, item_id=_s, stage=_s, message=_s, line=_s)
+ATTEMPTS = _schema(item_id=_s, line=_s, attempt=_i, outcome=_s)
 OUTCOMES = _schema(page_id=_l, _id=_s, status=_s)
 
 # Table name -> schema. One folder each below the catalogue's root.
@@ -41,6 +42,7 @@ TABLES = {
     "licenses": LICENSES,
     "errors": ERRORS,
     "outcomes": OUTCOMES,
+    "attempts": ATTEMPTS,
     # Assets as files, raw whatever the catalogue's encoding: those that an item pass was told to materialise.
     "origin_files": FILES,
     "thumbnail_files": FILES,
