@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
+from folioscan.llm.names import filtered_in_arrow
 from folioscan.llm.words import WordReader, distinct_per_row, plain_words, sliced
 
 SHINGLE_WORDS = 5
@@ -199,5 +200,5 @@ def drop_contaminated(
                         keep[low + r] = False
                 yield batch.filter(pa.array(keep))
 
-        kept = kept.mapInArrow(clean, documents.schema)
+        kept = filtered_in_arrow(kept, clean)
     return kept

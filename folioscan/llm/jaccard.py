@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from folioscan.llm.components import components
-from folioscan.llm.names import free_names
+from folioscan.llm.names import free_names, quoted
 from folioscan.llm.words import WordReader, distinct_per_row, mixed, per_row, plain_words, sliced
 from folioscan.operators.joins import hot_key_join
 from folioscan.sources.workspace import checkpointed, written
@@ -68,8 +68,10 @@ def _fixed_binary(words: np.ndarray) -> pa.Array:
 
 
 def row_key(documents: DataFrame, columns: list[str]):
-    """A hash that tells rows of one id apart."""
-    return F.xxhash64(*[F.col(c) for c in columns])
+    """A hash that tells rows of one id apart. Maps, which have no hash, count as their JSON."""
+    kinds = {c: documents.schema[c].dataType.simpleString() for c in columns}
+    values = [(F.to_json(F.struct(F.col(q).alias("m"))) if "map<" in kinds[c] else F.col(q)) for c, q in zip(columns, quoted(columns))]
+    return F.xxhash64(*values)
 
 
 def sketches(documents: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
@@ -318,8 +320,8 @@ def keep_first(
         dropped = checkpointed(dropped)
         n = dropped.count()
         if n < counts["kept"]:
-            return matching(dropped, n, "left_anti").select(*documents.columns)
-        return matching(kept, counts["kept"], "left_semi").select(*documents.columns)
+            return matching(dropped, n, "left_anti").select(*quoted(documents.columns))
+        return matching(kept, counts["kept"], "left_semi").select(*quoted(documents.columns))
     single = matching(kept.filter("times = 1"), counts["kept"], "left_semi")
     equal = matching(kept.filter("times > 1"), counts["repeated"], "left_semi")
-    return single.unionByName(equal.dropDuplicates([names["row_key"], doc_id])).select(*documents.columns)
+    return single.unionByName(equal.dropDuplicates([names["row_key"], doc_id])).select(*quoted(documents.columns))

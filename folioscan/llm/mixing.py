@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from folioscan.llm.names import free_names
+from folioscan.llm.names import free_names, quoted
 from folioscan.operators.joins import dimension_join
 from folioscan.operators.paging import with_rank
 from folioscan.sources.workspace import checkpointed, written
@@ -157,4 +157,4 @@ def mixed_documents(
     below = F.col(names["place"]) < F.col(names["threshold"])
     times = (F.col(names["repeats"]) + below.cast("bigint")).cast("int")
     taken = joined.filter(times > 0).withColumn(names["place"], F.explode(F.array_repeat(F.lit(1), times)))
-    return taken.select(*documents.columns)
+    return taken.select(*quoted(documents.columns))

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from folioscan.llm.names import filtered_in_arrow
 from folioscan.llm.words import Words, WordReader, per_row, repeats_per_row, sliced, space_words
 
 # Share of the pooled diagonal in each class covariance, and a floor for its variances.
@@ -236,4 +237,4 @@ def keep_good(documents: DataFrame, model: Discriminant, text: str = "text", lea
         for batch, table in _measured(batches, at):
             yield batch.filter(pa.array(model.score(table) >= least))
 
-    return documents.mapInArrow(keep, documents.schema)
+    return filtered_in_arrow(documents, keep)
