@@ -144,15 +144,16 @@ def thumbnail_job(images: DataFrame, box: tuple[int, int] = THUMBNAIL_BOX) -> Da
 
     def resize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for row in batch.to_pylist():
+            for at in range(batch.num_rows):
+                # One image at a time: pixels are large, thumbnails are not.
+                row = batch.slice(at, 1).to_pylist()[0]
                 small = None
                 if row["data"] is not None:
                     small = _thumbnail(
                         row["data"], row["from_height"], row["from_width"], row["mode"], row["height"], row["width"]
                     )
-                out.append({"hash_": small, **{k: row[k] for k in ("_id", "filename", "width", "height")}})
-            yield pa.RecordBatch.from_pylist(out, schema=arrow_schema)
+                out = {"hash_": small, **{k: row[k] for k in ("_id", "filename", "width", "height")}}
+                yield pa.RecordBatch.from_pylist([out], schema=arrow_schema)
 
     return narrow.mapInArrow(resize, _THUMBNAIL)
 

@@ -19,8 +19,8 @@ from folioscan.sources.workspace import dropped, new_folder, written
 
 # Files of one folder, and the most digits of the digest that name a folder (65,536 folders).
 FILES_PER_FOLDER, MOST_DIGITS = 1000, 4
-# Folders that one task writes, and files that one task decodes: their pixels lie in memory together.
-FILES_WRITTEN, FILES_READ = 2000, 32
+# Files that one task writes, and files that one task decodes: their pixels lie in memory together.
+FILES_WRITTEN, FILES_READ = 2000, 16
 # PNG of 16-bit grey, with and without alpha, in the header's depth and colour: Spark keeps its low bytes.
 _WIDE_GREY = ("1000", "1004")
 
@@ -85,6 +85,7 @@ def packed_images(images: DataFrame, payload: str = "hash_") -> Iterator[PackedI
         # Spark packs files by bytes; here time and memory go by files.
         found = found.coalesce(max(4 * spark.sparkContext.defaultParallelism, n // FILES_READ))
         stored = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+        stored = stored.coalesce(max(spark.sparkContext.defaultParallelism, n // FILES_WRITTEN))
         content = F.expr("substring(content, 1, octet_length(content) - 1)")
         places = stored.select(_place(F.col("path")).alias("place"), F.sha2(content, 256).alias("digest"))
         yield PackedImages(
