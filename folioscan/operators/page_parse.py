@@ -235,6 +235,16 @@ class _Outline:
             return None
         return "".join(self.text[self.text_from[index] : self.text_to[index]])
 
+    def link_texts(self, below: int, tag: str) -> list[str]:
+        """Texts of all links below an element. A link ends where the next one starts, also an unclosed one.
+
+        So every piece of text is in one link at most, and links take no more room than their element.
+        """
+        places = self.every(below, tag)
+        ends = [min(self.text_to[a], self.text_from[b]) for a, b in zip(places, places[1:])]
+        ends += [self.text_to[a] for a in places[-1:]]
+        return ["".join(self.text[self.text_from[a] : end]) for a, end in zip(places, ends)]
+
     def text_within(self, index: int, length: int) -> str:
         """The beginning of an element's text, up to ``length`` characters that are not blanks."""
         pieces = []
@@ -276,7 +286,7 @@ def _known_rows(page: _Outline, sel: Selectors, rows: list[int], labels: dict[st
         value, links = None if cell is None else "", []
         if name is not None and name not in seen and cell is not None:
             seen.add(name)
-            value, links = page.text_of(cell), [page.text_of(a) for a in page.every(cell, sel.link)]
+            value, links = page.text_of(cell), page.link_texts(cell, sel.link)
         out.append((pos, title, value, links))
     return out
 
@@ -290,7 +300,7 @@ def _detail_of(page: _Outline, sel: Selectors, labels: dict[str, str] | None = N
         return [dict(zip(DETAIL_ROW.names, row)) for row in _known_rows(page, sel, found, labels)]
     for pos, row in enumerate(found):
         cell = page.first(row, sel.value)
-        links = [] if cell is None else [page.text_of(a) for a in page.every(cell, sel.link)]
+        links = [] if cell is None else page.link_texts(cell, sel.link)
         rows.append((pos, page.text_of(page.first(row, sel.label)), page.text_of(cell), links))
     return [dict(zip(DETAIL_ROW.names, row)) for row in rows]
 

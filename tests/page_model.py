@@ -24,6 +24,19 @@ class Node:
                 parts.append(child.text())
         return "".join(parts)
 
+    def text_before(self, tag):
+        """Text up to the first element of this tag inside, and whether there is one."""
+        parts = []
+        for child in self.children:
+            if isinstance(child, str):
+                parts.append("" if self.tag in NON_TEXT_TAGS else child)
+                continue
+            text, met = ("", True) if child.tag == tag else child.text_before(tag)
+            parts.append(text)
+            if met:
+                return "".join(parts), True
+        return "".join(parts), False
+
     def fits(self, selector):
         if selector[0] == "#":
             return self.attrs.get("id") == selector[1:]
@@ -100,7 +113,7 @@ def fields(html, sel):
                     "pos": pos,
                     "title": label.text() if label is not None else None,
                     "value": cell.text() if cell is not None else None,
-                    "links": [n.text() for n in cell.walk() if n.tag == sel.link] if cell is not None else [],
+                    "links": [n.text_before(sel.link)[0] for n in cell.walk() if n.tag == sel.link] if cell is not None else [],
                 }
             )
     return out

@@ -111,6 +111,20 @@ def test_unclosed_rows_take_linear_space():
         assert sum(len(r["title"] or "") + len(r["value"] or "") for r in rows) < 10 * len(page)
 
 
+def test_unclosed_links_take_linear_space():
+    """A link ends where the next one starts, so the names of unclosed author links are not repeated."""
+    from folioscan.functions.attributes import ATTRIBUTES
+
+    for labels in (None, ATTRIBUTES):
+        sizes = []
+        for n in (4_000, 8_000, 16_000):
+            page = '<table class="tb_bbs"><tr><th>저작자</th><td>' + "<a href=/x>some name " * n
+            (row,) = _fields(page, SEL, ("detail",), labels)["detail"]
+            assert row["links"] == ["some name "] * n
+            sizes.append(len(row["value"]) + sum(map(len, row["links"])))
+        assert sizes == [sizes[0], 2 * sizes[0], 4 * sizes[0]]
+
+
 def test_labels_change_no_item():
     """With labels given, what the item takes is the same."""
     from folioscan.functions.attributes import ATTRIBUTES
