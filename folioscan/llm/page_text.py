@@ -19,10 +19,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# A comment, a declaration, or a tag. Values are quoted after ``=`` only, and a quote that nothing closes is
+# no quote. Quantifiers are possessive and every tag matches, so a broken page costs no more than a good one.
 _MARKUP = re.compile(
-    r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^'">])*)(?:>|\Z)""", re.S
+    r"""<!--.*?(?:-->|\Z)
+      | <[!?][^>]*+(?:>|\Z)
+      | <(/?)([a-zA-Z][^\s/>]*+)((?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+')?+)*+)(?:>|\Z)""",
+    re.S | re.X,
 )
-_ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
+_ATTRIBUTE = re.compile(r"""([^\s=/"'>]++)(?:\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s"'>]++))?+""")
 _TOKEN = re.compile(r"[a-z]+")
 # Elements by their role in HTML.
 RAW = {"script", "style", "textarea", "title", "xmp", "noembed", "noframes", "iframe"}
@@ -60,6 +65,35 @@ MOST, NEARLY_ALL = 0.5, 0.95
 _LAYOUT, _MARKED, _HIDDEN = 1, 2, 3
 
 
+class _OpenElements:
+    """The open elements of a page, with their depths by tag, so that no end tag walks the stack."""
+
+    def __init__(self):
+        self.nodes, self.tags = [0], ["#root"]
+        self.depths: dict[str, list[int]] = {}
+        self.blocks = [0]
+
+    def push(self, node: int, tag: str) -> None:
+        depth = len(self.nodes)
+        self.nodes.append(node)
+        self.tags.append(tag)
+        self.depths.setdefault(tag, []).append(depth)
+        if tag not in INLINE:
+            self.blocks.append(depth)
+
+    def innermost(self, tags: set[str]) -> int:
+        """Depth of the innermost open element of these tags; 0 if none is open."""
+        return max((self.depths[tag][-1] for tag in tags if self.depths.get(tag)), default=0)
+
+    def cut(self, depth: int) -> None:
+        """Close the element at this depth and all inside it."""
+        while len(self.nodes) > depth:
+            self.nodes.pop()
+            self.depths[self.tags.pop()].pop()
+            if self.blocks[-1] == len(self.nodes):
+                self.blocks.pop()
+
+
 class Page:
     """Nodes of one page in page order: parallel lists, parents before children."""
 
@@ -67,21 +101,24 @@ class Page:
         self.tag, self.parent, self.skip = ["#root"], [-1], [False]
         # How an element is marked, and whether one around it (or itself) is left out in any case.
         self.mark, self.never = [0], [False]
+        # Whether an element is an ``article`` or ``main`` or inside one.
+        self.inside = [False]
         self.pieces: list[tuple[int, str | None]] = []
         self._read(text)
         self._settle()
 
-    def _open(self, stack: list[int], tag: str, attributes: str) -> int:
-        node, parent = len(self.tag), stack[-1]
+    def _open(self, parent: int, tag: str, attributes: str) -> int:
+        node = len(self.tag)
         self.tag.append(tag)
         self.parent.append(parent)
-        mark = _HIDDEN if tag in NEVER else self._mark(stack, tag, attributes)
+        mark = _HIDDEN if tag in NEVER else self._mark(self.inside[parent], tag, attributes)
         self.mark.append(mark)
         self.never.append(self.never[parent] or mark == _HIDDEN)
+        self.inside.append(self.inside[parent] or tag in ("article", "main"))
         return node
 
-    def _mark(self, stack: list[int], tag: str, attributes: str) -> int:
-        inside = any(self.tag[n] in ("article", "main") for n in stack)
+    @staticmethod
+    def _mark(inside: bool, tag: str, attributes: str) -> int:
         if tag == "header" and not inside:
             return _MARKED
         least = _LAYOUT if tag == "form" else 0
@@ -162,13 +199,13 @@ class Page:
                 scope[i] = i
 
     def _read(self, text: str) -> None:
-        stack, at = [0], 0
+        stack, at = _OpenElements(), 0
         while at < len(text):
             found = _MARKUP.search(text, at)
             if not found:
                 break
             if found.start() > at:
-                self.pieces.append((stack[-1], references.unescape(text[at : found.start()])))
+                self.pieces.append((stack.nodes[-1], references.unescape(text[at : found.start()])))
             at = found.end()
             if found[2] is None:
                 continue
@@ -180,7 +217,7 @@ class Page:
                 self._drop(stack, {"p"}, {"div", "section", "article", "td", "th", "li", "blockquote", "button"})
             if tag in SIBLINGS:
                 self._drop(stack, SIBLINGS[tag], SCOPES.get(tag, {"select", "datalist"}))
-            node = self._open(stack, tag, found[3])
+            node = self._open(stack.nodes[-1], tag, found[3])
             if tag not in INLINE:
                 self.pieces.append((node, None))
             if tag in VOID:
@@ -188,31 +225,24 @@ class Page:
             if tag in RAW:
                 end = re.compile(rf"</{re.escape(tag)}(?=[\s/>])", re.I).search(text, at)
                 at = end.start() if end else len(text)
-            stack.append(node)
+            stack.push(node, tag)
         if at < len(text):
-            self.pieces.append((stack[-1], references.unescape(text[at:])))
+            self.pieces.append((stack.nodes[-1], references.unescape(text[at:])))
 
-    def _drop(self, stack: list[int], tags: set[str], scope: set[str]) -> None:
+    @staticmethod
+    def _drop(stack: _OpenElements, tags: set[str], scope: set[str]) -> None:
         """Close the innermost open element of these tags, unless a scope stands in between."""
-        for depth in range(len(stack) - 1, 0, -1):
-            tag = self.tag[stack[depth]]
-            if tag in tags:
-                del stack[depth:]
-                return
-            if tag in scope:
-                return
-
-    def _close(self, stack: list[int], tag: str) -> None:
+        depth = stack.innermost(tags)
+        if depth > stack.innermost(scope):
+            stack.cut(depth)
+
+    def _close(self, stack: _OpenElements, tag: str) -> None:
         """End tags close up to their element; those of inline elements stop at any block."""
         if tag not in INLINE:
-            self.pieces.append((stack[-1], None))
-        for depth in range(len(stack) - 1, 0, -1):
-            open_tag = self.tag[stack[depth]]
-            if open_tag == tag:
-                del stack[depth:]
-                return
-            if tag in INLINE and open_tag not in INLINE:
-                return
+            self.pieces.append((stack.nodes[-1], None))
+        depth = stack.innermost({tag})
+        if depth and (tag not in INLINE or depth > stack.blocks[-1]):
+            stack.cut(depth)
 
 
 def densities(page: Page) -> tuple[list[float], list[float]]:
@@ -268,9 +298,9 @@ def article_nodes(page: Page) -> set[int]:
             return {node}
     body = next((i for i, node in enumerate(path) if page.tag[node] == "body"), len(path) - 1)
     threshold = min(density[node] for node in path[: body + 1])
-    chosen, inside = {best}, set(path[1 : body + 1])
+    chosen, inside, on_path = {best}, set(path[1 : body + 1]), set(path)
     for node in range(1, len(page.tag)):
-        if page.parent[node] in inside and node not in path and not page.skip[node]:
+        if page.parent[node] in inside and node not in on_path and not page.skip[node]:
             if density[node] >= threshold or page.tag[node] == "h1":
                 chosen.add(node)
     return chosen

@@ -1,9 +1,12 @@
 import html
+import random
 import re
+import time
+from math import e, log
 
 import pytest
 
-from folioscan.llm.page_text import Page, densities, extract_text, page_text
+from folioscan.llm.page_text import Page, article_nodes, densities, extract_text, page_text
 
 MIDDLE = "/root/testdata/sf0.01"
 
@@ -100,3 +103,76 @@ def test_awkward_rows(spark):
 def test_nested_wrappers_take_linear_time():
     page = "<form class='page has-menu'>" * 2_000 + "x" + "<div class=sidebar>y</div>" * 2_000
     assert page_text(page).startswith("x")
+
+
+@pytest.mark.parametrize(
+    "shape",
+    [
+        lambda n: "<div>" * n,
+        lambda n: "<div>" * n + "<p>x" * n,
+        lambda n: "<ul><li>" * n,
+        lambda n: "<div>" * n + "</span2>" * n,
+        lambda n: "<div><i>" * n + "</i></p>" * n,
+        lambda n: "<div><b>y</b>" * n,
+        lambda n: "<a href='x>" * n,
+        lambda n: "<a " * n + "'",
+        lambda n: "<a " + "b='" * n + ">",
+        lambda n: "<a =\"'" * n,
+    ],
+)
+def test_time_grows_with_the_page(shape):
+    """Eight times the page takes far less than the 64 times of the square."""
+
+    def seconds(n):
+        times = []
+        for _ in range(3):
+            start = time.process_time()
+            page_text(shape(n))
+            times.append(time.process_time() - start)
+        return min(times)
+
+    assert seconds(32_000) < 24 * max(seconds(4_000), 0.004)
+
+
+def test_density_of_random_trees():
+    """Densities, their sums and the chosen subtree, counted anew for every node, without ``article`` or ``main``."""
+    rng = random.Random(5)
+    for _ in range(300):
+        words = lambda: "word " * rng.randint(1, 30)
+
+        def tree(depth):
+            inner = "".join(tree(depth - 1) for _ in range(rng.randint(1, 4))) if depth else words()
+            return f"<a href=x>{words()}</a>" if rng.random() < 0.15 else f"<div>{inner}</div>"
+
+        page = Page(f"<html><body>{tree(4)}{tree(3)}{tree(2)}</body></html>")
+        n = len(page.tag)
+        below = [{i} for i in range(n)]
+        for i in range(n - 1, 0, -1):
+            below[page.parent[i]] |= below[i]
+        linked = set().union(*(below[i] for i in range(n) if page.tag[i] == "a"))
+
+        def chars(nodes):
+            return sum(len(" ".join(piece.split())) for node, piece in page.pieces if piece and node in nodes)
+
+        ratio = chars(linked) / chars(below[0])
+        want = []
+        for i in range(n):
+            c, lc = chars(below[i]), chars(below[i] & linked)
+            t, lt = len(below[i]) - 1, sum(page.tag[k] == "a" for k in below[i] - {i})
+            if not c:
+                want.append(0.0)
+                continue
+            base = log(c / max(c - lc, 1) * lc + ratio * c + e)
+            raw = log(max(c * max(t, 1) / (max(lc, 1) * max(lt, 1)), 1.0)) / max(log(base + 1), 0.1)
+            want.append(c / max(t, 1) * max(raw, 0.0))
+        density, total = densities(page)
+        sums = [sum(want[k] for k in range(1, n) if page.parent[k] == i) for i in range(n)]
+        assert density == pytest.approx(want) and total == pytest.approx(sums)
+        best = max(range(n), key=lambda i: (total[i] or density[i], i))
+        path, node = {best}, best
+        while page.tag[node] != "body" and node:
+            node = page.parent[node]
+            path.add(node)
+        threshold = min(density[node] for node in path)
+        beside = {i for i in range(1, n) if page.parent[i] in path - {best} and i not in path and density[i] >= threshold}
+        assert article_nodes(page) == {best} | beside
