@@ -1,7 +1,7 @@
 """Token ids in training order: fixed-stride shards behind a keyed permutation.
 
-Texts become sequences of a fixed number of token ids. Sequences are numbered as they are stored, and a
-keyed Feistel permutation with cycle-walking gives each its slot in the training order, without a sort of
+Texts become sequences of a fixed number of token ids. Sequences are numbered by document id, text and
+piece, whatever files and tasks the texts come from, and a keyed Feistel permutation with cycle-walking gives each its slot in the training order, without a sort of
 the corpus and without a table of the order: the slot of any number, and back, follows from the key. Slots
 are cut into shards by range; a shard is one file of records of equal size, in slot order, so a reader can
 go on at any slot.
@@ -16,18 +16,23 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from folioscan.llm.words import mixed
-from folioscan.sources.workspace import new_folder
+from folioscan.sources.workspace import checkpointed, new_folder
 
 # Token ids of a sequence, sequences of a shard (16 MB with two bytes an id), and the key of the order.
 STRIDE, SHARD_SEQUENCES, KEY = 1024, 8192, 20240917
 ROUNDS = 6
 # Characters that are encoded at once; longer texts are cut before white space.
 PIECE_CHARS = 1_000_000
+# Texts, and characters of texts, whose records are made at a time.
+TEXTS_AT_ONCE, CHARS_AT_ONCE = 256, 1_000_000
+# Documents of a range that are numbered in one task, and documents whose numbers are broadcast at most.
+RANGE_ROWS, BROADCAST_ROWS = 1_000_000, 500_000
 
 
 def permuted(numbers: np.ndarray, total: int, key: int, inverse: bool = False) -> np.ndarray:
@@ -77,49 +82,87 @@ def encode(encoding, text: str) -> list[int]:
 
 
 def token_sequences(documents: DataFrame, doc_id: str, text: str, tokenizer: str, pattern: str, stride: int) -> DataFrame:
-    """``(doc_id, piece, n_tokens, record, part, place)``: all sequences of all texts.
+    """``(doc_id, digest, part, row, piece, pieces, n_tokens, record)``: all sequences of all texts.
 
     A text's ids and an end id fill records of ``stride`` little-endian numbers, the last one padded with
-    end ids that ``n_tokens`` leaves out. ``part`` and ``place`` number the sequences of a task.
+    end ids that ``n_tokens`` leaves out. ``digest`` is a hash of the text; ``part`` and ``row`` tell the
+    rows of the table apart, and nothing else follows from them.
     """
-    rows = documents.select(F.col(doc_id).alias("doc_id"), F.spark_partition_id().alias("part"), F.col(text).alias("text"))
-    names = ["doc_id", "piece", "n_tokens", "record", "part", "place"]
-    kinds = [T.IntegerType(), T.IntegerType(), T.BinaryType(), T.IntegerType(), T.LongType()]
-    schema = T.StructType([rows.schema["doc_id"], *[T.StructField(n, k) for n, k in zip(names[1:], kinds)]])
+    body = F.coalesce(F.col(text), F.lit(""))
+    rows = documents.select(
+        F.col(doc_id).alias("doc_id"), F.xxhash64(body).alias("digest"),
+        F.spark_partition_id().alias("part"), body.alias("text"),
+    )
+    names = ["row", "piece", "pieces", "n_tokens", "record"]
+    kinds = [T.LongType(), T.IntegerType(), T.IntegerType(), T.IntegerType(), T.BinaryType()]
+    schema = T.StructType([*rows.schema.fields[:3], *[T.StructField(n, k) for n, k in zip(names, kinds)]])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoding, end = load_encoding(tokenizer, pattern)
         kind = np.dtype("<u2" if end < 2**16 else "<u4")
-        width, place = stride * kind.itemsize, 0
+        width, before = stride * kind.itemsize, 0
         for batch in batches:
-            for low in range(0, batch.num_rows, 256):
-                part = batch.slice(low, 256)
+            for part in _portions(batch):
                 rows, pieces, counts, records = [], [], [], []
-                for i, body in enumerate(part.column(2).to_pylist()):
-                    ids = np.array([*encode(encoding, body or ""), end], dtype=kind)
+                for i, body in enumerate(part.column(3).to_pylist()):
+                    ids = np.array([*encode(encoding, body), end], dtype=kind)
                     n = -(-len(ids) // stride)
                     data = np.concatenate((ids, np.full(n * stride - len(ids), end, kind))).tobytes()
                     records += [data[at : at + width] for at in range(0, len(data), width)]
                     counts += [stride] * (n - 1) + [len(ids) - (n - 1) * stride]
                     rows += [i] * n
                     pieces += range(n)
-                take = pa.array(rows, pa.int64())
-                yield pa.record_batch(
-                    [
-                        part.column(0).take(take),
-                        pa.array(pieces, pa.int32()),
-                        pa.array(counts, pa.int32()),
-                        pa.array(records, pa.binary()),
-                        part.column(1).take(take),
-                        pa.array(np.arange(place, place + len(rows))),
-                    ],
-                    names=names,
-                )
-                place += len(rows)
+                take = np.array(rows, np.int64)
+                columns = [
+                    *[column.take(pa.array(take)) for column in part.columns[:3]],
+                    pa.array(take + before),
+                    pa.array(pieces, pa.int32()),
+                    pa.array(np.bincount(take, minlength=part.num_rows)[take].astype(np.int32)),
+                    pa.array(counts, pa.int32()),
+                    pa.array(records, pa.binary()),
+                ]
+                yield pa.record_batch(columns, names=schema.names)
+                before += part.num_rows
 
     return rows.mapInArrow(cut, schema)
 
 
+def _portions(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """A batch in runs of bounded numbers of texts and characters; a longer text is a run of its own."""
+    ends = np.cumsum(pc.binary_length(batch.column(3)).to_numpy(zero_copy_only=False).astype(np.int64))
+    low = 0
+    while low < batch.num_rows:
+        limit = (ends[low - 1] if low else 0) + CHARS_AT_ONCE
+        high = min(max(int(np.searchsorted(ends, limit, side="right")), low + 1), low + TEXTS_AT_ONCE)
+        yield batch.slice(low, high - low)
+        low = high
+
+
+def first_numbers(stored: DataFrame) -> tuple[DataFrame, int, int]:
+    """``(at_part, at_row, first)``, the number of each row's first sequence, with the rows and the sequences.
+
+    Rows are ordered by id (null first) and digest of the text, so the number of a sequence does not depend
+    on how the table is split; rows equal in both are the same sequences. Only narrow rows move: they are
+    range-sorted, summed up range by range, and one sum per range comes to the driver.
+    """
+    spark = stored.sparkSession
+    order = ["doc_id", "digest", "part", "row"]
+    heads = stored.filter("piece = 0").select(*order, "pieces")
+    n = heads.count()
+    ranges = heads.repartitionByRange(max(-(-n // RANGE_ROWS), 1), *order).withColumn("range", F.spark_partition_id())
+    ranges = checkpointed(ranges)
+    sums = ranges.groupBy("range").agg(F.sum("pieces").alias("n")).orderBy("range").collect()
+    ends = np.cumsum([row["n"] for row in sums]).tolist()
+    offsets = spark.createDataFrame(
+        [(row["range"], end - row["n"]) for row, end in zip(sums, ends)], "range int, before bigint"
+    )
+    running = F.sum("pieces").over(Window.partitionBy("range").orderBy(*order)) - F.col("pieces")
+    # One row per range, so its size is bounded by the number of documents over ``RANGE_ROWS``.
+    numbered = ranges.withColumn("inside", running).join(F.broadcast(offsets), "range")
+    first = (F.col("before") + F.col("inside")).alias("first")
+    return numbered.select(F.col("part").alias("at_part"), F.col("row").alias("at_row"), first), n, ends[-1] if ends else 0
+
+
 def write_shards(
     documents: DataFrame, path: str, tokenizer: str, pattern: str, doc_id: str = "doc_id", text: str = "text",
     stride: int = STRIDE, shard_sequences: int = SHARD_SEQUENCES, key: int = KEY,
@@ -127,33 +170,30 @@ def write_shards(
     """Write all sequences to ``path`` in training order; gives the stored table.
 
     Columns: ``slot`` (dense from 0), ``doc_id, piece, n_tokens, record`` and ``shard``, by which the
-    folders are named. Records are staged once in the shared folder, so numbers do not change when tasks
-    are lost, and shuffle once, by slot range. What comes to the driver is one number per staged part.
-    A null or empty text is one sequence with the end id only. Repeated rows are sequences of their own.
-    Null ids stay null; other columns are left out. An empty table writes an empty one.
+    folders are named. The same rows and key give the same table, however they are split into files and
+    tasks. Records are staged once in the shared folder, and shuffle once, by shard; beyond half a million
+    documents once more, to meet their numbers. A null or empty text is one sequence with the end id only.
+    Repeated rows are sequences of their own. Null ids stay null, and come first; other columns are left
+    out. An empty table writes an empty one.
     """
     spark = documents.sparkSession
     staged = new_folder(spark, "sequences")
     cut = token_sequences(documents, doc_id, text, tokenizer, pattern, stride)
     cut.write.option("compression", "zstd").parquet(staged)
     stored = spark.read.schema(cut.schema).parquet(staged)
-    counts = stored.groupBy("part").agg(F.count("*").alias("n")).orderBy("part").collect()
-    ends = np.cumsum([row["n"] for row in counts]).tolist()
-    total = ends[-1] if ends else 0
-    before = spark.createDataFrame(
-        [(row["part"], end - row["n"]) for row, end in zip(counts, ends)], "part int, before bigint"
-    )
+    first, n, total = first_numbers(stored)
 
     @F.pandas_udf("long")
     def slot_of(numbers: pd.Series) -> pd.Series:
         return pd.Series(permuted(numbers.to_numpy(), total, key))
 
-    # One row per staged part, so its size is bounded by the number of tasks.
-    numbered = stored.join(F.broadcast(before), "part")
-    slots = numbered.withColumn("slot", slot_of(F.col("before") + F.col("place")))
+    same = (F.col("part") == F.col("at_part")) & (F.col("row") == F.col("at_row"))
+    numbered = stored.join(F.broadcast(first) if n <= BROADCAST_ROWS else first, same)
+    slots = numbered.withColumn("slot", slot_of(F.col("first") + F.col("piece")))
     shards = slots.withColumn("shard", F.expr(f"slot div {int(shard_sequences)}"))
     ordered = shards.select("slot", "doc_id", "piece", "n_tokens", "record", "shard")
-    ordered = ordered.repartitionByRange(max(-(-total // shard_sequences), 1), "shard")
+    # A shard's size is known, so its number needs no sampled ranges.
+    ordered = ordered.repartition(max(-(-total // shard_sequences), 1), "shard")
     ordered = ordered.sortWithinPartitions("shard", "slot")
     ordered.write.option("compression", "zstd").partitionBy("shard").parquet(path)
     return read_shards(spark, path, ordered.schema)

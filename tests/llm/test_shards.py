@@ -44,6 +44,20 @@ def test_round_trip_and_resume(spark, awkward):
     assert len(digest) == len(rows) and all(d.row_in_shard == d.slot % 50 for d in digest)
 
 
+def stored_bytes(table):
+    return [(r.slot, r.doc_id, r.piece, r.n_tokens, bytes(r.record)) for r in table.orderBy("slot").collect()]
+
+
+def test_order_does_not_follow_the_split(spark, awkward, monkeypatch):
+    """Other partitions, another order of rows, several ranges and a join without broadcast: the same shards."""
+    want = stored_bytes(written(spark, awkward.coalesce(1), stride=16, shard_sequences=50))
+    for rows in (awkward.repartition(5), awkward.repartition(3, "text").union(awkward.limit(0))):
+        assert stored_bytes(written(spark, rows, stride=16, shard_sequences=50)) == want
+    for name, value in (("RANGE_ROWS", 7), ("BROADCAST_ROWS", 0), ("TEXTS_AT_ONCE", 2), ("CHARS_AT_ONCE", 40)):
+        monkeypatch.setattr(shards, name, value)
+    assert stored_bytes(written(spark, awkward.repartition(4), stride=16, shard_sequences=50)) == want
+
+
 def test_empty_table(spark, nothing):
     assert written(spark, nothing).count() == 0
 
