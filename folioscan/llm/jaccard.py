@@ -236,12 +236,14 @@ def jaccard_classes(
     stars = entries.join(shared, "band").select(F.col("class").alias("a"), F.col("leader").alias("b"))
     coarse = checkpointed(components(stars.filter("a != b").distinct()))
 
-    sized = classes.select("class", "rep.doc_id", "rep.row_key", F.col("rep.n").alias("n"))
+    sized = classes.select("class", "rep.doc_id", "rep.row_key", "rep.times", F.col("rep.n").alias("n"))
     inside = coarse.select(F.col("node").alias("class"), "label").join(sized, "class")
     blocks = F.greatest(F.ceil(F.count("*") / BLOCK_CLASSES), F.ceil(F.sum("n") / BLOCK_SHINGLES))
-    totals = inside.groupBy("label").agg(blocks.cast("bigint").alias("blocks"))
-    wanted = checkpointed(inside.drop("n").join(totals, "label"))
-    texts = _with_ids(rows, wanted)
+    # Only large groups have more than one block, so a hot label meets a short list.
+    large = checkpointed(inside.groupBy("label").agg(blocks.cast("bigint").alias("blocks")).filter("blocks > 1"))
+    large = F.broadcast(large) if large.count() <= BROADCAST_IDS else large
+    wanted = checkpointed(inside.drop("n").join(large, "label", "left").fillna({"blocks": 1}))
+    texts = _class_texts(rows, wanted)
     placed = _shingle_sets(texts).withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks")))
     other = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1))
     paired = placed.withColumn("other", other).withColumns(
@@ -262,6 +264,17 @@ def jaccard_classes(
     return sketched.select("doc_id", "row_key", "class"), checkpointed(full)
 
 
+def _class_texts(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Wanted rows with their texts, one for each class, also where rows are equal in id and text.
+
+    Equal rows are folded in the tasks that read them, before they move.
+    """
+    single = _with_ids(rows, wanted.filter("times = 1"))
+    if wanted.filter("times > 1").isEmpty():
+        return single
+    return single.unionByName(_with_ids(rows, wanted.filter("times > 1")).dropDuplicates(["class"]))
+
+
 def _with_ids(rows: DataFrame, wanted: DataFrame) -> DataFrame:
     """Texts of the wanted rows; ids are broadcast when they are few, else both sides shuffle."""
     side = wanted.withColumnsRenamed({"doc_id": "wanted_id", "row_key": "wanted_key"})

@@ -71,6 +71,19 @@ def test_empty_blocks_count_no_link_twice(spark, monkeypatch):
     assert got == brute(rows) and max(r[3] for r in got) == 2
 
 
+@pytest.mark.parametrize("least", [1, 500_000])
+def test_equal_rows_make_one_set(spark, monkeypatch, least):
+    """Rows equal in id and text, null ids among them, reach the comparison once."""
+    (_, one), (_, two) = near_copies(9, 1, 2, 80)[:2]
+    rows = [(None, one)] * 3_000 + [(5, two)] * 40 + [(6, two), (7, "other words than those of all others")]
+    seen = []
+    cut = jaccard._shingle_sets
+    monkeypatch.setattr(jaccard, "_shingle_sets", lambda texts: seen.append(texts.count()) or cut(texts))
+    monkeypatch.setattr(jaccard, "BROADCAST_IDS", least)
+    got = joined(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert got == brute(rows) and seen == [2]
+
+
 def test_awkward_rows(awkward, nothing):
     rows = [(r.doc_id, r.text) for r in awkward.collect()]
     assert joined(awkward) == brute(rows)
