@@ -208,3 +208,47 @@ def test_packed_store_has_folders_by_digest(spark, monkeypatch):
         digests = {r["digest"] for r in packed.places.collect()}
         assert digests == {r["digest"] for r in packed.digests.collect()} and packed.digests.count() == 300
     assert not list(scratch.glob("image-files-*"))
+
+
+def test_plain_png_decodes_in_its_task():
+    """Every filter and channel count, as the plain reader has them; files that are odd in any way are left alone."""
+    from folioscan.functions.png import png_pixels
+
+    rng = np.random.default_rng(6)
+    for colour, step in ((0, 1), (2, 3), (6, 4)):
+        for kinds in ([0] * 6, [1] * 6, [2] * 6, [2, 1, 2, 2, 0, 2], [4, 3, 2, 1, 0, 4], [3] * 6):
+            rows = np.concatenate([np.array(kinds, np.uint8)[:, None], rng.integers(0, 256, (6, 9 * step), dtype=np.uint8)], axis=1)
+            data = _png_of((9, 6, 8, colour, 0, 0, 0), rows.tobytes(), (b"gAMA", b"\0\0\xb1\x8f"))
+            assert png_pixels(data, 9, 6, step).tobytes() == _decoded(data)["data"]
+    plain = _png_of((1, 1, 8, 2, 0, 0, 0), b"\0\xc8\0\x32")
+    assert png_pixels(plain, 1, 1, 3).tolist() == [[[50, 0, 200]]]
+    odd = [
+        plain[:-1], plain[:45], plain + b"x", plain[:-20] + b"\0" + plain[-19:],
+        _png_of((1, 1, 8, 2, 0, 0, 0), b"\5\xc8\0\x32"), _png_of((1, 1, 8, 2, 0, 0, 0), b"\0\xc8\0"),
+        _png_of((1, 1, 8, 2, 0, 0, 0), b"\0\xc8\0\x32\0"), _png_of((1, 1, 8, 2, 0, 0, 0), b"\0\xc8\0\x32", (b"tRNS", b"\0" * 6)),
+    ]
+    assert [png_pixels(x, 1, 1, 3) for x in odd] == [None] * len(odd)
+
+
+def test_plain_png_becomes_no_file(spark, monkeypatch):
+    """Only other images go through files; both kinds give what the file store alone gives."""
+    from folioscan.operators import assets
+
+    rng = np.random.default_rng(7)
+    plain = [_png(rng.integers(0, 256, (300, 7, 3), dtype=np.uint8)) for _ in range(5)]
+    plain.append(_png_of((3, 2, 8, 6, 0, 0, 0), b"\4" + bytes(range(12)) + b"\3" + bytes(range(9, 21))))
+    plain.append(_png_of((3, 2, 8, 0, 0, 0, 0), b"\1abc\2def"))
+    other = [_png_of((1, 1, 8, 3, 0, 0, 0), b"\0\0", (b"PLTE", b"\xc8\0\x32")), plain[0][:-3], b"no image"]
+    rows = [(str(i), "x", p) for i, p in enumerate([*plain, *other, plain[0]])]
+    table = spark.createDataFrame(rows, "_id string, filename string, hash_ binary")
+    filed, whole = [], assets.packed_images
+    monkeypatch.setattr(assets, "packed_images", lambda t, *a: filed.append(t.count()) or whole(t, *a))
+
+    def images():
+        return {r["_id"]: r["image"] and (*r["image"][1:5], bytes(r["image"]["data"])) for r in assets.decode_images(table).collect()}
+
+    pixels, thumbnails = images(), sorted(map(repr, assets.stored_thumbnails(table).collect()))
+    assert filed == [len(other)] * 2
+    monkeypatch.setattr(assets, "png_size", lambda payload: F.lit(None).cast("struct<width:int,height:int,channels:int>"))
+    assert images() == pixels and sorted(map(repr, assets.stored_thumbnails(table).collect())) == thumbnails
+    assert filed[2:] == [len(rows) - 1] * 2 and [k for k, v in pixels.items() if v is None] in (["9"], ["8", "9"])
