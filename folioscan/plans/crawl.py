@@ -16,7 +16,7 @@ from folioscan.operators.links import extract_links, frontier_errors, last_page,
 from folioscan.operators.page_parse import parse_pages
 from folioscan.plans.ingest import BATCH_RUN, ItemOptions, ingest_batch, reingest
 from folioscan.sources.logs import named_line, setting_line, write_run_log
-from folioscan.sources.pages import list_frontier, pages_of, resolve_frontier
+from folioscan.sources.pages import list_frontier, pages_of, resolve_frontier, spread
 from folioscan.sources.tables import read_batch, write_batch
 from folioscan.sources.workspace import written
 
@@ -44,7 +44,7 @@ def read_lists(
     while True:
         lists = resolve_frontier(list_frontier(spark, low, high, template), archive)
         lists = written(lists.select("url", "page_id", "status"), f"lists-{len(frontier)}", owner)
-        pages = parse_pages(pages_of(lists, archive), ["links", "pager"], selectors=options.selectors)
+        pages = parse_pages(spread(pages_of(lists, archive)), ["links", "pager"], selectors=options.selectors)
         pages = written(pages, f"links-{len(frontier)}", owner)
         frontier.append(lists)
         parsed.append(pages)

@@ -257,7 +257,7 @@ def crawl_catalogue(spark, sf_dir):
     """List pages, their links, the archived pages behind them, and their items, as one plan."""
     root = _crawled(spark, sf_dir)
     outcomes = read_table(spark, root, "outcomes")
-    names = parse_pages(part_pages(spark, sf_dir), ["title"], keys=["page_id"])
+    names = parse_pages(spread(part_pages(spark, sf_dir)), ["title"], keys=["page_id"])
     return outcomes.join(names.withColumnRenamed("title", "filename"), "page_id").select("page_id", "_id", "filename", "status")
 
 

@@ -252,3 +252,22 @@ def test_plain_png_becomes_no_file(spark, monkeypatch):
     monkeypatch.setattr(assets, "png_size", lambda payload: F.lit(None).cast("struct<width:int,height:int,channels:int>"))
     assert images() == pixels and sorted(map(repr, assets.stored_thumbnails(table).collect())) == thumbnails
     assert filed[2:] == [len(rows) - 1] * 2 and [k for k, v in pixels.items() if v is None] in (["9"], ["8", "9"])
+
+
+def test_zlib_takes_no_second_copy_of_a_batch():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from folioscan.functions.payload import compress, decompress
+
+    raw = [None, b"", *[np.random.default_rng(i).bytes(50_000) for i in range(200)], None]
+    packed = compress.func(pa.array(raw, pa.binary()).slice(1))
+    assert packed.to_pylist() == [x if x is None else zlib.compress(x) for x in raw[1:]]
+    packed = packed.cast(pa.binary())
+    tracemalloc.start()
+    back = decompress.func(packed)
+    held = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert back.to_pylist() == raw[1:]
+    assert held < 1.5 * 200 * 50_000
