@@ -78,3 +78,23 @@ def test_retry_and_replay(spark):
     assert headers["Run at"] == "2023-11-14_221320" and headers["Progress"] == "1 ~ 1 page(s)"
     # The same run and batch again leaves everything as it is.
     assert run() == (tables, log)
+
+
+def test_list_pages_are_spread_before_they_are_parsed(spark, monkeypatch):
+    """A narrow table may make many pages: they are parsed by all cores, not by the few splits of its file."""
+    from folioscan.plans import crawl as plans
+    from folioscan.plans.rendering import PART_SITE
+    from folioscan.sources.workspace import new_folder, written
+
+    tasks, parse = [], plans.parse_pages
+
+    def counted(pages, *args, **options):
+        tasks.append(pages.rdd.getNumPartitions())
+        return parse(pages, *args, **options)
+
+    monkeypatch.setattr(plans, "parse_pages", counted)
+    pages = [(i, f"https://h/list.do?p={i}", '<ul id="wrtList"><li><a href="/view.do?wrtSn=1">x</a></li></ul>') for i in range(3)]
+    archive = written(spark.createDataFrame(pages, "page_id long, url string, html string").coalesce(1), "archive")
+    _, parsed, stop = plans.read_lists(archive, 0, 2, "https://h/list.do?p=", PART_SITE, new_folder(spark, "owner"))
+    assert tasks == [spark.sparkContext.defaultParallelism]
+    assert stop == 2 and sorted(r["page_id"] for r in parsed.collect()) == [0, 1, 2]
