@@ -147,3 +147,14 @@ def test_a_wide_dimension_is_not_broadcast(spark, no_broadcast, monkeypatch):
     assert "SortMergeJoin" not in plan(dimension_join(orders, customer, "k", ["o_orderkey"], payload="b"))
     monkeypatch.setattr(joins, "BROADCAST_BYTES", 100)
     assert "SortMergeJoin" in plan(dimension_join(orders, customer, "k", ["o_orderkey"], payload="b"))
+
+
+def test_images_are_made_by_all_cores(spark, tmp_path):
+    """Few bytes of the part table make many of pixels: its file's splits do not bound the tasks."""
+    from folioscan.plans.rendering import flat_images
+
+    rows = spark.createDataFrame([(i, i % 50 + 1) for i in range(1, 21)], "p_partkey long, p_size int")
+    rows.coalesce(1).write.parquet(str(tmp_path / "part.parquet"))
+    images = flat_images(spark, str(tmp_path))
+    assert images.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert {r["_id"] for r in images.collect()} == {str(i) for i in range(1, 21)}
