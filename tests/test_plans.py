@@ -158,3 +158,19 @@ def test_images_are_made_by_all_cores(spark, tmp_path):
     images = flat_images(spark, str(tmp_path))
     assert images.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
     assert {r["_id"] for r in images.collect()} == {str(i) for i in range(1, 21)}
+
+
+def test_crawled_pages_are_rendered_by_all_cores(spark, tmp_path):
+    """A crawl renders its archive whenever it reads it: the splits of the tables' files do not bound the tasks."""
+    from folioscan.plans.rendering import crawl_archive, part_pages
+
+    kinds = "p_partkey long, p_name string, p_brand string, p_type string, p_size int"
+    part = spark.createDataFrame([(i, f"name {i}", "b", "t", i % 50 + 1) for i in range(1, 21)], kinds)
+    part.coalesce(1).write.parquet(str(tmp_path / "part.parquet"))
+    customer = spark.createDataFrame([(i, i % 25) for i in range(1, 21)], "c_custkey long, c_nationkey int")
+    customer.coalesce(1).write.parquet(str(tmp_path / "customer.parquet"))
+    archive = crawl_archive(spark, str(tmp_path))
+    assert archive.rdd.getNumPartitions() == 2 * spark.sparkContext.defaultParallelism
+    assert archive.count() == 40
+    items = archive.filter("page_id < 1000000000000")
+    assert sorted(items.collect()) == sorted(part_pages(spark, str(tmp_path)).collect())
