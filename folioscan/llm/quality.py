@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 
 from folioscan.llm.names import filtered_in_arrow
 from folioscan.llm.words import Words, WordReader, per_row, repeats_per_row, sliced, space_words
+from folioscan.sources.workspace import checkpointed
 
 # Share of the pooled diagonal in each class covariance, and a floor for its variances.
 SHRINKAGE = 0.1
@@ -170,7 +171,8 @@ def fit(labelled: DataFrame, label: str = "label", stats: str = "stats", shrinka
             names=["label", "n", "total", "products"],
         )
 
-    rows = labelled.filter(F.col(label).isin(0, 1)).select(F.col(label).cast("int"), stats)
+    # Stored, as statistics are small and made in Python: a task that measures texts and adds up, too, would hold two workers.
+    rows = checkpointed(labelled.filter(F.col(label).isin(0, 1)).select(F.col(label).cast("int"), stats))
     parts = rows.mapInArrow(add, schema)
     sums = [F.sum("n").alias("n")]
     sums += [F.sum(F.col("total")[i]).alias(f"t{i}") for i in range(d)]

@@ -153,9 +153,9 @@ def first_numbers(stored: DataFrame) -> tuple[DataFrame, int, int]:
     ranges = checkpointed(ranges)
     sums = ranges.groupBy("range").agg(F.sum("pieces").alias("n")).orderBy("range").collect()
     ends = np.cumsum([row["n"] for row in sums]).tolist()
-    offsets = spark.createDataFrame(
-        [(row["range"], end - row["n"]) for row, end in zip(sums, ends)], "range int, before bigint"
-    )
+    # As an Arrow table: rows of Python objects would start a second set of Python workers on the executors.
+    before = pa.array([end - row["n"] for row, end in zip(sums, ends)], pa.int64())
+    offsets = spark.createDataFrame(pa.table({"range": pa.array([row["range"] for row in sums], pa.int32()), "before": before}))
     running = F.sum("pieces").over(Window.partitionBy("range").orderBy(*order)) - F.col("pieces")
     # One row per range, so its size is bounded by the number of documents over ``RANGE_ROWS``.
     numbered = ranges.withColumn("inside", running).join(F.broadcast(offsets), "range")

@@ -72,3 +72,19 @@ def test_an_empty_text_is_a_row_of_zeros():
     rows = pa.RecordBatch.from_arrays([pa.array([None, "", "a b"], pa.string())], names=["text"])
     ((_, table),) = quality._measured(iter([rows]), 0)
     assert (table[:2] == 0).all() and table[2].any() and np.isfinite(table).all()
+
+
+def test_no_task_measures_and_adds_up(spark, monkeypatch):
+    """Two Python workers in one task would be twice the memory: statistics are stored between, also with broadcast labels."""
+    documents, labels = (spark.read.parquet(f"{MIDDLE}/{t}.parquet") for t in ("documents", "labels"))
+    known = quality.labelled(quality.document_statistics(documents, ["doc_id"]), F.broadcast(labels))
+    inputs, kind = [], type(documents)
+    plain = kind.mapInArrow
+
+    def seen(rows, *args, **kwargs):
+        inputs.append(rows._jdf.queryExecution().executedPlan().toString())
+        return plain(rows, *args, **kwargs)
+
+    monkeypatch.setattr(kind, "mapInArrow", seen)
+    quality.fit(known)
+    assert len(inputs) == 1 and "MapInArrow" not in inputs[0]

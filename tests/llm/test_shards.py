@@ -58,6 +58,18 @@ def test_order_does_not_follow_the_split(spark, awkward, monkeypatch):
     assert stored_bytes(written(spark, awkward.repartition(4), stride=16, shard_sequences=50)) == want
 
 
+def test_offsets_start_no_python_workers(spark, awkward, monkeypatch):
+    """Rows of Python objects would be unpickled by workers of their own beside those that encode."""
+
+    def parallelize(*_):
+        raise AssertionError("rows of Python objects")
+
+    monkeypatch.setattr(spark.sparkContext, "parallelize", parallelize)
+    monkeypatch.setattr(shards, "RANGE_ROWS", 7)
+    stored = written(spark, awkward, stride=16, shard_sequences=50)
+    assert [r.slot for r in stored.orderBy("slot").collect()] == list(range(stored.count()))
+
+
 def test_empty_table(spark, nothing):
     assert written(spark, nothing).count() == 0
 
