@@ -271,3 +271,63 @@ def test_zlib_takes_no_second_copy_of_a_batch():
     tracemalloc.stop()
     assert back.to_pylist() == raw[1:]
     assert held < 1.5 * 200 * 50_000
+
+
+def test_shared_pixels_are_not_exchanged(spark, monkeypatch):
+    """Rows travel with their payload as lists of bounded length, so no plan moves decoded pixels."""
+    from folioscan.operators import assets
+
+    monkeypatch.setattr(assets, "ROWS_PER_IMAGE", 10)
+    monkeypatch.setattr(assets, "BYTES_AT_ONCE", 30, raising=False)
+    payloads = [_png(np.full((2, 3, 3), i, np.uint8)) for i in range(4)]
+    rows = [(None if i % 7 == 0 else str(i % 30), f"{i}.png", payloads[i % 4 if i < 20 else 0]) for i in range(95)]
+    table = spark.createDataFrame([*rows, ("x", "x", b"no image"), ("n", "n", None)], "_id string, filename string, hash_ binary")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        decoded = assets.decode_images(table.filter("filename <> 'x'"))
+        assert "Exchange" not in decoded._jdf.queryExecution().executedPlan().toString()
+        got = Counter((r["_id"], r["filename"], r["image"] and bytes(r["image"]["data"])) for r in decoded.collect())
+        pixels = {p: bytes([i]) * 18 for i, p in enumerate(payloads)}
+        want = Counter((i, name, pixels[p]) for i, name, p in rows)
+        assert got == want + Counter([("n", "n", None)])
+        both = Counter((r["_id"], r["filename"], r["image"] and bytes(r["image"]["data"])) for r in assets.decode_images(table).collect())
+        assert both == got + Counter([("x", "x", None)])
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_shrunk_is_the_rounded_area_average():
+    """Sums are exact and rounded once, so a half always goes to the even neighbour."""
+    from fractions import Fraction
+
+    from folioscan.operators.assets import _shrunk
+
+    def covered(length, size):
+        """Parts of each old row in each new one."""
+        step = Fraction(length, size)
+        return [[max(Fraction(0), min(step * (i + 1), j + 1) - max(step * i, j)) for j in range(length)] for i in range(size)]
+
+    rng = np.random.default_rng(5)
+    for height, width, to_height, to_width in ((16, 8, 10, 5), (7, 8, 7, 5), (8, 5, 3, 5), (3, 4, 3, 4)):
+        for channels in (1, 3, 4):
+            pixels = rng.integers(0, 256, (height, width, channels), dtype=np.uint8)
+            down, across, area = covered(height, to_height), covered(width, to_width), Fraction(height * width, to_height * to_width)
+            want = np.zeros((to_height, to_width, 3), np.uint8)
+            for y in range(to_height):
+                for x in range(to_width):
+                    for c in range(3):
+                        plane = pixels[:, :, 0 if channels == 1 else 2 - c].tolist()
+                        total = sum(a * b * plane[j][i] for j, a in enumerate(down[y]) if a for i, b in enumerate(across[x]) if b)
+                        want[y, x, c] = round(total / area)
+            assert _shrunk(pixels, to_height, to_width) == _png(want)
+
+
+def test_images_of_both_encodings_are_made_once(spark, monkeypatch, tmp_path):
+    from folioscan.plans import assets as plan
+
+    made, whole = [], plan.encoded_assets
+    monkeypatch.setattr(plan, "encoded_assets", lambda images, e: made.append(images) or whole(images, e))
+    spark.createDataFrame([(k, k % 50 + 1) for k in range(1, 9)], "p_partkey long, p_size int").write.parquet(f"{tmp_path}/part.parquet")
+    rows = plan.encoded_thumbnails(spark, str(tmp_path)).collect()
+    assert Counter((r["encoding"], r["_id"]) for r in rows) == Counter((e, str(k)) for e in ("base64", "zlib") for k in range(1, 9) if k % 5)
+    assert not any("png(" in images._jdf.queryExecution().optimizedPlan().toString() for images in made)
