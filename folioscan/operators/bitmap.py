@@ -16,8 +16,8 @@ from folioscan.sources.workspace import checkpointed
 
 # Low bits of a key within its bucket, as Spark's bitmaps have them; keys up to which a bucket is a list.
 BUCKET_BITS, LISTED_KEYS = 15, 500
-# Bytes of the buckets that one pass broadcasts, and of a bucket's row beside its keys.
-BITMAP_BYTES, ROW_BYTES = 256 << 20, 64
+# Bytes of the buckets that one pass broadcasts (the driver holds them a few times over), and of a bucket's row beside its keys.
+BITMAP_BYTES, ROW_BYTES = 32 << 20, 64
 
 
 def whole_number(rows: DataFrame, key: str) -> bool:

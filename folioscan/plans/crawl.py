@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from folioscan.functions.text import first_match
 from folioscan.functions.urls import CODE_WIDTH
 from folioscan.operators.errors import log_item_lines
+from folioscan.operators.joins import not_broadcast
 from folioscan.operators.links import extract_links, frontier_errors, last_page, link_errors, max_page
 from folioscan.operators.page_parse import parse_pages
 from folioscan.plans.ingest import BATCH_RUN, ItemOptions, ingest_batch, reingest
@@ -66,7 +67,7 @@ def attempts(first: DataFrame, again: DataFrame | None = None) -> DataFrame:
         return tried
     still = again.select("line").distinct().withColumn("still", F.lit(True))
     outcome = F.when(F.col("still"), F.lit(OPEN)).otherwise(F.lit(CLOSED))
-    retried = lines.join(still, "line", "left").select("item_id", "line", F.lit(2).alias("attempt"), outcome.alias("outcome"))
+    retried = lines.join(not_broadcast(still), "line", "left").select("item_id", "line", F.lit(2).alias("attempt"), outcome.alias("outcome"))
     return tried.unionByName(retried)
 
 

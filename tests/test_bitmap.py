@@ -50,3 +50,38 @@ def test_html_is_never_exchanged(spark, monkeypatch, size):
             assert "html" in plan and "hashpartitioning" not in plan and "SortMergeJoin" not in plan
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_uncounted_sides_are_not_broadcast(spark):
+    """Short rows in small files look small to Spark, however many they are: it may not broadcast what nobody counted."""
+    from folioscan.operators.first_writer import absent, insert_if_absent
+    from folioscan.plans.crawl import attempts
+    from folioscan.plans.ingest import error_rows, routed
+
+    path = new_folder(spark, "few")
+    some = spark.range(100).select("id", F.col("id").cast("string").alias("name"), F.lit("7 : x").alias("line"))
+    some.write.parquet(path)
+    rows = spark.read.parquet(path)
+    staged = rows.selectExpr(
+        "id AS page_id", "name AS _id", "name AS license", "name AS hero_url", "name AS license_url", "true AS has_parts",
+        "true AS has_rows", "array('x') AS unknown_titles", "array('y') AS repeated_attributes",
+    )
+    assets = rows.filter("id < 50").select(F.col("name").alias("url"), F.col("line").cast("binary").alias("payload"))
+    plain = [
+        (insert_if_absent(rows, rows, ["name"], ["id"]), 0),
+        (absent(rows.filter("id < 60"), rows.filter("id > 9"), ["name"]), 10),
+        (attempts(rows, rows), 2),
+        (joins.having_key(rows, rows.select("name").filter("id < 30"), "name", 0), 30),
+        (error_rows(staged, routed(staged)), 200),
+    ]
+    for found, n in plain:
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan and found.count() == n
+    # Here the list of hot keys is broadcast, and rows that were counted.
+    for found, n in ((joins.hot_key_join(rows, rows.select("name"), "name", ["id"]), 100), (routed(staged, assets), 100)):
+        assert "SortMergeJoin" in found._jdf.queryExecution().executedPlan().toString() and found.count() == n
+
+
+def test_keys_and_bitmaps_fit_a_small_driver():
+    """A key that is broadcast takes some 64 bytes: its row, and places of a table that doubles."""
+    assert joins.BROADCAST_KEYS * 64 <= 64 << 20 and bitmap.BITMAP_BYTES <= 64 << 20
