@@ -331,3 +331,15 @@ def test_images_of_both_encodings_are_made_once(spark, monkeypatch, tmp_path):
     rows = plan.encoded_thumbnails(spark, str(tmp_path)).collect()
     assert Counter((r["encoding"], r["_id"]) for r in rows) == Counter((e, str(k)) for e in ("base64", "zlib") for k in range(1, 9) if k % 5)
     assert not any("png(" in images._jdf.queryExecution().optimizedPlan().toString() for images in made)
+
+
+def test_thumbnails_are_not_broadcast_to_their_rows(spark):
+    """Only the list of payloads that very many rows share is: thumbnails grow with the images, however small Spark takes them for."""
+    from folioscan.operators import assets
+
+    payloads = [_png(np.full((2, 3, 3), i, np.uint8)) for i in range(4)]
+    table = spark.createDataFrame([(str(i), f"{i}.png", payloads[i % 4]) for i in range(12)], "_id string, filename string, hash_ binary")
+    made = assets.stored_thumbnails(table)
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and plan.count("BroadcastHashJoin") == 2
+    assert Counter((r["_id"], bytes(r["hash_"])) for r in made.collect()) == Counter((str(i), payloads[i % 4]) for i in range(12))
